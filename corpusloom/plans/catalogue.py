@@ -1,6 +1,9 @@
-"""Every query of the library with its SQL oracle."""
+"""Every query of the library with its SQL oracle, by area."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from corpusloom.plans.registry import ORACLES, QUERIES
+
+from corpusloom.plans import chats, cleaning, dedup, evaluation, metadata, mixture, sampling, series, stats, streams, tokens, web  # noqa: F401, E402  isort: skip
+
+__all__ = ["ORACLES", "QUERIES"]
