@@ -1,4 +1,4 @@
-"""NumPy kernels over Arrow string buffers, shared by the operators here.
+"""NumPy kernels over Arrow string buffers, shared by several operators.
 
 All kernels see texts as one byte buffer plus row offsets, so a batch of
 documents is handled by a few array operations, without a Python object per
