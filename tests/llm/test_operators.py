@@ -406,7 +406,7 @@ def test_url_model_parts_the_kinds(spark):
 
 
 def test_xxh64_and_majority():
-    from corpusloom.llm import kernels
+    from corpusloom.functions import kernels
 
     data = np.random.default_rng(0).integers(0, 256, 300).astype(np.uint8)
     for n in range(0, 200):
