@@ -79,5 +79,5 @@ def repeated(spark: SparkSession, texts: list[str], times: int = 8) -> DataFrame
 def weight_pairs(spark: SparkSession, path: str) -> DataFrame:
     """(weight, path) pairs of a text ``weight path weight path ...``."""
     words = spark.read.option("wholetext", True).text(path).select(F.split(F.trim("value"), r"\s+").alias("w"))
-    pairs = words.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.size("w") / 2 - 1), lambda i: F.struct(F.get("w", (2 * i).cast("int")).cast("double").alias("weight"), F.get("w", (2 * i + 1).cast("int")).alias("path")))).alias("at", "p"))
+    pairs = words.select(F.posexplode(F.transform(F.sequence(F.lit(0), (F.size("w") / 2 - 1).cast("int")), lambda i: F.struct(F.get("w", (2 * i).cast("int")).cast("double").alias("weight"), F.get("w", (2 * i + 1).cast("int")).alias("path")))).alias("at", "p"))
     return pairs.select("at", "p.*")

@@ -20,15 +20,20 @@ def new_files(spark: SparkSession, source: str, target: str, checkpoint: str, sc
     query.awaitTermination()
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    """A stream with its watermark; an event time without a zone is taken as the session's."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events and their value by window and type; works on a stream and on a table."""
-    marked = events.withWatermark("ts", late) if events.isStreaming else events
+    marked = _timed(events, late)
     return marked.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("w.start").alias("start"), "event_type", "n", "value")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """Sessions of each user: events no further apart than the gap."""
-    marked = events.withWatermark("ts", late) if events.isStreaming else events
+    marked = _timed(events, late)
     out = marked.groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count("*").alias("n"))
     return out.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
 
@@ -36,5 +41,5 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -
 def first_seen(events: DataFrame, key: str = "event_id", late: str = "1 hour") -> DataFrame:
     """Each key once, within the watermark on a stream."""
     if events.isStreaming:
-        return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+        return _timed(events, late).dropDuplicatesWithinWatermark([key])
     return events.dropDuplicates([key])
