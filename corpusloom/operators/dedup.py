@@ -69,28 +69,31 @@ def band_hashes(text: Column, bands: int = BANDS, rows: int = ROWS, width: int =
     return minhash_bands(text)
 
 
-def bucket_edges(signed: DataFrame, order: str) -> DataFrame:
-    """(src, dst) from the smallest id of each shared band to the others: a star, not all pairs.  signed: (order, bands)."""
-    cells = signed.select(F.col(order).alias("dst"), F.posexplode("bands").alias("band", "h"))
-    stars = cells.groupBy("band", "h").agg(F.min("dst").alias("src"), F.count("*").alias("n")).filter("n > 1")
-    return cells.join(stars, ["band", "h"]).filter("src <> dst").select("src", "dst").distinct()
+def bucket_edges(signed: DataFrame, order: str, within: list[str] | None = None) -> DataFrame:
+    """(src, dst) from the smallest id of each shared band to the others: a star, not all pairs.  signed: (order, bands, and the columns of within, inside which alone texts are compared)."""
+    keys = [*(within or []), "band", "h"]
+    cells = signed.select(F.col(order).alias("dst"), *(within or []), F.posexplode("bands").alias("band", "h"))
+    stars = cells.groupBy(*keys).agg(F.min("dst").alias("src"), F.count("*").alias("n")).filter("n > 1")
+    return cells.join(stars, keys).filter("src <> dst").select("src", "dst").distinct()
 
 
-def minhash_clusters(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
+def minhash_clusters(df: DataFrame, text: str = "text", order: str = "doc_id", within: list[str] | None = None) -> DataFrame:
     """(order, cluster): the smallest id of each cluster of near copies; single texts are their own cluster.
 
-    Equal signatures collapse before the bands are spread out, so copies cost one row.
+    ``within`` names columns that near copies must share (not null).  Equal
+    signatures collapse before the bands are spread out, so copies cost one row.
     """
-    signed = scratch.written(df.select(order, band_hashes(F.col(text)).alias("bands")), "signatures")
-    kinds = scratch.written(signed.filter("bands is not null").groupBy("bands").agg(F.min(order).alias("low")), "kinds")
-    roots = connected_components(bucket_edges(kinds.withColumnRenamed("low", order), order))
-    named = kinds.join(roots, kinds.low == roots.node, "left").select("bands", F.coalesce("component", "low").alias("cluster"))
-    return signed.join(named, "bands", "left").select(order, F.coalesce("cluster", F.col(order)).alias("cluster"))
+    within = list(within or [])
+    signed = scratch.written(df.select(order, *within, band_hashes(F.col(text)).alias("bands")), "signatures")
+    kinds = scratch.written(signed.filter("bands is not null").groupBy(*within, "bands").agg(F.min(order).alias("low")), "kinds")
+    roots = connected_components(bucket_edges(kinds.withColumnRenamed("low", order), order, within))
+    named = kinds.join(roots, kinds.low == roots.node, "left").select(*within, "bands", F.coalesce("component", "low").alias("cluster"))
+    return signed.join(named, [*within, "bands"], "left").select(order, F.coalesce("cluster", F.col(order)).alias("cluster"))
 
 
-def minhash(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
+def minhash(df: DataFrame, text: str = "text", order: str = "doc_id", within: list[str] | None = None) -> DataFrame:
     """One row of each cluster of near copies."""
-    away = minhash_clusters(df, text, order).filter(F.col("cluster") != F.col(order)).select(order)
+    away = minhash_clusters(df, text, order, within).filter(F.col("cluster") != F.col(order)).select(order)
     return df.join(away, order, "left_anti")
 
 

@@ -231,3 +231,49 @@ def test_error_classes(spark):
     from corpusloom.plans.web import ERRORS
 
     assert values(spark, filters.error_class(F.col("t")), *ERRORS) == ["[Errno 111] Connection refused", "Read timed out", "connect timeout", "404 Client Error", "4xx Client Error", "5xx Server Error", "Other error", "[Errno -2] Name or service not known"]
+
+
+def test_recipes(spark):
+    from corpusloom.sources import corpora
+
+    old = spark.createDataFrame([("1", "1900", "1950", None, "fr", "a\n\n            *** END OF THE PROJECT GUTENBERG EBOOK"), ("2", "1900", "1943", None, "fr", "b"), ("3", None, None, "copyright", "en", "c"), ("4", None, None, None, "de", "")], "id string, authoryearofbirth string, authoryearofdeath string, usagerights string, language string, text string")
+    assert [r.text for r in corpora.load(old, corpora.RECIPES["Gutenberg"]).collect()] == ["b"]
+    code = spark.createDataFrame([("h", "tex", "x"), ("i", "bib", "y")], "hexsha string, ext string, content string")
+    rows = corpora.load(code, corpora.RECIPES["TheStack.tex"], metadata=True).collect()
+    assert [(r.text, r.id, r.extra) for r in rows] == [("x", "h", '{"ext":"tex"}')]
+    math = spark.createDataFrame([({"Body": "Q"}, [{"Body": "A"}, {"Body": "B"}])], "question struct<Body:string>, answers array<struct<Body:string>>")
+    assert corpora.load(math, corpora.RECIPES["MathPile.StackExchange"]).first().text == "QA\n\nB"
+    film = spark.createDataFrame([((["a", "b"],),), (None,)], "fr struct<subtitles:array<string>>")
+    assert [r.text for r in corpora.load(film, corpora.RECIPES["Subscene"]).collect()] == ["a\nb"]
+    pair = spark.createDataFrame([("1", " one ", "un", "en", "fr")], "id string, text_1 string, text_2 string, lan_1 string, lan_2 string")
+    assert "one" in corpora.load(pair, corpora.RECIPES["EuroparlAligned"]).first().text
+
+
+def test_chats_and_benchmarks(spark):
+    from corpusloom.sources import corpora
+
+    df = spark.createDataFrame([("do", "", "fine"), ("do", "this", "As ChatGPT I")], "instruction string, input string, output string")
+    rows = corpora.render_chat(df, "Alpaca").collect()
+    assert [r.text for r in rows] == ["<s><|start_header_id|>user<|end_header_id|>\n\ndo<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\nfine<|eot_id|>"]
+    foreign = spark.createDataFrame([([("human", "hi"), ("gpt", " yo ")],)], "conversations array<struct<from:string,value:string>>")
+    assert corpora.render_chat(foreign, "Magpie").first().text.endswith("assistant<|end_header_id|>\n\nyo<|eot_id|>")
+    swag = spark.createDataFrame([(1, "C", ["a", "b"], "1"), (2, "D", ["a", "b"], "")], "k int, ctx string, endings array<string>, label string")
+    assert [(r.k, r.positive, r.negative) for r in corpora.benchmark(swag, "Hellaswag", "k", False).collect()] == [(1, ["b"], ["a"])]
+    mmlu = spark.createDataFrame([(1, "Q", ["a", "b", "c", "d"], 2)], "k int, question string, choices array<string>, answer int")
+    assert corpora.benchmark(mmlu, "MMLU", "k", False).first().positive == ["c"]
+
+
+def test_previews(spark):
+    from pyspark.sql import types
+
+    from corpusloom.operators import reports
+
+    df = spark.createDataFrame([([1, 2, 3, 4], "x" * 200)], "a array<int>, t string")
+    row = df.select(reports.preview(F.col("a"), df.schema["a"].dataType), reports.preview(F.col("t"), types.StringType(), 5), reports.visible(F.lit("a b\n"))).first()
+    assert tuple(row) == ("[1, ..., 4]", "xxxxx...", "a▁b\\n")
+
+
+def test_minhash_within_groups(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, "a", text), (2, "a", text), (3, "b", text)], "doc_id long, snapshot string, text string")
+    assert sorted(r.doc_id for r in dedup.minhash(df, within=["snapshot"]).collect()) == [1, 3]
