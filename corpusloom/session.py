@@ -1,9 +1,17 @@
-"""Spark sessions for tests, benchmarks and single machines."""
+"""Spark sessions, and the library's code on executors."""
 
 from __future__ import annotations
 
+import atexit
+import pathlib
+import shutil
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings that results here assume: UTC and adaptive plans."""
@@ -20,3 +28,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that Python functions find it wherever the driver was started."""
+    key = spark.sparkContext.applicationId
+    if key in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="corpusloom-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = f"{folder}/corpusloom.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(key)
