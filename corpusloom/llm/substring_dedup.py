@@ -106,7 +106,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         on = [i for i, f in enumerate(flags) if f.any()]
         return pa.table({"g": pa.array(groups[on].astype(np.int64)), "bucket": pa.array(np.full(len(on), t["bucket"][0].as_py(), np.int32)), "flags": pa.array([np.packbits(flags[i]).tobytes() for i in on], pa.binary())})
 
-    sent = dealt.select("g", "text").groupBy("g").applyInArrow(send, "bucket int, g long, hashes binary")
+    # all columns go along, so that both passes read one and the same exchange
+    sent = dealt.groupBy("g").applyInArrow(send, "bucket int, g long, hashes binary")
     flags = sent.groupBy("bucket").applyInArrow(answer, "g long, bucket int, flags binary")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     more = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("spans", span), ("kept_text", T.StringType()), *([("text", T.StringType())] if keep_text else [])]
