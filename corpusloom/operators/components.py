@@ -25,6 +25,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _seal(edges: DataFrame) -> tuple:
+    """A number and a sum of hashes that tell one set of edges from another."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
     """(node, component) of every node of an edge; component is its smallest node.
 
@@ -35,15 +40,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     pairs = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"), F.col(src).alias("_a"), F.col(dst).alias("_b"))
     now = scratch.written(pairs.filter("_a is not null and _b is not null and u <> v").select("u", "v").distinct(), "edges")
-    seal = None
+    seal = _seal(now)
     for _ in range(max_rounds):
+        if not seal[0]:
+            break
         new = scratch.written(_small_star(_large_star(now)), "edges")
-        mark = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         scratch.drop(now)
-        now = new
-        if tuple(mark) == seal:
+        now, before, seal = new, seal, _seal(new)
+        if seal == before:  # a star forest stays as it is
             break
-        seal = tuple(mark)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
