@@ -57,3 +57,14 @@ def block_means(df: DataFrame, order: str, values: list[str], k: int) -> DataFra
     """Means over runs of k rows; the last run may be shorter."""
     rows = chunked(df, order, k, "block")
     return rows.groupBy("block").agg(*[F.avg(v).alias(v) for v in values], F.max(order).alias(order), F.count("*").alias("n"))
+
+
+def keep_by_position(df: DataFrame, order: str, side: DataFrame, accepted: Column) -> DataFrame:
+    """Rows whose place, from 0, has an accepted entry in a side table (idx, ...); an equi join on the place."""
+    good = side.filter(accepted).select(F.col("idx").alias("_row"))
+    return numbered(df, order, "_row").join(good, "_row", "left_semi").drop("_row")
+
+
+def examples(df: DataFrame, order: str, words: Column, first: int, long_over: int | None = None) -> DataFrame:
+    """The first texts in order, or the first of more than ``long_over`` words, to look at."""
+    return (df.filter(words > long_over) if long_over is not None else df).orderBy(order).limit(first)

@@ -119,3 +119,32 @@ def length_estimate(spark, sf):
 @query("select doc_id, copy from (select doc_id, unnest(range(1, 4)) as copy from documents where doc_id < 20)")
 def repeated_source(spark, sf):
     return docs(spark, sf).filter("doc_id < 20").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(3)).cast("array<long>")).alias("copy"))
+
+
+@query("select doc_id from (select doc_id, row_number() over (order by doc_id) - 1 as r from documents) d join (select page_id as idx, case page_id % 3 when 0 then 'ru' when 1 then 'fr' else 'en' end as lang from pages) s on d.r = s.idx where s.lang in ('en', 'fr', 'de', 'es', 'it')")
+def positional_filter(spark, sf):
+    """The k-th row stays if the k-th line of a side table names a wanted language."""
+    side = table(spark, sf, "pages").select(F.col("page_id").alias("idx"), F.when(F.col("page_id") % 3 == 0, "ru").when(F.col("page_id") % 3 == 1, "fr").otherwise("en").alias("lang"))
+    return ordered.keep_by_position(docs(spark, sf), "doc_id", side, F.col("lang").isin("en", "fr", "de", "es", "it")).select("doc_id")
+
+
+@query(f"select doc_id from documents where {_N} > 1000 order by doc_id limit 5")
+def long_examples(spark, sf):
+    from corpusloom.functions.text import word_count
+
+    return ordered.examples(docs(spark, sf, "text"), "doc_id", word_count(F.col("text")), 5, 1000).select("doc_id")
+
+
+@query(f"select doc_id, {_N}::bigint as n from documents where doc_id < 101")
+def first_lengths(spark, sf):
+    """Lengths of the first 101 texts."""
+    from corpusloom.functions.text import word_count
+
+    first = ordered.numbered(docs(spark, sf, word_count(F.col("text")).alias("n")), "doc_id", "at")
+    return first.filter("at <= 100").select("doc_id", "n")
+
+
+@query("select doc_id, md5(coalesce(case when doc_id % 2 = 0 then text end, source)) as text from documents")
+def text_key(spark, sf):
+    """The text's own column, or the fallback."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(F.coalesce(F.when(F.col("doc_id") % 2 == 0, F.col("text")), F.col("source"))).alias("text"))
