@@ -38,7 +38,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     fold = labelled.fold_of(F.col("doc_id"), 3)
     index, ids = toxicity.train(docs, labels, allowed=fold != 1)
-    out = docs.select("doc_id", (fold == 1).alias("held_out"), toxicity.judge(F.col("text"), index, ids).alias("t"))
+    out = docs.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), toxicity.judge(F.col("text"), index, ids).alias("t"))
     return out.select("doc_id", "held_out", F.col("t.score").alias("score"), (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.array_join(F.col("t.evidence").cast("array<string>"), ",").alias("evidence"))
 
 
@@ -53,7 +53,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     fold = labelled.fold_of(F.col("doc_id"), 5)
     model = quality_classifier.train(docs, labels, allowed=fold != 0)
-    out = docs.select("doc_id", (fold == 0).alias("held_out"), quality_classifier.score(F.col("text"), model).alias("score"))
+    out = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), quality_classifier.score(F.col("text"), model).alias("score"))
     return out.select("*", (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
 
 
