@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import kernels as K
+from corpusloom.operators import dedup
 from corpusloom.operators.components import connected_components
 from corpusloom.sources import scratch
 
@@ -217,28 +218,80 @@ def link_edges(fps: DataFrame, radius: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(join, "src long, dst long")
 
 
+def classes_of(fp: DataFrame, radius: int) -> DataFrame:
+    """(doc_id, fp, component_id) of a table (doc_id, fp)."""
+    nodes = scratch.written(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
+    root = connected_components(link_edges(nodes, radius))
+    named = nodes.join(root, nodes.fp == root.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    classes = named.join(lowest, "root").select("fp", "component_id")
+    return fp.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """(id, fp, component_id), one row per row of df; component_id is the smallest id reachable over links of at most ``radius`` bits.
 
     The fingerprint is written once and everything after it works on 16 bytes a document.
     """
     fp = scratch.written(df.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), width).alias("fp")), "fingerprints")
-    nodes = scratch.written(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    root = connected_components(link_edges(nodes, radius))
-    named = nodes.join(root, nodes.fp == root.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = named.join(lowest, "root").select("fp", "component_id")
-    return fp.join(classes, "fp", "left").select(F.col("doc_id").alias(id_col), "fp", "component_id")
+    return classes_of(fp, radius).withColumnRenamed("doc_id", id_col)
+
 
+def shingle_set(text: Column, width: int) -> Column:
+    """Hashes of a text's distinct word shingles."""
+
+    @F.arrow_udf("array<bigint>")
+    def shingles(col: pa.Array) -> pa.Array:
+        data, off = K.text_bytes(col)
+        values, counts = [np.zeros(0, np.uint64)], [0]
+        for _, _, d, o in K.pieces(data, off):
+            words = K.Words(d, o)
+            h, at = K.windows(words.hashes(fold=True), words.row, width)
+            row = np.searchsorted(at, words.row)
+            for lo, hi in zip(row[:-1].tolist(), row[1:].tolist(), strict=True):
+                values.append(np.unique(h[lo:hi]))
+                counts.append(len(values[-1]))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64)))
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 3) -> DataFrame:
+    return shingles(text)
+
+
+def looser_edges(signed: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges (src, dst) between texts of at least a Jaccard similarity of their shingles, which 64 bits can't tell within a small radius.
+
+    signed: (_id, _bands).  MinHash bands propose the smallest id of each
+    bucket for every other, and the shingles themselves decide.
+    texts: (_id, _t).
+    """
+    kinds = scratch.written(signed.groupBy("_bands").agg(F.min("_id").alias("low")), "kinds")
+    same = signed.join(kinds, "_bands").filter("_id <> low").select(F.col("low").alias("src"), F.col("_id").alias("dst"))
+    stars = dedup.bucket_edges(kinds.select("low", F.col("_bands").alias("bands")), "low")
+    pairs = scratch.written(stars.union(same).distinct(), "pairs")
+    some = pairs.select(F.col("src").alias("_id")).union(pairs.select("dst")).distinct()
+    sets = texts.join(some, "_id", "left_semi").select("_id", shingle_set(F.col("_t"), width).alias("s"))
+    sets = scratch.written(sets.groupBy("_id").agg(F.min("s").alias("s")), "shingles")
+    both = pairs.join(sets.select(F.col("_id").alias("src"), F.col("s").alias("a")), "src").join(sets.select(F.col("_id").alias("dst"), F.col("s").alias("b")), "dst")
+    shared = F.size(F.array_intersect("a", "b"))
+    return both.filter(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("src", "dst")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 3, similarity: float | None = 0.8) -> DataFrame:
     """The rows of df, less all but the smallest id of each component.
 
-    Of rows that share the surviving id and are in its component, the one with
-    the smallest text stays.  Rows without an id can't be named, and stay.
+    With ``similarity``, components of the rows left over by looser_edges count
+    too.  Of rows that share the surviving id and are in its component, the one
+    with the smallest text stays.  Rows without an id can't be named, and stay.
     """
-    classes = scratch.written(near_duplicates(df, id_col, text_col, width, radius).select(F.col(id_col).alias("_id"), F.col("fp").alias("_fp"), "component_id").filter("_id is not null"), "classes")
-    kept = classes.filter("_id = component_id").select("_id", "_fp").distinct()
+    bands = dedup.band_hashes(F.col(text_col), width=width) if similarity else F.lit(None).cast("array<bigint>")
+    base = scratch.written(df.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), width).alias("_fp"), bands.alias("_bands")), "fingerprints")
+    classes = classes_of(base.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp")), radius)
+    classes = scratch.written(classes.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").filter("_id is not null"), "classes")
+    kept = scratch.written(classes.filter("_id = component_id").select("_id", "_fp").distinct(), "kept")
+    if similarity:
+        signed = base.filter("_bands is not null").join(kept, ["_id", "_fp"], "left_semi").groupBy("_id").agg(F.min("_bands").alias("_bands"))
+        edges = looser_edges(signed, df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), width, similarity)
+        away = connected_components(edges).filter("node <> component").select(F.col("node").alias("_id"))
+        kept = kept.join(away, "_id", "left_anti")
     out = df.join(kept.select("_id"), df[id_col] == F.col("_id"), "left_semi")
     many = classes.groupBy("_id").count().filter("count > 1").join(kept.select("_id"), "_id", "left_semi").select("_id")
     if many.limit(1).count():

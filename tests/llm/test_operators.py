@@ -150,7 +150,7 @@ def test_vantage_tree_finds_every_link():
 
 
 def test_keep_one(spark, docs):
-    kept = simhash.keep_one(docs, width=3, radius=2)
+    kept = simhash.keep_one(docs, width=3, radius=2, similarity=None)
     assert kept.columns == docs.columns
     rows = kept.collect()
     want = {c for _, _, c in brute_components(fixture_rows(), 3, 2)}
@@ -158,6 +158,29 @@ def test_keep_one(spark, docs):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def jaccard(a, b, width=5):
+    sets = []
+    for t in (a, b):
+        w = [x.lower() for x in WORD.findall(t or "")]
+        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)})
+    return len(sets[0] & sets[1]) / max(len(sets[0] | sets[1]), 1)
+
+
+def test_keep_one_catches_looser_copies(spark):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 150, 5000)) for i in range(40)]
+    for i in range(30):
+        words = rows[i][1].split(" ")
+        for _ in range(3 if i < 20 else 40):
+            words[rng.randrange(150)] = "zz"
+        rows.append((100 + i, " ".join(words)))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = {100 + i for i in range(30) if jaccard(rows[i][1], rows[40 + i][1]) >= 0.8}
+    assert set(range(40)) <= kept and 15 <= len(near)
+    assert len(near & kept) <= 0.1 * len(near) + 1
+    assert {100 + i for i in range(20, 30)} <= kept
+
+
 def test_byte_bpe(spark, docs):
     tiktoken = pytest.importorskip("tiktoken")
     path, pattern = vocabulary()
