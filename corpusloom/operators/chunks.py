@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +16,33 @@ def repair_overlaps(chunks: Column) -> Column:
     return F.transform(chunks, lambda c, i: F.struct(F.greatest(c["start"], before(i)).alias("start"), c["end"].alias("end")))
 
 
+def _press(text: str, good: list[int]) -> str:
+    """Chunks of a text by number, widened to line breaks, with a mark wherever something is left out before one."""
+    out, at = [], 0
+    for i in good:
+        start = max(text.rfind("\n", 0, i * CHUNK), 0, at)
+        end = text.find("\n", (i + 1) * CHUNK)
+        end = len(text) if end < 0 else end
+        out += [GAP if start > at else "", text[start:end]]
+        at = end
+    whole = "".join(out)
+    return "" if whole == GAP else whole
+
+
 def press_text(perplexity: str = "perplexity", language: str = "language", score: str = "score", text: str = "text", want: str = "fr") -> Column:
-    """The good chunks of a text, a mark where something is left out before or between them; empty if nothing is good.  Takes column names."""
-    good = f"filter(transform(arrays_zip({perplexity}, {language}, {score}), (r, i) -> CASE WHEN r.{perplexity} BETWEEN 10 AND 1000 AND r.{language} = '{want}' AND r.{score} >= 0.65 THEN i END), i -> i IS NOT NULL)"
-    head = f"substring({text}, 1, i * {CHUNK})"
-    start = f"CASE WHEN i > 0 AND instr({head}, '\\n') > 0 THEN length({head}) - instr(reverse({head}), '\\n') ELSE 0 END"
-    found = f"locate('\\n', {text}, (i + 1) * {CHUNK} + 1)"
-    wide = F.expr(f"transform({good}, i -> struct({start} AS start, CASE WHEN {found} > 0 THEN {found} - 1 ELSE length({text}) END AS end))")
-    chunks = repair_overlaps(wide)
-    piece = lambda c: F.when(c["end"] > c["start"], F.substring(F.col(text), c["start"] + 1, c["end"] - c["start"])).otherwise(F.lit(""))
-    gap = lambda c, i: F.when(c["start"] > F.coalesce(F.get(chunks, i - F.lit(1))["end"], F.lit(0)), F.lit(GAP)).otherwise(F.lit(""))
-    out = F.array_join(F.transform(chunks, lambda c, i: F.concat(gap(c, i), piece(c))), "")
-    return F.when(out == GAP, F.lit("")).otherwise(F.coalesce(out, F.lit("")))
+    """The good chunks of a text, a mark where something is left out before or between them; empty if nothing is good.  Takes column names.
+
+    Which chunks are good is a native expression; looking for line breaks from
+    a place onwards is not, without a copy of the text for each chunk.
+    """
+    fair = f"r.{perplexity} BETWEEN 10 AND 1000 AND r.{language} = '{want}' AND r.{score} >= 0.65"
+    good = F.expr(f"filter(transform(arrays_zip({perplexity}, {language}, {score}), (r, i) -> CASE WHEN {fair} THEN i END), i -> i IS NOT NULL)")
+
+    @F.arrow_udf("string")
+    def joined(texts: pa.Array, chunks: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else _press(t, c or []) for t, c in zip(texts.to_pylist(), chunks.to_pylist(), strict=True)], pa.string())
+
+    return joined(F.col(text), good)
 
 
 def thesis_text(text: Column, starts: Column, ends: Column, log_prob: Column, language: Column, most: float = 2000) -> Column:
