@@ -89,35 +89,10 @@ def clean_channel_log(text: Column) -> Column:
     return F.when(code.isin(EXCLUDED_CHANNELS), F.lit("")).otherwise(fix_mojibake(text))
 
 
-def drop_common_lines(text: Column, times: int = 10, length: int = 10) -> Column:
-    """Drop every line (with its line or page break) of ``length`` characters or more that comes ``times`` times or more."""
-    lines = F.regexp_extract_all(text, F.lit(r"([^\n\x0c]*[\n\x0c]|[^\n\x0c]+$)"), F.lit(1))
-    ordered = F.array_sort(F.filter(lines, lambda x: F.length(x) >= length))
-    # in sorted order a line is common if the line ``times`` - 1 places on is the same
-    common = F.array_distinct(F.filter(F.transform(ordered, lambda x, i: F.when(F.get(ordered, i + F.lit(times - 1)) == x, x)), lambda x: x.isNotNull()))
-    return F.array_join(F.filter(lines, lambda x: ~F.array_contains(common, x)), "")
-
-
 def drop_cover_page(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)^.*?HAL is a multi-disciplinary open access.*?\x0c", "")
 
 
-def drop_bad_pages(text: Column, max_lines: int = 200, max_control: float = 0.2) -> Column:
-    """Drop pages (ended by form feeds) of too many lines or control characters."""
-    pages = F.regexp_extract_all(text, F.lit(r"([^\x0c]*\x0c|[^\x0c]+$)"), F.lit(1))
-
-    def keep(page: Column) -> Column:
-        lines = F.length(page) - F.length(F.replace(page, F.lit("\n"), F.lit(""))) + 1
-        control = F.length(page) - F.length(F.regexp_replace(page, "[\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F�]", ""))
-        return (lines <= max_lines) & (control / F.length(page) <= max_control)
-
-    return F.array_join(F.filter(pages, keep), "")
-
-
-def clean_thesis(text: Column) -> Column:
-    return strip(drop_bad_pages(drop_common_lines(drop_cover_page(text))))
-
-
 def fix_apostrophe(text: Column) -> Column:
     return F.regexp_replace(text, " ?'s ?", "'s")
 

@@ -60,7 +60,7 @@ c as (select *, count(*) over (partition by doc_id, line) as n from e where line
 select doc_id, md5(coalesce(string_agg(line, '' order by i) filter (not (n >= 10 and length(line) >= 10)), '')) as text from c group by doc_id""")
 def common_lines_dropped(spark, sf):
     text = F.concat(F.expr("repeat('same old line\\n', cast(doc_id % 4 + 8 as int))"), "text")
-    return docs(spark, sf).select("doc_id", F.md5(T.drop_common_lines(text)).alias("text"))
+    return docs(spark, sf).select("doc_id", F.md5(udfs.without_common_lines(text)).alias("text"))
 
 
 @query("""select doc_id, md5(case when doc_id % 2 = 0 then trim(text, ' ' || chr(10)) else trim(text, ' ' || chr(10)) || chr(12) || 'end' end) as text from documents where length(text) - length(replace(text, chr(10), '')) < 9""")
@@ -70,7 +70,7 @@ def thesis_cleaned(spark, sf):
     end = F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("\x0cend"))
     junk = F.lit("\x0c" + "\x01\x02x" * 40)
     short = docs(spark, sf).filter("length(text) - length(replace(text, '\\n', '')) < 9")
-    return short.select("doc_id", F.md5(T.clean_thesis(F.concat(cover, T.strip(F.col("text")), end, junk))).alias("text"))
+    return short.select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, T.strip(F.col("text")), end, junk))).alias("text"))
 
 
 @query("""select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'en', 'e-' || chr(10) || 'n'), '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g'), '([,;])\\s*\\n', '\\1 ', 'g'), '\\n\\s*([a-z»])', ' \\1', 'g'), ' {2,}', ' ', 'g')) as text from documents""")

@@ -70,7 +70,7 @@ def _press(df: DataFrame) -> DataFrame:
 
 def _thesis(df: DataFrame) -> DataFrame:
     raw = chunks.thesis_text(F.col("complete_text"), F.col("chunk_start"), F.col("chunk_end"), F.col("ccnet_avg_log_prob"), F.col("fasttext_language"))
-    df = df.withColumn("text", T.clean_thesis(raw)).drop("complete_text")
+    df = df.withColumn("text", udfs.clean_thesis(raw)).drop("complete_text")
     return df.withColumn("word_count", T.word_count(F.col("text"))).withColumn("character_count", F.length("text"))
 
 

@@ -41,8 +41,8 @@ def test_cleaners(spark):
     assert values(spark, T.clean_channel_log(F.col("t")), "#ubuntu-ru hi", "#kubuntu-de hi", "#ubuntu-meeting x") == ["", "#kubuntu-de hi", "#ubuntu-meeting x"]
     assert values(spark, T.drop_annotations(F.col("t")), " .[header] a [x] b. [y]") == ["a. b."]
     assert values(spark, T.mask_pii(F.col("t")), "me@x.org at 10.0.0.255, 999.1.1.1") == ["<email> at <ip>, 999.1.1.1"]
-    assert values(spark, T.drop_common_lines(F.col("t")), "0123456789\n" * 9 + "x", "0123456789\n" * 10 + "x", "short\n" * 20) == ["0123456789\n" * 9 + "x", "x", "short\n" * 20]
-    assert values(spark, T.drop_bad_pages(F.col("t")), "ok\x0c" + "l\n" * 200 + "\x0cend") == ["ok\x0cend"]
+    assert values(spark, udfs.without_common_lines(F.col("t")), "0123456789\n" * 9 + "x", "0123456789\n" * 10 + "x", "short\n" * 20) == ["0123456789\n" * 9 + "x", "x", "short\n" * 20]
+    assert values(spark, udfs.without_bad_pages(F.col("t")), "ok\x0c" + "l\n" * 200 + "\x0cend") == ["ok\x0cend"]
 
 
 def test_hosts(spark):
