@@ -15,6 +15,8 @@ than one another; rows that share an id are never smaller than one another.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions import kernels as K
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 6 << 20
 CUT_POINTS = 2000
 LAST = np.iinfo(np.int64).max
 
@@ -32,7 +34,8 @@ def _bounds(df: DataFrame, group_bytes: int) -> tuple[np.ndarray, int]:
     """Ids that open a group (all but the first), and the number of buckets, from one scan."""
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total, low, high = df.agg(F.sum(F.octet_length("text").cast("long")), F.min("doc_id"), F.max("doc_id")).first()
-    groups = max(slots, -(-(total or 0) // group_bytes))
+    # with the root of the total, groups and buckets grow alike, and a group keeps some hashes for each bucket
+    groups = max(slots, -(-(total or 0) // max(group_bytes, 8 * math.isqrt(total or 0))))
     if low is None or low == high:
         return np.zeros(0, np.int64), groups
     points = min(groups, CUT_POINTS)
@@ -124,6 +127,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         owner = ids[np.concatenate(at_row)] if len(h) else np.zeros(0, np.int64)
         by = np.argsort(h, kind="stable")
         sh = h[by]
+        del h
         head = np.ones(len(sh), bool)
         head[1:] = sh[1:] != sh[:-1]
         run = np.cumsum(head) - 1
@@ -137,7 +141,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             elsewhere[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(blob.as_buffer(), np.uint8))[:n].astype(bool)
         if len(sh):
             gone |= elsewhere[run]
-        removed = np.zeros(len(h), bool)
+        removed = np.zeros(len(sh), bool)
         removed[by] = gone
         n_words, n_removed, spans, kept, seen = [], [], [], [], 0
         for lo, hi, w, x, at in done:
