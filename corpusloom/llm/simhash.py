@@ -15,6 +15,7 @@ not null, or null where there is none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -257,39 +258,68 @@ def shingle_set(text: Column, width: int) -> Column:
 
 
 def looser_edges(signed: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Edges (src, dst) between texts of at least a Jaccard similarity of their shingles, which 64 bits can't tell within a small radius.
-
-    signed: (_id, _bands).  MinHash bands propose the smallest id of each
-    bucket for every other, and the shingles themselves decide.
-    texts: (_id, _t).
+    """Edges (src, dst) between components that hold texts of at least a Jaccard similarity of their shingles, which 64 bits can't tell within a small radius.
+
+    signed: (_k, _bands, _c, _id), a row for each distinct text: its hash, its
+    component so far, and a row that has it.  texts: (_id, _k, _t).  MinHash
+    bands propose, and the shingles themselves decide.
+
+    In rounds, some texts of each bucket are centres and are compared with all
+    others there that aren't in their component yet.  Then they leave the
+    bucket, what they reach is joined, and a bucket is done when one component
+    is left in it.  So every two texts that share a bucket are compared or are
+    connected already.  A bucket's centres are its text with the most links so
+    far and a share by hash, which grows fourfold each round.
     """
-    kinds = scratch.written(signed.groupBy("_bands").agg(F.min("_id").alias("low")), "kinds")
-    same = signed.join(kinds, "_bands").filter("_id <> low").select(F.col("low").alias("src"), F.col("_id").alias("dst"))
-    stars = dedup.bucket_edges(kinds.select("low", F.col("_bands").alias("bands")), "low")
-    pairs = scratch.written(stars.union(same).distinct(), "pairs")
-    some = pairs.select(F.col("src").alias("_id")).union(pairs.select("dst")).distinct()
-    sets = texts.join(some, "_id", "left_semi").select("_id", shingle_set(F.col("_t"), width).alias("s"))
-    sets = scratch.written(sets.groupBy("_id").agg(F.min("s").alias("s")), "shingles")
-    both = pairs.join(sets.select(F.col("_id").alias("src"), F.col("s").alias("a")), "src").join(sets.select(F.col("_id").alias("dst"), F.col("s").alias("b")), "dst")
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.filter(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("src", "dst")
+    keys = ["band", "h"]
+    cells = signed.select("_k", "_c", F.lit(0).cast("long").alias("links"), F.posexplode("_bands").alias(*keys))
+    sets, found, few = None, [], 0
+    while True:
+        top = F.max(F.struct("links", "_k")).alias("top")
+        buckets = cells.groupBy(*keys).agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"), F.count("*").alias("n"), top).filter("lo <> hi")
+        centre = (F.col("top._k") == F.col("_k")) | (F.pmod(F.xxhash64("_k", F.lit(few)), F.col("n")) < few)
+        here = scratch.written(cells.join(buckets, keys).select(*keys, "_k", "_c", "links", centre.alias("centre")), "cells")
+        if not here.limit(1).count():
+            break
+        if sets is None:
+            some = signed.join(here.select("_k").distinct(), "_k", "left_semi").select("_id", "_k")
+            sets = texts.join(some, ["_id", "_k"], "left_semi").select("_k", shingle_set(F.col("_t"), width).alias("s"))
+            sets = scratch.written(sets.groupBy("_k").agg(F.min("s").alias("s")), "shingles")
+        a = here.filter("centre").select(*keys, F.col("_k").alias("ka"), F.col("_c").alias("src"))
+        b = here.select(*keys, F.col("_k").alias("kb"), F.col("_c").alias("dst"), F.col("centre").alias("both"))
+        pairs = scratch.written(a.join(b, keys).filter("src <> dst and (not both or ka < kb)").select("ka", "kb", "src", "dst").distinct(), "pairs")
+        both = pairs.join(sets.select(F.col("_k").alias("ka"), F.col("s").alias("a")), "ka").join(sets.select(F.col("_k").alias("kb"), F.col("s").alias("b")), "kb")
+        shared = F.size(F.array_intersect("a", "b"))
+        near = scratch.written(both.filter(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("ka", "kb", "src", "dst"), "near")
+        scratch.drop(pairs)
+        cells = here.filter("not centre").drop("centre")
+        if near.limit(1).count():
+            found.append(near.select("src", "dst"))
+            more = near.select(F.col("ka").alias("_k")).union(near.select("kb")).groupBy("_k").agg(F.count("*").alias("more"))
+            root = connected_components(near)
+            cells = cells.join(more, "_k", "left").join(root, F.col("_c") == F.col("node"), "left")
+            cells = cells.select("_k", F.coalesce("component", "_c").alias("_c"), (F.col("links") + F.coalesce("more", F.lit(0))).alias("links"), *keys)
+        few = max(4 * few, 3)
+    return reduce(DataFrame.union, found) if found else signed.select(F.col("_c").alias("src"), F.col("_c").alias("dst")).limit(0)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 3, similarity: float | None = 0.8) -> DataFrame:
     """The rows of df, less all but the smallest id of each component.
 
-    With ``similarity``, components of the rows left over by looser_edges count
-    too.  Of rows that share the surviving id and are in its component, the one
+    With ``similarity``, components that looser_edges connects are one, whichever
+    of their texts are near.  Of rows that share the surviving id and are in its component, the one
     with the smallest text stays.  Rows without an id can't be named, and stay.
     """
     bands = dedup.band_hashes(F.col(text_col), width=width) if similarity else F.lit(None).cast("array<bigint>")
-    base = scratch.written(df.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), width).alias("_fp"), bands.alias("_bands")), "fingerprints")
+    base = scratch.written(df.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), width).alias("_fp"), bands.alias("_bands"), F.xxhash64(F.col(text_col)).alias("_k")), "fingerprints")
     classes = classes_of(base.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp")), radius)
     classes = scratch.written(classes.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").filter("_id is not null"), "classes")
     kept = scratch.written(classes.filter("_id = component_id").select("_id", "_fp").distinct(), "kept")
     if similarity:
-        signed = base.filter("_bands is not null").join(kept, ["_id", "_fp"], "left_semi").groupBy("_id").agg(F.min("_bands").alias("_bands"))
-        edges = looser_edges(signed, df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), width, similarity)
+        distinct = base.filter("_bands is not null and _id is not null").groupBy("_k").agg(F.min("_bands").alias("_bands"), F.min("_fp").alias("_fp"), F.min("_id").alias("_id"))
+        part = classes.groupBy("_fp").agg(F.min("component_id").alias("_c"))
+        signed = scratch.written(distinct.join(part, "_fp").select("_k", "_bands", "_c", "_id"), "signed")
+        edges = looser_edges(signed, df.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_k"), F.col(text_col).alias("_t")), width, similarity)
         away = connected_components(edges).filter("node <> component").select(F.col("node").alias("_id"))
         kept = kept.join(away, "_id", "left_anti")
     out = df.join(kept.select("_id"), df[id_col] == F.col("_id"), "left_semi")

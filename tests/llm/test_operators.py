@@ -181,6 +181,23 @@ def test_keep_one_catches_looser_copies(spark):
     assert {100 + i for i in range(20, 30)} <= kept
 
 
+def test_keep_one_compares_all_of_a_bucket(spark):
+    """Copies near the original, which has the largest id, and not near each other."""
+    rng = random.Random(12)
+    whole = prose(rng, 400, 5000)
+    copies = []
+    for i in range(60):
+        words = whole.split(" ")
+        for k in rng.sample(range(10, 390), 5):
+            words[k] = f"zz{i}x{k}"
+        copies.append((i, " ".join(words)))
+    apart = sum(jaccard(copies[0][1], t) < 0.8 for _, t in copies[1:])
+    assert apart > 50 and all(jaccard(whole, t) >= 0.8 for _, t in copies)
+    rows = [*copies, (1000, whole), (2000, prose(rng, 400, 5000))]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {0, 2000} <= kept and len(kept) <= 4
+
+
 def test_byte_bpe(spark, docs):
     tiktoken = pytest.importorskip("tiktoken")
     path, pattern = vocabulary()
