@@ -11,6 +11,11 @@ decides.  Windows that cannot match are passed over first, without loss: of
 d + 1 disjoint pieces of an item, d edits leave one whole, so a match begins
 near a place where a piece occurs.
 
+Signatures alone lose matches, the more the longer an item is.  So each place
+of a piece is also compared directly: where some passage around it is within d
+edits of the item, all its starts are candidates.  Every match is found, for
+items of any size and edits of any kind.
+
 Items of fewer than MIN_WORDS words are no passages and match nothing.  The
 items go to the executors in blocks of at most BLOCK_WORDS words, one pass over
 the texts for each block.  Null and empty texts leak nothing; repeated items
@@ -76,6 +81,19 @@ def edit_distance(items: np.ndarray, spans: np.ndarray, room: np.ndarray) -> tup
     return row[np.arange(count), best], best
 
 
+def passage_distance(items: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """For each row the least edit distance of an item to any passage of its span."""
+    count, n = items.shape
+    place = np.arange(spans.shape[1] + 1, dtype=np.int32)
+    row = np.zeros((count, len(place)), np.int32)
+    for i in range(n):
+        step = np.empty_like(row)
+        step[:, 0] = i + 1
+        step[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (spans != items[:, i : i + 1]))
+        row = np.minimum.accumulate(step - place, axis=1) + place
+    return row.min(axis=1)
+
+
 class Items:
     """One block of items: words, pieces, and LSH tables."""
 
@@ -107,9 +125,9 @@ class Items:
                         table.setdefault((r, t, s), []).append(item)
             self.tables[n] = table
 
-    def starts(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (size, first word) of windows that may match."""
-        size, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def hits(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, item, first word if nothing before the piece is edited) of places where a piece occurs; a match begins at most d words from one."""
+        docs, items, begins = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for q, (have, of, shift, gate) in self.pieces.items():
             x, at = K.windows(h, row, q)
             on = np.flatnonzero(gate[(x >> K.U(44)).astype(np.int64)])
@@ -117,21 +135,46 @@ class Items:
             lo, hi = np.searchsorted(have, x, "left"), np.searchsorted(have, x, "right")
             k = K.ragged(np.arange(len(have)), lo, hi - lo)
             at = np.repeat(at, hi - lo)
-            d = self.edits[of[k]]
-            begin = np.repeat(at - shift[k] - d, 2 * d + 1) + K.ragged(np.arange(2 * int(self.edits.max()) + 1), np.zeros(len(d), np.int64), 2 * d + 1)
-            n = np.repeat(self.n[of[k]], 2 * d + 1)
-            doc = np.repeat(np.searchsorted(row, at, "right") - 1, 2 * d + 1)
-            ok = (begin >= row[doc]) & (begin < row[doc + 1])
-            key = np.unique(n[ok] << 40 | begin[ok])
-            size.append(key >> 40)
-            first.append(key & ((1 << 40) - 1))
-        key = np.unique(np.concatenate(size) << 40 | np.concatenate(first))
-        return key >> 40, key & ((1 << 40) - 1)
+            docs.append(np.searchsorted(row, at, "right") - 1)
+            items.append(of[k])
+            begins.append(at - shift[k])
+        if not sum(map(len, docs)):
+            return docs[0], items[0], begins[0]
+        return tuple(np.unique(np.stack([np.concatenate(c) for c in (docs, items, begins)]), axis=1))
+
+    def around(self, doc: np.ndarray, item: np.ndarray, begin: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, first word) of all starts that are in the text and at most d words from a hit."""
+        d = self.edits[item]
+        most = int(self.edits.max(initial=0))
+        first = np.repeat(begin - d, 2 * d + 1) + K.ragged(np.arange(2 * most + 1), np.zeros(len(d), np.int64), 2 * d + 1)
+        doc, item = np.repeat(doc, 2 * d + 1), np.repeat(item, 2 * d + 1)
+        ok = (first >= row[doc]) & (first < row[doc + 1])
+        return item[ok], first[ok]
+
+    def near(self, h: np.ndarray, row: np.ndarray, doc: np.ndarray, item: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Which hits have a passage within d edits of the item around them."""
+        out = np.zeros(len(item), bool)
+        for n in np.unique(self.n[item]).tolist():
+            own = np.flatnonzero(self.n[item] == n)
+            d = int(self.edits[item[own[0]]])
+            step = max(1, min(4000, 1_000_000 // (n + 3 * d)))
+            for lo in range(0, len(own), step):
+                k = own[lo : lo + step]
+                at = begin[k][:, None] + np.arange(-d, n + 2 * d)
+                inside = (at >= row[doc[k]][:, None]) & (at < row[doc[k] + 1][:, None])
+                spans = np.where(inside, h[np.clip(at, 0, len(h) - 1)], K.U(0))
+                out[k] = passage_distance(self.words[self.row[item[k]][:, None] + np.arange(n)], spans) <= d
+        return out
 
     def candidates(self, h: np.ndarray, row: np.ndarray) -> set[tuple[int, int]]:
-        """(item, first word) pairs that share a sampled signature."""
-        size, first = self.starts(h, row)
-        found: set[tuple[int, int]] = set()
+        """(item, first word) pairs that share a sampled signature, or that a direct comparison doesn't rule out."""
+        doc, item, begin = self.hits(h, row)
+        on = self.near(h, row, doc, item, begin)
+        direct, places = self.around(doc[on], item[on], begin[on], row)
+        of, first = self.around(doc, item, begin, row)
+        key = np.unique(self.n[of] << 40 | first)
+        size, first = key >> 40, key & ((1 << 40) - 1)
+        found = set(zip(direct.tolist(), places.tolist(), strict=True))
         for n in np.unique(size).tolist():
             begin = first[size == n]
             stop = row[np.searchsorted(row, begin, "right")]

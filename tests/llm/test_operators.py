@@ -410,6 +410,32 @@ def test_decontamination_recall(spark, nothing):
     assert decontamination.contaminated(df, bench.limit(0)).collect() == []
 
 
+def test_decontamination_at_the_bound():
+    """Every leak of exactly d edits is found, whatever the size and the kind of edit."""
+    rng = random.Random(16)
+    for n in (5, 12, 20, 40, 58, 100, 150, 220):
+        d = n // 5
+        for kind in ("deletions", "block", "insertions", "substitutions"):
+            item = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            texts = []
+            for _ in range(15):
+                leak = list(item)
+                if kind == "block":
+                    k = rng.randrange(n - d)
+                    leak[k : k + d] = []
+                else:
+                    for k in sorted(rng.sample(range(n), d), reverse=True):
+                        leak[k : k + 1] = {"deletions": [], "insertions": [leak[k], "yy"], "substitutions": ["zz"]}[kind]
+                texts.append(" ".join(prose(rng, 30, 5000).split(" ") + leak + prose(rng, 30, 5000).split(" ")))
+            words = [decontamination.normal_words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for t in (" ".join(item), *texts)]
+            items = decontamination.Items(np.array([7]), words[0], np.array([0, n]))
+            row = np.concatenate([[0], np.cumsum([len(w) for w in words[1:]])])
+            got = items.leaks(np.concatenate(words[1:]), row)
+            assert [g[0] for g in got] == list(range(15)), (n, kind)
+            for doc, _, start, end, distance in got:
+                assert levenshtein(item, texts[doc].split(" ")[start:end])[-1] == distance <= d
+
+
 URLS = ["http://a.example.net/en/1", "https://example.net/de/x?q=1", "http://EXAMPLE.com/de/#f", "http://x.org/fr/y", "http://x.org/fry", "http://example.net", "no scheme", "", None, "x://h", "http://example.com/de", "ftp://notexample.com/de/", "http://b.net:80/", "http:///path", "http://a\nb.net/é?x://y"]
 
 
