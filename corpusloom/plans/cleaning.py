@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions import udfs
-from corpusloom.operators import chunks
+from corpusloom.operators import chunks, ordered
 from corpusloom.plans.registry import query, table
 
 
@@ -202,10 +202,13 @@ def long_theses(spark, sf):
 
 @query()
 def bilingual_split(spark, sf):
-    """French and English parts of lines that hold both."""
-    d = table(spark, sf, "documents").withColumn("one", F.regexp_replace(F.substring("text", 1, 200), r"\s+", " "))
-    fr, en = (d.filter(F.col("lang") == k).select(F.floor(F.col("doc_id") / 10).alias("r"), F.col("one").alias(k)).groupBy("r").agg(F.min(k).alias(k)) for k in ("fr", "en"))
-    both = fr.join(en, "r").select("r", F.concat("fr", F.lit("\t"), "en").alias("text"))
+    """French and English parts of lines that hold both: every French and English text, whole, beside one of the other language by row number; the fewer ones come again."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", F.regexp_replace("text", r"\s+", " ").alias("one"))
+    sides = [ordered.numbered(d.filter(F.col("lang") == k).select("doc_id", F.col("one").alias(k)), "doc_id", "r").drop("doc_id") for k in ("fr", "en")]
+    counts = [d.filter(F.col("lang") == k).count() for k in ("fr", "en")]
+    more, fewer = (sides if counts[0] >= counts[1] else sides[::-1])
+    lines = more.withColumn("at", F.col("r") % max(1, min(counts))).join(fewer.withColumnRenamed("r", "at"), "at")
+    both = lines.select("r", F.concat("fr", F.lit("\t"), "en").alias("text"))
     return both.select("r", udfs.bilingual_parts(F.col("text")).alias("p")).select("r", F.md5("p.text_en").alias("text_en"), F.md5("p.text_fr").alias("text_fr"))
 
 

@@ -82,6 +82,20 @@ def test_languages_and_bilingual():
     assert got["text_en"] == "the cat is  in the house" and got["text_fr"] == "le chat  est dans la maison"
 
 
+def test_bilingual_split_takes_whole_texts(spark, tmp_path):
+    import hashlib
+
+    from corpusloom.plans.cleaning import bilingual_split
+
+    fr = [f"le chat {i} est dans la maison " + "et il est avec nous " * 30 + f"fin{i}" for i in range(7)]
+    en = [f"the cat {i} is in the house " + "and it was on the hill " * 30 + f"end{i}" for i in range(3)]
+    rows = [(10 * i + 3, t, "fr") for i, t in enumerate(fr)] + [(i, t, "en") for i, t in enumerate(en)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    got = {tuple(r) for r in bilingual_split(spark, str(tmp_path)).select("r", "text_en", "text_fr").collect()}
+    assert got == {(i, md5(en[i % 3]), md5(fr[i])) for i in range(7)}
+
+
 def test_robots():
     assert udfs.may_fetch("User-agent: CCBot\nDisallow: /a", "http://h/b") and not udfs.may_fetch("User-agent: CCBot\nDisallow: /a", "http://h/a/x")
 
