@@ -1,22 +1,34 @@
 """Toxicity by exact TF-IDF cosine to labelled examples (operator 3).
 
-A bounded sample of labelled rows gives the examples.  The vocabulary is the
-terms of the sample whose presence goes with either label beyond chance (a G
-test), so the index stays small and its lists short; on it, TF-IDF and cosine
-are exact.  The inverted index keeps, for each term and block of examples, the
-largest weight; a query adds these up to a bound for each block and visits
-blocks by falling bound until no bound exceeds its K-th best cosine.  The K
-nearest vote with weight by distance; votes become calibrated scores by Platt
-scaling over the sample's own rows, each without itself.
+A bounded sample of labelled rows gives the examples, and every term of theirs
+is in the vocabulary.  A term weighs (1 + log tf) * idf * relevance: idf comes
+from document counts over the whole corpus, and relevance is FLOOR plus the G
+statistic of the term's presence and the label in the sample, as a multiple of
+2 log m, what the best of m terms reaches by chance.  So terms tied to the
+label lead, and a text whose words say nothing of the label still finds its
+own copy.
+
+The inverted index keeps, for each term and block of examples, the largest
+weight; a query adds these up to a bound for each block and visits blocks by
+falling bound until no bound exceeds its K-th best cosine, so the cosines are
+exact.  Examples stand in the order of their heaviest terms, which keeps most
+blocks' bounds low.  The K nearest vote with weight by distance; votes become
+calibrated scores by Platt scaling over the sample's own rows, each without
+itself.
 
 Terms are words without ASCII punctuation at their ends, A-Z as a-z.  A text
-without terms (null and empty ones too) has no neighbours: its vote is the
-share of label 1 among examples that have none either.  Without labels of both
-kinds every score is the share of label 1, or 0.
+without known terms (null and empty ones too) has no neighbours: its vote is
+the share of label 1 among examples that have none either.  Without labels of
+both kinds every score is the share of label 1, or 0.  Equal cosines go to the
+example that stands first in the index.  Ids play no part in a score: rows with
+a null or repeated id are scored like any other.  Clashing column names don't
+matter, as only the columns asked for are read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,10 +38,11 @@ from corpusloom.functions import kernels as K
 from corpusloom.llm import labelled as L
 
 PER_CLASS = 2000
-TERMS = 1024
 BLOCK = 64
 NEAREST = 8
+FLOOR = 0.05
 THRESHOLD = 0.7
+CELLS = 400_000  # (query, term, block) triples handled at once
 
 
 def word_terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,129 +51,217 @@ def word_terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return w.hashes(True, *w.bare()), w.of()
 
 
+class Terms:
+    """A sorted vocabulary of term hashes."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.gate = np.zeros(1 << 20, bool)
+        self.gate[(hashes >> K.U(44)).astype(np.int64)] = True
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def counts(self, h: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, occurrences) of the known words, by row and term."""
+        on = np.flatnonzero(self.gate[(h >> K.U(44)).astype(np.int64)])
+        h, of = h[on], of[on]
+        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self) - 1, 0))
+        ok = self.hashes[at] == h if len(self) else np.zeros(0, bool)
+        key, tf = np.unique(of[ok].astype(np.int64) << 32 | at[ok], return_counts=True)
+        return key >> 32, key & 0xFFFFFFFF, tf
+
+
 def _entropy(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     n = a + b
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(a > 0, a * np.log(a / n), 0) + np.where(b > 0, b * np.log(b / n), 0)
 
 
-def vocabulary(h: np.ndarray, of: np.ndarray, y: np.ndarray, terms: int = TERMS) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted term hashes, inverse document frequencies) of the terms most dependent on the label."""
-    pairs = np.unique(np.stack([h, of.astype(np.uint64)]), axis=1)
-    t, first, back = np.unique(pairs[0], return_index=True, return_inverse=True)
-    label = y[pairs[1].astype(np.int64)]
-    a = np.bincount(back, weights=label, minlength=len(t))
-    b = np.bincount(back, weights=1 - label, minlength=len(t))
+def relevance(row: np.ndarray, term: np.ndarray, y: np.ndarray, m: int) -> np.ndarray:
+    """FLOOR and the G statistic of each of m terms' presence and the label, over 2 log m."""
+    label = y[row]
+    a = np.bincount(term, weights=label, minlength=m)
+    b = np.bincount(term, weights=1 - label, minlength=m)
     pos, neg = y.sum(), len(y) - y.sum()
-    g = 2 * (_entropy(a, b) + _entropy(pos - a, neg - b) - _entropy(np.full(len(t), pos), np.full(len(t), neg)))
-    top = np.lexsort((t, -g))[:terms]
-    top = np.sort(top[g[top] >= 2 * np.log(len(t))])  # 2 log m: what the best of m terms reaches by chance
-    df = (a + b)[top]
-    return t[top], np.log((1 + len(y)) / (1 + df)) + 1
+    g = 2 * (_entropy(a, b) + _entropy(pos - a, neg - b) - _entropy(np.full(m, pos), np.full(m, neg)))
+    return FLOOR + np.maximum(g, 0) / (2 * np.log(max(m, 2)))
+
+
+def unit(row: np.ndarray, term: np.ndarray, tf: np.ndarray, idf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, weight) of unit vectors."""
+    weight = (1 + np.log(tf)) * idf[term]
+    norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=n))
+    return row, term, weight / norm[row]
+
+
+def _edges(sorted_values: np.ndarray, n: int) -> np.ndarray:
+    return np.searchsorted(sorted_values, np.arange(n + 1))
 
 
 class Index:
-    """Examples by term: weights in blocks of BLOCK examples, with each block's largest."""
+    """Examples by term and block of BLOCK examples, with each such cell's largest weight."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, y: np.ndarray):
-        self.terms, self.idf, self.n = terms, idf, len(y)
-        self.gate = np.zeros(1 << 16, bool)
-        self.gate[(terms >> K.U(48)).astype(np.int64)] = True
+    def __init__(self, terms: Terms, idf: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, y: np.ndarray):
+        self.terms, self.idf, self.n, self.y = terms, idf, len(y), y.astype(float)
+        self.blocks = -(-max(len(y), 1) // BLOCK)
         by = np.lexsort((row, term))
         row, term, weight = row[by], term[by], weight[by]
-        self.blocks = -(-max(len(y), 1) // BLOCK)
-        self.y = y.astype(float)
-        # lists: by term and block, example within the block
-        self.example, self.weight = (row % BLOCK).astype(np.int64), weight
-        cell = term.astype(np.int64) * self.blocks + row // BLOCK
-        self.begin = np.searchsorted(cell, np.arange(len(terms) * self.blocks + 1))
-        self.most = np.zeros(len(terms) * self.blocks)
-        np.maximum.at(self.most, cell, weight)
-        self.most = self.most.reshape(len(terms), self.blocks)
+        self.example, self.weight = row.astype(np.int32), weight
+        cell, first = np.unique(term * self.blocks + row // BLOCK, return_index=True)
+        self.posting = np.append(first, len(row)).astype(np.int32)  # a cell's postings
+        self.cell = _edges(cell // self.blocks, len(terms)).astype(np.int32)  # a term's cells
+        self.block = (cell % self.blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
         self.bare_share, self.slope, self.bias = 0.0, 1.0, 0.0
 
     def vectors(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) of unit TF-IDF vectors, by row."""
-        h, of = word_terms(data, off)
-        on = np.flatnonzero(self.gate[(h >> K.U(48)).astype(np.int64)])
-        h, of = h[on], of[on]
-        at = np.minimum(np.searchsorted(self.terms, h), max(len(self.terms) - 1, 0))
-        ok = self.terms[at] == h if len(self.terms) else np.zeros(0, bool)
-        return unit(of[ok], at[ok], self.idf, len(off) - 1)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEAREST, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest positive cosine, exactly, and the cosines; ties go to the smaller example."""
-        bound = weight @ self.most[term]
-        best_s, best_e, floor = np.zeros(0), np.zeros(0, np.int64), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < floor - 1e-12:
+        return unit(*self.terms.counts(*word_terms(data, off)), self.idf, len(off) - 1)
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int = NEAREST, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each of n queries the k examples of largest positive cosine, exactly, and the cosines (-1 and 0 where there are fewer)."""
+        found, cosine = np.full((n, k), -1), np.zeros((n, k))
+        edge = _edges(row, n)
+        size = np.append(0, np.cumsum(self.cell[term + 1] - self.cell[term]))[edge]
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(size, size[lo] + CELLS, "right")) - 1)
+            on = slice(edge[lo], edge[hi])
+            found[lo:hi], cosine[lo:hi] = self._search(row[on] - lo, term[on], weight[on], hi - lo, k, None if without is None else without[lo:hi])
+            lo = hi
+        return found, cosine
+
+    def _search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, without: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        begin, length = self.cell[term], self.cell[term + 1] - self.cell[term]
+        cell = K.ragged(np.arange(len(self.block)), begin, length)
+        query, w = np.repeat(row, length), np.repeat(weight, length)
+        place = query * self.blocks + self.block[cell]
+        bound = np.bincount(place, weights=w * self.most[cell], minlength=n * self.blocks).reshape(n, self.blocks)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(self.blocks)[None, :], 1)
+        left = np.take_along_axis(bound, order, 1)  # falling
+        found, cosine = np.full((n, k), -1), np.zeros((n, k))
+        done, step = 0, 2
+        while done < self.blocks:
+            floor = cosine[:, -1]
+            go = (left[:, done] > 0) & (left[:, done] >= floor - 1e-12)
+            if not go.any():
                 break
-            score = np.zeros(BLOCK)
-            for t, w in zip(term, weight, strict=True):
-                lo, hi = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-                score[self.example[lo:hi]] += w * self.weight[lo:hi]
-            e = np.flatnonzero(score > 0)
-            e = e[e + b * BLOCK != without]
-            best_s = np.concatenate([best_s, score[e]])
-            best_e = np.concatenate([best_e, e + b * BLOCK])
-            top = np.lexsort((best_e, -np.round(best_s, 12)))[:k]
-            best_s, best_e = best_s[top], best_e[top]
-            floor = best_s[-1] if len(best_s) == k else 0.0
-        return best_e, best_s
-
-    def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        e, s = self.nearest(term, weight, without=without)
-        if not len(e):
-            return self.bare_share, e, s
-        w = 1 / (1.05 - np.minimum(s, 1))  # by cosine distance
-        return float(w @ self.y[e] / w.sum()), e, s
+            visit = go[:, None] & (rank >= done) & (rank < done + step) & (bound > 0) & (bound >= floor[:, None] - 1e-12)
+            on = np.flatnonzero(visit.ravel()[place])
+            c, q, x = cell[on], query[on], w[on]
+            many = self.posting[c + 1] - self.posting[c]
+            at = K.ragged(np.arange(len(self.example)), self.posting[c], many)
+            key = np.repeat(q, many) * np.int64(self.blocks * BLOCK) + self.example[at]
+            seen, back = np.unique(key, return_inverse=True) if len(key) < n * self.blocks * BLOCK // 8 else (None, key)
+            if seen is None:
+                total = np.bincount(key, weights=np.repeat(x, many) * self.weight[at], minlength=n * self.blocks * BLOCK)
+                seen = np.flatnonzero(total)
+                score = total[seen]
+            else:
+                score = np.bincount(back, weights=np.repeat(x, many) * self.weight[at], minlength=len(seen))
+            q, e = seen // (self.blocks * BLOCK), seen % (self.blocks * BLOCK)
+            ok = score > 0 if without is None else (score > 0) & (e != without[q])
+            q, e, score = q[ok], e[ok], score[ok]
+            have = found >= 0
+            q = np.concatenate([np.nonzero(have)[0], q])
+            e = np.concatenate([found[have], e])
+            score = np.concatenate([cosine[have], score])
+            by = np.lexsort((e, -np.round(score, 12), q))
+            q, e, score = q[by], e[by], score[by]
+            nth = np.arange(len(q)) - np.searchsorted(q, q)
+            top = nth < k
+            found[q[top], nth[top]], cosine[q[top], nth[top]] = e[top], score[top]
+            done += step
+            step *= 2
+        return found, cosine
+
+    def votes(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each query's share of label 1 among its neighbours, weighted by distance; the neighbours and their cosines."""
+        e, s = self.nearest(row, term, weight, n, without=without)
+        w = (e >= 0) / (1.05 - np.minimum(s, 1)) ** 2
+        total = w.sum(1)
+        near = (w * (self.y[e] if len(self.y) else 0.0)).sum(1)
+        return np.where(total > 0, near / np.where(total > 0, total, 1), self.bare_share), e, s
 
     def score(self, vote: np.ndarray) -> np.ndarray:
         return L.sigmoid(self.slope * vote + self.bias)
 
 
-def unit(row: np.ndarray, term: np.ndarray, idf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, tf = np.unique(row.astype(np.int64) << 32 | term, return_counts=True)
-    row, term = key >> 32, key & 0xFFFFFFFF
-    weight = (1 + np.log(tf)) * idf[term]
-    norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=n))
-    return row, term, weight / norm[row]
-
-
-def build(texts: list[str], y: np.ndarray, terms: int = TERMS) -> Index:
-    """An index of the texts with their labels; equal texts should come once."""
+def example_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of each word."""
     raw = [t.encode() for t in texts]
     off = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    data = np.frombuffer(b"".join(raw), np.uint8)
     hs, ofs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for lo, _, d, o in K.pieces(data, off):
+    for lo, _, d, o in K.pieces(np.frombuffer(b"".join(raw), np.uint8), off):
         h, of = word_terms(d, o)
         hs.append(h)
         ofs.append(of + lo)
-    h, of = np.concatenate(hs), np.concatenate(ofs)
+    return np.concatenate(hs), np.concatenate(ofs)
+
+
+def document_counts(docs: DataFrame, terms: Terms, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """In how many texts each term occurs, and the number of texts, over the whole table; what reaches the driver is bounded by the vocabulary."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, texts = np.zeros(len(terms), np.int64), 0
+        for b in batches:
+            texts += b.num_rows
+            for _, _, d, o in K.pieces(*K.text_bytes(b.column(0))):
+                total += np.bincount(terms.counts(*word_terms(d, o))[1], minlength=len(terms))
+        on = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(on, -1).astype(np.int32)), pa.array(np.append(total[on], texts))], ["term", "n"])
+
+    got = docs.select(text_col).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = got["term"].to_numpy(), got["n"].to_numpy()
+    out = np.zeros(len(terms), np.int64)
+    out[term[term >= 0]] = n[term >= 0]
+    return out, int(n[term < 0].sum())
+
+
+def build(texts: list[str], y: np.ndarray, docs: DataFrame | None = None, text_col: str = "text") -> tuple[Index, np.ndarray]:
+    """An index of the texts with their labels, and which text each example is; equal texts should come once.
+
+    Document counts are those of docs, or else of the texts themselves.
+    """
+    h, of = example_words(texts)
+    terms = Terms(np.unique(h))
+    row, term, tf = terms.counts(h, of)
+    df, total = document_counts(docs, terms, text_col) if docs is not None and len(terms) else (np.bincount(term, minlength=len(terms)), len(y))
+    idf = np.log((1 + total) / (1 + np.minimum(df, total))) + 1
     both = 0 < y.sum() < len(y)
-    vocab, idf = vocabulary(h, of, y, terms) if both and len(h) else (np.zeros(0, np.uint64), np.zeros(0))
-    at = np.minimum(np.searchsorted(vocab, h), max(len(vocab) - 1, 0))
-    ok = vocab[at] == h if len(vocab) else np.zeros(len(h), bool)
-    row, term, weight = unit(of[ok], at[ok], idf, len(y)) if len(vocab) else (np.zeros(0, np.int64),) * 3
-    index = Index(vocab, idf, row, term, weight, y)
+    if both:
+        idf = idf * relevance(row, term, y, len(terms))
+    row, term, weight = unit(row, term, tf, idf, len(y))
+    lead = np.full(len(y), -1)
+    by = np.lexsort((weight, row))
+    last = np.flatnonzero(np.append(row[by][1:] != row[by][:-1], True)) if len(row) else by
+    lead[row[by][last]] = term[by][last]
+    order = np.argsort(lead, kind="stable")
+    place = np.empty(len(y), np.int64)
+    place[order] = np.arange(len(y))
+    row, y = place[row], y[order]
+    index = Index(terms, idf, row, term, weight, y)
     if not both:
         share = float(y.mean()) if len(y) else 0.0
         index.bare_share, index.slope, index.bias = share, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-        return index
+        return index, order
     bare = np.ones(len(y), bool)
     bare[row] = False
     index.bare_share = float((y[bare].sum() + 0.1) / (bare.sum() + 1))
-    edge = np.searchsorted(row, np.arange(len(y) + 1))
-    votes = np.array([index.vote(term[a:b], weight[a:b], without=i)[0] for i, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True))])
+    by = np.argsort(row, kind="stable")
+    votes, _, _ = index.votes(row[by], term[by], weight[by], len(y), np.arange(len(y)))
     index.slope, index.bias = L.calibrate(votes, y)
-    return index
+    return index, order
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, allowed: Column | None = None) -> tuple[Index, list]:
     """The index over at most ``per_class`` labelled rows of each kind, and the examples' ids."""
     rows = list({(r.text, r.label): r for r in L.sample(docs, labels, label, per_class, allowed).collect()}.values())
-    return build([r.text for r in rows], np.array([r.label for r in rows], float)), [r.doc_id for r in rows]
+    index, order = build([r.text for r in rows], np.array([r.label for r in rows], float), docs)
+    return index, [rows[i].doc_id for i in order]
 
 
 def judge(text: Column, index: Index, ids: list | None = None) -> Column:
@@ -170,23 +271,16 @@ def judge(text: Column, index: Index, ids: list | None = None) -> Column:
     @F.arrow_udf("struct<score:double,evidence:array<bigint>,cosine:array<double>>")
     def toxicity(col: pa.Array) -> pa.Array:
         data, off = K.text_bytes(col)
-        votes, examples, cosines, counts = [], [], [], [0]
-        memo: dict[bytes, tuple] = {}  # texts with the same vector have the same neighbours
+        votes, examples, cosines, counts = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(1, np.int64)]
         for _, _, d, o in K.pieces(data, off):
-            row, term, weight = index.vectors(d, o)
-            edge = np.searchsorted(row, np.arange(len(o)))
-            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                key = term[a:b].tobytes() + weight[a:b].tobytes()
-                if (got := memo.get(key)) is None:
-                    got = memo[key] = index.vote(term[a:b], weight[a:b])
-                v, e, s = got
-                votes.append(v)
-                examples.append(e)
-                cosines.append(s)
-                counts.append(len(e))
-        at = pa.array(np.cumsum(counts).astype(np.int32))
-        e = names[np.concatenate(examples).astype(np.int64)] if examples and sum(counts) else np.zeros(0, np.int64)
-        s = np.concatenate(cosines) if cosines else np.zeros(0)
-        return pa.StructArray.from_arrays([pa.array(index.score(np.array(votes))), pa.ListArray.from_arrays(at, pa.array(e)), pa.ListArray.from_arrays(at, pa.array(s))], ["score", "evidence", "cosine"])
+            v, e, s = index.votes(*index.vectors(d, o), len(o) - 1)
+            votes.append(v)
+            examples.append(e[e >= 0])
+            cosines.append(s[e >= 0])
+            counts.append((e >= 0).sum(1))
+        at = pa.array(np.cumsum(np.concatenate(counts)).astype(np.int32))
+        e = np.concatenate(examples)
+        lists = [pa.ListArray.from_arrays(at, pa.array(c)) for c in (names[e] if len(e) else e, np.concatenate(cosines))]
+        return pa.StructArray.from_arrays([pa.array(index.score(np.concatenate(votes))), *lists], ["score", "evidence", "cosine"])
 
     return toxicity.asNondeterministic()(text)
