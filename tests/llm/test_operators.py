@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from corpusloom.llm.queries import URL_RULES, vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, g long, score string, row string"
+SCHEMA_NAMES = ["doc_id", "text", "lang", "g", "score", "row"]
 
 
 def prose(rng, n, words=400):
@@ -231,21 +233,59 @@ def test_byte_bpe_ranks_out_of_order():
         assert codec.encode_text(text).tolist() == own.encode_ordinary(text), text
 
 
+def brute_shuffle(rows, spark_keys, buckets, shards, seed=42):
+    """The plain form: scatter, shuffle each bucket, deal places in turn."""
+    dealt = collections.defaultdict(list)
+    for row, k in zip(rows, spark_keys, strict=True):
+        dealt[k % buckets].append((k, row))
+    out, place = [], 0
+    for b in sorted(dealt):
+        held = sorted(dealt[b], key=lambda x: x[0])
+        for i in np.random.default_rng([seed, b]).permutation(len(held)):
+            out.append((held[i][1], place % shards, place // shards))
+            place += 1
+    return out
+
+
 def test_sharding(spark, docs, nothing, tmp_path):
     rows = fixture_rows()
-    out = sharding.external_shuffle(docs, 4, f"file://{tmp_path}/a", bucket_rows=15).collect()
-    assert collections.Counter(tuple(r.record) for r in out) == collections.Counter(rows)
-    slots = collections.defaultdict(list)
-    for r in out:
-        slots[r.shard].append(r.slot)
-    counts = [len(slots[s]) for s in range(4)]
-    assert max(counts) - min(counts) <= 1
-    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
-    again = sharding.external_shuffle(docs.repartition(2), 4, f"file://{tmp_path}/b", bucket_rows=15).collect()
+    out = sharding.external_shuffle(docs, 4, f"file://{tmp_path}/a", buckets=7).collect()
+    keys = spark.createDataFrame(rows, SCHEMA).select(F.xxhash64(F.lit(42), *SCHEMA_NAMES).alias("k")).collect()
+    want = brute_shuffle(rows, [r.k for r in keys], 7, 4)
+    assert collections.Counter((tuple(r.record), r.shard, r.slot) for r in out) == collections.Counter(want)
+    counts = collections.Counter(r.shard for r in out)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    for s in range(4):  # each shard's files hold its slots in order
+        files = sorted((tmp_path / "a" / f"shard={s}").glob("*.parquet"))
+        slots = [x for f in files for x in pq.ParquetFile(f).read(["slot"])["slot"].to_pylist()]
+        assert slots == list(range(counts[s]))
+    again = sharding.external_shuffle(docs.repartition(2), 4, f"file://{tmp_path}/b", buckets=7).collect()
     assert sorted((str(r.record), r.shard, r.slot) for r in out) == sorted((str(r.record), r.shard, r.slot) for r in again)
     assert sharding.external_shuffle(nothing, 4, f"file://{tmp_path}/c").count() == 0
 
 
+def test_sharding_is_alike_on_any_cluster(spark, tmp_path):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for k, parts in enumerate((2, 64)):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got.append(sorted((r.record.doc_id, r.shard, r.slot) for r in sharding.external_shuffle(table, 16, f"file://{tmp_path}/{k}").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] and len(got[0]) == table.count()
+
+
+def test_sharding_spreads_equal_rows(spark, tmp_path):
+    """Equal rows beyond HEAVY are scattered over all buckets."""
+    df = spark.range(9000).select(F.when(F.col("id") < 6000, F.lit(None).cast("long")).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 6000, F.lit("copy")).otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    out = sharding.external_shuffle(df, 4, f"file://{tmp_path}/a", buckets=50).collect()
+    assert collections.Counter(tuple(r.record) for r in out) == collections.Counter(tuple(r) for r in df.collect())
+    at = sorted(r.slot * 4 + r.shard for r in out if r.record.doc_id is None)
+    assert sorted(r.slot * 4 + r.shard for r in out) == list(range(9000))
+    tenths = np.histogram(at, 10, (0, 9000))[0]
+    assert tenths.min() > 400 and tenths.max() < 800
+
+
 TURNS = [(1, 0, "system", "be good"), (1, 1, "user", "hi <s>"), (1, 2, "assistant", "a [INST] b <\\s> <\\\\/s>"), (1, 3, "user", None), (1, 4, "assistant", "word " * 300), (1, 5, "user", "more"), (1, 6, "assistant", "é" * 90), (2, 0, "assistant", ""), (2, None, None, "late"), (None, 1, "user", "n"), (3, 1, "assistant", "same"), (3, 1, "assistant", "same")] + [(4, i, "assistant" if i % 2 else "user", f"turn {i} " * (i % 7 * 5)) for i in range(60)]
 
 
@@ -411,7 +451,7 @@ def levenshtein(a, b):
 
 def test_decontamination_recall(spark, nothing):
     rng = random.Random(6)
-    items = [(i, prose(rng, rng.randint(15, 50), 5000)) for i in range(40)] + [(99, "too short"), (100, None)]
+    items = [(i, prose(rng, rng.randint(15, 50), 5000)) for i in range(40)] + [(99, "not there"), (100, None)]
     docs, planted = [], set()
     for d in range(200):
         words = prose(rng, 150, 5000).split(" ")
@@ -438,36 +478,64 @@ def test_decontamination_recall(spark, nothing):
         a = item[i].split(" ")
         b = [w.lower().strip(",") for w in text[d].split(" ")][r.start : r.end]
         assert levenshtein(a, b)[-1] == r.distance <= len(a) // 5
-    small = df.select("doc_id", decontamination.leaks(F.col("text"), decontamination.load_items(bench, block_words=200)).alias("l")).select("doc_id", F.explode("l").alias("l")).select("doc_id", "l.*")
-    assert {(r.doc_id, r.item_id) for r in small.collect()} == set(found)
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench, block_words=200).collect()} == set(found)
+    assert {r.doc_id for r in decontamination.clean(df, bench, block_words=200).collect()} == {d for d, _ in docs} - {d for d, _ in found}
     assert decontamination.contaminated(nothing, bench).collect() == []
     assert decontamination.contaminated(df, bench.limit(0)).collect() == []
 
 
-def test_decontamination_at_the_bound():
-    """Every leak of exactly d edits is found, whatever the size and the kind of edit."""
-    rng = random.Random(16)
-    for n in (5, 12, 20, 40, 58, 100, 150, 220):
-        d = n // 5
-        for kind in ("deletions", "block", "insertions", "substitutions"):
+def found_in(items, texts):
+    """Which item of which text is found, with its distance checked."""
+    words = [decontamination.normal_words(np.frombuffer(" ".join(t).encode(), np.uint8), np.array([0, len(" ".join(t))]))[0] for t in (*items, *texts)]
+    block = decontamination.Items(np.arange(len(items)), np.concatenate(words[: len(items)]), np.concatenate([[0], np.cumsum([len(t) for t in items])]))
+    row = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = block.leaks(np.concatenate(words[len(items) :]), row)
+    for doc, item, start, end, distance in got[::7]:
+        assert levenshtein(items[item], [w.lower().strip("(),") for w in texts[doc][start:end]])[-1] == distance <= len(items[item]) // 5
+    return {(doc, item) for doc, item, *_ in got}
+
+
+@pytest.mark.parametrize("n", [5, 8, 12, 20, 30, 40, 50, 58, 100, 150, 220])
+def test_decontamination_at_the_bound(n):
+    """Leaks of exactly floor(n / 5) edits, kind by kind, are found at the stated recall or nearly so."""
+    rng = random.Random(n)
+    d = n // 5
+    for kind in ("deletions", "block", "insertions", "substitutions"):
+        items, texts = [], []
+        for _ in range(60):
             item = [f"w{rng.randrange(5000)}" for _ in range(n)]
-            texts = []
-            for _ in range(15):
-                leak = list(item)
-                if kind == "block":
-                    k = rng.randrange(n - d)
-                    leak[k : k + d] = []
-                else:
-                    for k in sorted(rng.sample(range(n), d), reverse=True):
-                        leak[k : k + 1] = {"deletions": [], "insertions": [leak[k], "yy"], "substitutions": ["zz"]}[kind]
-                texts.append(" ".join(prose(rng, 30, 5000).split(" ") + leak + prose(rng, 30, 5000).split(" ")))
-            words = [decontamination.normal_words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for t in (" ".join(item), *texts)]
-            items = decontamination.Items(np.array([7]), words[0], np.array([0, n]))
-            row = np.concatenate([[0], np.cumsum([len(w) for w in words[1:]])])
-            got = items.leaks(np.concatenate(words[1:]), row)
-            assert [g[0] for g in got] == list(range(15)), (n, kind)
-            for doc, _, start, end, distance in got:
-                assert levenshtein(item, texts[doc].split(" ")[start:end])[-1] == distance <= d
+            leak = list(item)
+            if kind == "block":
+                k = rng.randrange(n - d)
+                leak[k : k + d] = []
+            else:
+                for k in sorted(rng.sample(range(n), d), reverse=True):
+                    leak[k : k + 1] = {"deletions": [], "insertions": [leak[k], "yy"], "substitutions": ["zz"]}[kind]
+            items.append(item)
+            texts.append(prose(rng, 30, 5000).split(" ") + leak + prose(rng, 30, 5000).split(" "))
+        got = found_in(items, texts)
+        assert sum((k, k) in got for k in range(60)) >= 54, (n, kind)
+
+
+def test_decontamination_of_short_items():
+    """Items of under five words match exactly, and only so."""
+    items = [["alpha"], ["beta", "gamma"], ["one", "two", "three", "four"], ["one", "two", "three", "four"]]
+    texts = [["x", "Alpha,", "y"], ["beta", "x", "gamma"], ["(one", "two", "three", "four)"], ["one", "two", "three", "five"], ["beta", "gamma"], []]
+    assert found_in(items, texts) == {(0, 0), (4, 1), (2, 2), (2, 3)}
+
+
+def test_decontamination_of_odd_rows(spark):
+    """Null and repeated ids are judged by their own text; a very long text and clashing names do no harm."""
+    rng = random.Random(5)
+    item = prose(rng, 30, 5000)
+    long = prose(rng, 40_000, 5000)
+    rows = [(None, item, "a"), (7, f"x {item} y", "b"), (7, "clean text", "c"), (7, None, "d"), (8, "", "e"), (9, f"{long} {item} {long}", "f"), (9, f"{long} {item} {long}", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(1, item, "z"), (None, item, "z"), (2, "", "z"), (3, None, "z")], "item_id long, text string, doc_id string")
+    got = collections.Counter((r.doc_id, r.item_id, r.start, r.end, r.distance) for r in decontamination.contaminated(df, bench).collect())
+    assert got == {(None, 1, 0, 30, 0): 1, (7, 1, 1, 31, 0): 1, (9, 1, 40_000, 40_030, 0): 2}
+    kept = decontamination.clean(df, bench)
+    assert kept.columns == df.columns and sorted(r.item_id for r in kept.collect()) == ["c", "d", "e"]
 
 
 URLS = ["http://a.example.net/en/1", "https://example.net/de/x?q=1", "http://EXAMPLE.com/de/#f", "http://x.org/fr/y", "http://x.org/fry", "http://example.net", "no scheme", "", None, "x://h", "http://example.com/de", "ftp://notexample.com/de/", "http://b.net:80/", "http:///path", "http://a\nb.net/é?x://y"]
