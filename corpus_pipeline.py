@@ -38,9 +38,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that a benchmark item leaks into."""
-    blocks = decontamination.load_items(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("record"), decontamination.leaks(docs["text"], blocks).alias("leaks"))
-    return found.filter(F.size("leaks") == 0).select("record.*")
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
