@@ -42,7 +42,8 @@ BLOCK = 64
 NEAREST = 8
 FLOOR = 0.05
 THRESHOLD = 0.7
-CELLS = 400_000  # (query, term, block) triples handled at once
+COMMON = 24
+CELLS, QUERIES = 400_000, 400  # (query, term, block) triples, and queries, handled at once
 
 
 def word_terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,13 +101,25 @@ def _edges(sorted_values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Index:
-    """Examples by term and block of BLOCK examples, with each such cell's largest weight."""
+    """Examples by term and block of BLOCK examples, with each such cell's largest weight.
+
+    The lists of terms that are in at least one of COMMON examples are as good
+    as full, and are kept by block as matrices; those of other terms are sparse.
+    """
 
     def __init__(self, terms: Terms, idf: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, y: np.ndarray):
         self.terms, self.idf, self.n, self.y = terms, idf, len(y), y.astype(float)
         self.blocks = -(-max(len(y), 1) // BLOCK)
         by = np.lexsort((row, term))
         row, term, weight = row[by], term[by], weight[by]
+        full = np.flatnonzero(np.bincount(term, minlength=len(terms)) * COMMON >= max(len(y), 1))
+        self.column = np.full(len(terms), -1, np.int32)
+        self.column[full] = np.arange(len(full))
+        on = self.column[term] >= 0
+        self.lists = np.zeros((len(full), self.blocks * BLOCK))
+        self.lists[self.column[term[on]], row[on]] = weight[on]
+        self.peaks = self.lists.reshape(len(full), self.blocks, BLOCK).max(axis=2, initial=0)
+        row, term, weight = row[~on], term[~on], weight[~on]
         self.example, self.weight = row.astype(np.int32), weight
         cell, first = np.unique(term * self.blocks + row // BLOCK, return_index=True)
         self.posting = np.append(first, len(row)).astype(np.int32)  # a cell's postings
@@ -123,7 +136,7 @@ class Index:
         """For each of n queries the k examples of largest positive cosine, exactly, and the cosines (-1 and 0 where there are fewer)."""
         found, cosine = np.full((n, k), -1), np.zeros((n, k))
         edge = _edges(row, n)
-        size = np.append(0, np.cumsum(self.cell[term + 1] - self.cell[term]))[edge]
+        size = np.append(0, np.cumsum(self.cell[term + 1] - self.cell[term]))[edge] + np.arange(n + 1) * (CELLS // QUERIES)
         lo = 0
         while lo < n:
             hi = max(lo + 1, int(np.searchsorted(size, size[lo] + CELLS, "right")) - 1)
@@ -133,49 +146,45 @@ class Index:
         return found, cosine
 
     def _search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, without: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        begin, length = self.cell[term], self.cell[term + 1] - self.cell[term]
-        cell = K.ragged(np.arange(len(self.block)), begin, length)
+        width = self.blocks * BLOCK
+        common = self.column[term]
+        dense = np.zeros((n, len(self.lists)))
+        dense[row[common >= 0], common[common >= 0]] = weight[common >= 0]
+        row, term, weight = row[common < 0], term[common < 0], weight[common < 0]
+        length = self.cell[term + 1] - self.cell[term]
+        cell = K.ragged(np.arange(len(self.block), dtype=np.int32), self.cell[term], length)
         query, w = np.repeat(row, length), np.repeat(weight, length)
         place = query * self.blocks + self.block[cell]
-        bound = np.bincount(place, weights=w * self.most[cell], minlength=n * self.blocks).reshape(n, self.blocks)
-        order = np.argsort(-bound, axis=1, kind="stable")
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(self.blocks)[None, :], 1)
-        left = np.take_along_axis(bound, order, 1)  # falling
-        found, cosine = np.full((n, k), -1), np.zeros((n, k))
-        done, step = 0, 2
+        bound = dense @ self.peaks + np.bincount(place, weights=w * self.most[cell], minlength=n * self.blocks).reshape(n, self.blocks)
+        rank = np.argsort(np.argsort(-bound, axis=1, kind="stable"), axis=1, kind="stable")
+        total, floor = np.zeros((n, width)), np.zeros(n)
+        done, step = 0, 4
         while done < self.blocks:
-            floor = cosine[:, -1]
-            go = (left[:, done] > 0) & (left[:, done] >= floor - 1e-12)
-            if not go.any():
+            visit = (rank >= done) & (rank < done + step) & (bound > 0) & (bound >= floor[:, None] - 1e-12)
+            done, step = done + step, 4 * step
+            go = np.flatnonzero(visit.any(axis=1))
+            if not len(go):
                 break
-            visit = go[:, None] & (rank >= done) & (rank < done + step) & (bound > 0) & (bound >= floor[:, None] - 1e-12)
+            for b in np.flatnonzero(visit.any(axis=0)):
+                q = np.flatnonzero(visit[:, b])
+                total[q, b * BLOCK : (b + 1) * BLOCK] = dense[q] @ self.lists[:, b * BLOCK : (b + 1) * BLOCK]
             on = np.flatnonzero(visit.ravel()[place])
-            c, q, x = cell[on], query[on], w[on]
+            c = cell[on]
             many = self.posting[c + 1] - self.posting[c]
-            at = K.ragged(np.arange(len(self.example)), self.posting[c], many)
-            key = np.repeat(q, many) * np.int64(self.blocks * BLOCK) + self.example[at]
-            seen, back = np.unique(key, return_inverse=True) if len(key) < n * self.blocks * BLOCK // 8 else (None, key)
-            if seen is None:
-                total = np.bincount(key, weights=np.repeat(x, many) * self.weight[at], minlength=n * self.blocks * BLOCK)
-                seen = np.flatnonzero(total)
-                score = total[seen]
-            else:
-                score = np.bincount(back, weights=np.repeat(x, many) * self.weight[at], minlength=len(seen))
-            q, e = seen // (self.blocks * BLOCK), seen % (self.blocks * BLOCK)
-            ok = score > 0 if without is None else (score > 0) & (e != without[q])
-            q, e, score = q[ok], e[ok], score[ok]
-            have = found >= 0
-            q = np.concatenate([np.nonzero(have)[0], q])
-            e = np.concatenate([found[have], e])
-            score = np.concatenate([cosine[have], score])
-            by = np.lexsort((e, -np.round(score, 12), q))
-            q, e, score = q[by], e[by], score[by]
-            nth = np.arange(len(q)) - np.searchsorted(q, q)
-            top = nth < k
-            found[q[top], nth[top]], cosine[q[top], nth[top]] = e[top], score[top]
-            done += step
-            step *= 2
+            at = K.ragged(np.arange(len(self.example), dtype=np.int32), self.posting[c], many)
+            total += np.bincount(np.repeat(query[on] * width, many) + self.example[at], weights=np.repeat(w[on], many) * self.weight[at], minlength=n * width).reshape(n, width)
+            if without is not None:
+                total[np.arange(n), without] = 0
+            if k < width:
+                floor[go] = -np.partition(-total[go], k - 1, axis=1)[:, k - 1]
+        found, cosine = np.full((n, k), -1), np.zeros((n, k))
+        q, e = np.nonzero((total > 0) & (total >= floor[:, None] - 1e-12))
+        score = np.round(total[q, e], 12)
+        by = np.lexsort((e, -score, q))
+        q, e, score = q[by], e[by], score[by]
+        nth = np.arange(len(q)) - np.searchsorted(q, q)
+        top = nth < k
+        found[q[top], nth[top]], cosine[q[top], nth[top]] = e[top], score[top]
         return found, cosine
 
     def votes(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
