@@ -61,7 +61,8 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat_windows.read_back(chat_windows.format_windows(rows.unionByName(extra)))
+    bpe = byte_bpe.ByteBpe(spark, *vocabulary())
+    return chat_windows.read_back(chat_windows.format_windows(rows.unionByName(extra), lambda text: F.size(bpe.encode(text))))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
