@@ -9,9 +9,12 @@ up, and skipped.  A pre-token of n bytes costs about n steps however long it is.
 One queue serves all new pre-tokens of a piece of text at once: they stand one
 after the other in the linked list, with walls between them.  As they don't
 touch, going by rank over all of them is going by rank in each.  Pre-tokens
-seen before come from a bounded table by their 64-bit hash.
+seen before come from a bounded table by their 64-bit hash, verified by length
+and by the eight bytes at either end.
 
-A null text is empty; an empty text has no ids.
+A null text is empty; an empty text has no ids.  Ids of rows play no part, so
+null and repeated ones change nothing; an empty table gives no rows, and only
+the column given is read, so other columns' names don't matter.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import kernels as K
 
-TABLE_SIZE = 1_500_000  # pre-tokens, about 40 bytes each; a full table starts anew
+TABLE_SIZE = 1_200_000  # pre-tokens, about 50 bytes each; a full table starts anew
+PIECE = 1 << 20  # bytes handled at once; a longer text is handled alone
 PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value: the pattern that Splitter knows
 LETTER, NUMBER, BLANK, OTHER = range(4)
 
@@ -150,6 +154,15 @@ class Splitter:
         return both[:, 0], both[:, 1], np.array(row)
 
 
+def _ends(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number from the length and the first and last eight bytes of spans, which are all of a short one's bytes."""
+    buf = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
+    lane = np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))
+    unused = K.U(8) * (K.U(8) - np.minimum(end - start, 8).astype(np.uint64))
+    head, tail = lane[start + 8] << unused, lane[end] >> unused
+    return K.mix(head ^ (end - start).astype(np.uint64)) + tail
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, Splitter(pattern)
@@ -174,6 +187,7 @@ class Codec:
         on = np.flatnonzero(self.length)
         by = on[np.argsort(h[on])]
         self.known, self.at, self.size = h[by], np.arange(len(by)), np.ones(len(by), np.int64)
+        self.ends = _ends(self.bytes, self.first[by], self.first[by] + self.length[by])
         self.ids = by.astype(np.int32)
 
     def merge(self, raw: bytes, walls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,6 +252,7 @@ class Codec:
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
         h, which, back = np.unique(K.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        ends = _ends(data, start, end)
         at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
         new = np.flatnonzero(self.known[at] != h)
         if new.size:
@@ -250,11 +265,16 @@ class Codec:
             where = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, ids])
             place = np.searchsorted(self.known, h[new])
-            self.known, self.at, self.size = (np.insert(a, place, b) for a, b in ((self.known, h[new]), (self.at, where), (self.size, count)))
+            self.known, self.ends, self.at, self.size = (np.insert(a, place, b) for a, b in ((self.known, h[new]), (self.ends, ends[which[new]]), (self.at, where), (self.size, count)))
             at = np.searchsorted(self.known, h)
-        size = self.size[at][back]
-        out = K.ragged(self.ids, self.at[at][back], size)
-        return out, np.concatenate([[0], np.cumsum(size)])[row]
+        size, place, ids = self.size[at][back], self.at[at][back], self.ids
+        other = np.flatnonzero(self.ends[at][back] != ends)  # equal hashes of unlike pre-tokens
+        if other.size:
+            s, length = start[other], end[other] - start[other]
+            more, size[other] = self.merge(K.ragged(data, s, length).tobytes(), np.concatenate([[0], np.cumsum(length)]))
+            place[other] = len(ids) + np.cumsum(size[other]) - size[other]
+            ids = np.concatenate([ids, more])
+        return K.ragged(ids, place, size), np.concatenate([[0], np.cumsum(size)])[row]
 
     def encode_text(self, text: str) -> np.ndarray:
         raw = np.frombuffer(text.encode(), np.uint8)
@@ -299,7 +319,7 @@ class ByteBpe:
             c = codec(blob.value, pattern)
             data, off = K.text_bytes(col)
             ids, rows, seen = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
-            for _, _, d, o in K.pieces(data, off):
+            for _, _, d, o in K.pieces(data, off, PIECE):
                 part, row = c.encode(d, o)
                 ids.append(part)
                 rows.append(row[1:] + seen)
