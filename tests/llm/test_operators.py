@@ -92,6 +92,34 @@ def test_substring_dedup(spark, docs, width, group):
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+def test_substring_dedup_spreads_one_id(spark):
+    """The rows of one id, and those of none, are spread over groups without counting as smaller than one another."""
+    rng = random.Random(17)
+    shared = [prose(rng, 40) for _ in range(6)]
+    rows = [(None if k < 80 else 500 if k < 160 else k * 5, f"{prose(rng, 20)} {shared[rng.randrange(6)]} {prose(rng, 20)}") for k in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plan = substring_dedup.plan_groups(df, 2000)
+    assert sorted(plan.parts)[-2:][0] > 3 and len(plan.cuts) > 3
+    out = substring_dedup.remove_repeats(df, width=10, group_bytes=2000).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out), key=key) == sorted(brute_substring(rows, 10), key=key)
+
+
+def test_substring_dedup_groups_by_bytes(spark):
+    """A run of long texts is cut into as many groups as its bytes ask for."""
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 100, F.repeat(F.lit("word "), 4000)).otherwise(F.lit("a b")).alias("text"))
+    plan = substring_dedup.plan_groups(df, 50_000)
+    size = np.bincount(np.searchsorted(plan.cuts, np.arange(4000), "right"), weights=np.where(np.arange(4000) < 100, 20_016, 19))
+    assert size.max() <= 4 * 50_000
+
+
+def test_window_hashes_that_agree_in_64_bits():
+    h, more = np.array([5, 9, 5, 5, 9], np.uint64), np.array([1, 7, 2, 1, 7], np.uint32)
+    by, new = substring_dedup._ordered(h, more)
+    assert (h[by].tolist(), more[by].tolist(), new.tolist()) == ([5, 5, 5, 9, 9], [1, 1, 2, 7, 7], [True, False, True, True, False])
+    a, b = substring_dedup._unpack(substring_dedup._pack(h[by[new]], more[by[new]]))
+    assert (a.tolist(), b.tolist()) == ([5, 5, 9], [1, 2, 7])
+
+
 def test_substring_dedup_empty(nothing):
     assert substring_dedup.remove_repeats(nothing).collect() == []
 
@@ -146,8 +174,11 @@ def test_vantage_tree_finds_every_link():
         got = set()
         for s in np.unique(shard):
             y = x[shard == s]
-            a, b = simhash.links(y, member[shard == s], radius)
-            got |= {tuple(sorted((place[int(y[i])], place[int(y[j])]))) for i, j in zip(a, b)}
+            own = {(i, j) for a, b in simhash.link_chunks(y, member[shard == s], radius) for i, j in zip(a.tolist(), b.tolist())}
+            got |= {tuple(sorted((place[int(y[i])], place[int(y[j])]))) for i, j in own}
+            whole = simhash.reached(y, member[shard == s], radius)
+            assert (whole == simhash.reached(y, member[shard == s], radius, most=10)).all()
+            assert all(whole[i] == whole[j] for i, j in own)
         assert got == want
 
 
@@ -200,6 +231,53 @@ def test_keep_one_compares_all_of_a_bucket(spark):
     assert {0, 2000} <= kept and len(kept) <= 4
 
 
+def chained(rng, families=40, members=12, words=200):
+    """Families in which each text is near the one before it."""
+    rows = []
+    for f in range(families):
+        text = prose(rng, words, 5000).split(" ")
+        for m in range(members):
+            rows.append((f * 100 + rng.randrange(10) * 10_000 + m, " ".join(text)))
+            for k in rng.sample(range(5, words - 5), 3):
+                text[k] = f"zz{f}x{m}x{k}"
+    return list(dict(rows).items())
+
+
+def test_keep_one_loses_no_proposed_link(spark):
+    """The components of chained near copies are those of all pairs that share a band."""
+    rows = chained(random.Random(31))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(df, radius=0).collect()}
+    bands = {r.doc_id: r.b for r in df.select("doc_id", simhash.dedup.band_hashes(F.col("text")).alias("b")).collect()}
+    label = {d: d for d, _ in rows}
+    links = [(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[:i] if any(p == q for p, q in zip(bands[a], bands[b])) and jaccard(x, y) >= 0.8]
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert kept == set(label.values())
+    near = [(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[:i] if a % 10_000 // 100 == b % 10_000 // 100 and jaccard(x, y) >= 0.8]
+    found = sum(any(p == q for p, q in zip(bands[a], bands[b])) for a, b in near)
+    assert found >= 0.9 * len(near)
+
+
+def test_bitmaps_rule_out_no_similar_pair(spark):
+    rng = random.Random(32)
+    texts = []
+    for n in (3, 5, 6, 30, 150, 3000):
+        base = prose(rng, n, 3000).split(" ")
+        for edits in (0, 1, 2, 4, 8, 16, 30):
+            words = list(base)
+            for k in rng.sample(range(n), min(edits, n)):
+                words[k] = f"e{rng.random()}"
+            texts.append((len(texts), " ".join(words)))
+    df = spark.createDataFrame(texts, "k int, t string").select("k", "t", simhash.shingle_set(F.col("t"), 5).alias("x")).select("k", "t", F.struct(F.size("x.s").alias("n"), "x.m").alias("m"))
+    a, b = df.select(F.col("k").alias("i"), F.col("t").alias("s"), F.col("m").alias("p")), df.select(F.col("k").alias("j"), F.col("t").alias("u"), F.col("m").alias("q"))
+    rows = a.join(b, a.i < b.j).select("s", "u", simhash.may_reach("p", "q", 0.8).alias("may")).collect()
+    similar = [r.may for r in rows if jaccard(r.s, r.u) >= 0.8]
+    assert len(similar) > 20 and all(similar)
+    assert sum(r.may for r in rows) < 0.25 * len(rows) + len(similar)
+
+
 def test_byte_bpe(spark, docs):
     tiktoken = pytest.importorskip("tiktoken")
     path, pattern = vocabulary()
@@ -221,6 +299,24 @@ def test_byte_bpe(spark, docs):
     assert slow.encode_text("ab 12 ").tolist() == tiktoken.Encoding("o", pat_str=r"\p{L}+|\s+|[^\p{L}\s]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary("ab 12 ")
 
 
+def test_byte_bpe_equal_hashes(spark, nothing, monkeypatch):
+    """Pre-tokens that share a hash are told apart by length and ends."""
+    tiktoken = pytest.importorskip("tiktoken")
+    path, pattern = vocabulary()
+    ranks = byte_bpe.read_ranks(open(path, "rb").read())
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    real = byte_bpe.K.span_hashes
+    monkeypatch.setattr(byte_bpe.K, "span_hashes", lambda *a: real(*a) >> np.uint64(58))
+    codec = byte_bpe.Codec(ranks, pattern)
+    rng = random.Random(7)
+    for _ in range(5):
+        text = prose(rng, 200, 3000)
+        assert codec.encode_text(text).tolist() == own.encode_ordinary(text)
+    monkeypatch.undo()
+    bpe = byte_bpe.ByteBpe(spark, path, pattern)
+    assert nothing.select(bpe.decode(bpe.encode(F.col("text")))).collect() == []
+
+
 def test_byte_bpe_ranks_out_of_order():
     """A merge that makes a pair of lower rank: that pair goes first."""
     tiktoken = pytest.importorskip("tiktoken")
@@ -289,11 +385,18 @@ def test_sharding_spreads_equal_rows(spark, tmp_path):
 TURNS = [(1, 0, "system", "be good"), (1, 1, "user", "hi <s>"), (1, 2, "assistant", "a [INST] b <\\s> <\\\\/s>"), (1, 3, "user", None), (1, 4, "assistant", "word " * 300), (1, 5, "user", "more"), (1, 6, "assistant", "é" * 90), (2, 0, "assistant", ""), (2, None, None, "late"), (None, 1, "user", "n"), (3, 1, "assistant", "same"), (3, 1, "assistant", "same")] + [(4, i, "assistant" if i % 2 else "user", f"turn {i} " * (i % 7 * 5)) for i in range(60)]
 
 
+def quarter(text):
+    """A token for every four bytes, as a column."""
+    return F.ceil(F.octet_length(text) / 4).cast("int")
+
+
 @pytest.mark.parametrize("budget", [40, 100, 100_000])
-def test_chat_windows(spark, budget):
-    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
-    windows = chat_windows.format_windows(df, budget=budget)
-    got = {r.conv_id: r for r in chat_windows.read_back(windows).collect()}
+def test_chat_windows(spark, budget, tmp_path):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("window", F.lit("x")).withColumn("formatted", F.lit(1))
+    windows = chat_windows.format_windows(df, quarter, budget=budget)
+    windows.write.parquet(f"file://{tmp_path}/w")
+    stored = spark.read.parquet(f"file://{tmp_path}/w").repartition(7)
+    got = {r.conv_id: r for r in chat_windows.read_back(stored).collect()}
     convs = collections.defaultdict(list)
     for c, turn, role, text in sorted(TURNS, key=lambda r: (r[0] is None, r[0], r[1] is None, r[1] or 0, r[2] or "", r[3] or "")):
         convs[c].append((role or "", text or ""))
@@ -305,11 +408,22 @@ def test_chat_windows(spark, budget):
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     for w in windows.collect():
         turns = chat_windows.parse(w.formatted)
-        assert w.n_tokens == sum(chat_windows.byte_tokens(t) for _, t in turns)
+        size = [-(-len(f"[INST]{chat_windows.escape(r)}[/INST]{chat_windows.escape(t)}</s>".encode()) // 4) for r, t in turns]
+        assert w.n_tokens == 1 + sum(size)
         new = len(turns) - w.n_repeated
-        assert new >= 1 and (w.n_tokens <= budget or new == 1)
-        if w.conv_id == 1:
+        assert new >= 1 and (w.n_tokens <= budget or len(turns) == 1 and size[0] >= budget)
+        if w.conv_id == 1 and len(turns) > 1 and size[-new] + 1 + size[0] <= budget:
             assert turns[0] == ("system", "be good")
+    assert chat_windows.read_back(chat_windows.format_windows(df.limit(0), quarter)).collect() == []
+
+
+def test_chat_windows_of_a_long_system_turn(spark):
+    """A system turn that doesn't fit beside the next turn isn't repeated, so no window passes the budget but those of one turn that does."""
+    rows = [(1, 0, "system", "rule " * 100)] + [(1, k, "assistant" if k % 2 else "user", f"turn {k} " * 10) for k in range(1, 12)]
+    windows = chat_windows.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), quarter, budget=100).orderBy("window").collect()
+    assert windows[0].n_tokens > 100 and len(chat_windows.parse(windows[0].formatted)) == 1
+    assert all(w.n_tokens <= 100 for w in windows[1:]) and len(windows) > 4
+    assert sum(len(chat_windows.parse(w.formatted)) - w.n_repeated for w in windows) == 12
 
 
 def test_escape_is_exact():
