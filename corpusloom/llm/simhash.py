@@ -29,6 +29,7 @@ from corpusloom.sources import scratch
 
 SAMPLE = 8192  # fingerprints that shape the top of the tree, a bound on what the driver gets
 LEAF = 96
+BITMAP = 512  # bits that stand for a set of shingles
 
 
 def _lanes() -> np.ndarray:
@@ -238,25 +239,54 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return classes_of(fp, radius).withColumnRenamed("doc_id", id_col)
 
 
+def parity_bitmaps(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """(rows x BITMAP / 64) words: a bit for each of BITMAP classes of hashes, set where a row has an odd number in the class."""
+    n = len(row) - 1
+    out = np.empty((n, BITMAP // 64), np.uint64)
+    cell = (K.mix(h ^ K.U(BITMAP)) & K.U(BITMAP - 1)).astype(np.int64)
+    for lo in range(0, n, 4096):
+        hi = min(lo + 4096, n)
+        of = np.repeat(np.arange(hi - lo), np.diff(row[lo : hi + 1]))
+        odd = np.bincount(of * BITMAP + cell[row[lo] : row[hi]], minlength=(hi - lo) * BITMAP) & 1
+        out[lo:hi] = np.packbits(odd.astype(np.uint8).reshape(-1, BITMAP), axis=1).view(np.uint64)
+    return out
+
+
 def shingle_set(text: Column, width: int) -> Column:
-    """Hashes of a text's distinct word shingles."""
+    """Struct of the hashes of a text's distinct word shingles and their parity bitmap."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<s:array<bigint>,m:array<bigint>>")
     def shingles(col: pa.Array) -> pa.Array:
         data, off = K.text_bytes(col)
-        values, counts = [np.zeros(0, np.uint64)], [0]
+        values, counts, maps = [np.zeros(0, np.uint64)], [0], [np.zeros((0, BITMAP // 64), np.uint64)]
         for _, _, d, o in K.pieces(data, off):
             words = K.Words(d, o)
             h, at = K.windows(words.hashes(fold=True), words.row, width)
             row = np.searchsorted(at, words.row)
-            for lo, hi in zip(row[:-1].tolist(), row[1:].tolist(), strict=True):
-                values.append(np.unique(h[lo:hi]))
-                counts.append(len(values[-1]))
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64)))
+            own = [np.unique(h[lo:hi]) for lo, hi in zip(row[:-1].tolist(), row[1:].tolist(), strict=True)]
+            size = [len(u) for u in own]
+            values += own
+            counts += size
+            maps.append(parity_bitmaps(np.concatenate([np.zeros(0, np.uint64), *own]), np.concatenate([[0], np.cumsum(size)])))
+        sets = pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64)))
+        m = np.concatenate(maps)
+        bits = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * (BITMAP // 64)), pa.array(m.view(np.int64).ravel()))
+        return pa.StructArray.from_arrays([sets, bits], ["s", "m"])
 
     return shingles(text)
 
 
+def may_reach(a: str, b: str, similarity: float) -> Column:
+    """False only where the sets of which (n, m) are the size and the parity bitmap can't have the similarity.
+
+    Each element that one set alone has turns one bit, so the bitmaps differ in
+    at most as many bits as the sets differ in elements; and at a Jaccard
+    similarity of t these are at most (1 - t) / (1 + t) of both sizes together.
+    """
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.m")[i].bitwiseXOR(F.col(f"{b}.m")[i])) for i in range(BITMAP // 64)])
+    return F.greatest(bits, F.abs(F.col(f"{a}.n") - F.col(f"{b}.n"))) <= (1 - similarity) / (1 + similarity) * (F.col(f"{a}.n") + F.col(f"{b}.n")) + 1e-6
+
+
 def looser_edges(signed: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """Edges (src, dst) between components that hold texts of at least a Jaccard similarity of their shingles, which 64 bits can't tell within a small radius.
 
@@ -283,11 +313,13 @@ def looser_edges(signed: DataFrame, texts: DataFrame, width: int, similarity: fl
             break
         if sets is None:
             some = signed.join(here.select("_k").distinct(), "_k", "left_semi").select("_id", "_k")
-            sets = texts.join(some, ["_id", "_k"], "left_semi").select("_k", shingle_set(F.col("_t"), width).alias("s"))
-            sets = scratch.written(sets.groupBy("_k").agg(F.min("s").alias("s")), "shingles")
-        a = here.filter("centre").select(*keys, F.col("_k").alias("ka"), F.col("_c").alias("src"))
-        b = here.select(*keys, F.col("_k").alias("kb"), F.col("_c").alias("dst"), F.col("centre").alias("both"))
-        pairs = scratch.written(a.join(b, keys).filter("src <> dst and (not both or ka < kb)").select("ka", "kb", "src", "dst").distinct(), "pairs")
+            sets = texts.join(some, ["_id", "_k"], "left_semi").select("_k", shingle_set(F.col("_t"), width).alias("sm"))
+            sets = scratch.written(sets.groupBy("_k").agg(F.min("sm").alias("sm")).select("_k", "sm.*"), "shingles")
+        marked = here.join(sets.select("_k", F.struct(F.size("s").alias("n"), "m").alias("map")), "_k")
+        a = marked.filter("centre").select(*keys, F.col("_k").alias("ka"), F.col("_c").alias("src"), F.col("map").alias("ma"))
+        b = marked.select(*keys, F.col("_k").alias("kb"), F.col("_c").alias("dst"), F.col("centre").alias("both"), F.col("map").alias("mb"))
+        apart = F.expr("src <> dst and (not both or ka < kb)")
+        pairs = scratch.written(a.join(b, keys).filter(apart & may_reach("ma", "mb", similarity)).select("ka", "kb", "src", "dst").distinct(), "pairs")
         both = pairs.join(sets.select(F.col("_k").alias("ka"), F.col("s").alias("a")), "ka").join(sets.select(F.col("_k").alias("kb"), F.col("s").alias("b")), "kb")
         shared = F.size(F.array_intersect("a", "b"))
         near = scratch.written(both.filter(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("ka", "kb", "src", "dst"), "near")
