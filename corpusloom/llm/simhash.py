@@ -27,7 +27,9 @@ from corpusloom.operators import dedup
 from corpusloom.operators.components import connected_components
 from corpusloom.sources import scratch
 
-SAMPLE = 8192  # fingerprints that shape the top of the tree, a bound on what the driver gets
+SAMPLE = 8192  # fingerprints that shape the top of the tree, at least
+SHARD_ROWS, PER_SHARD, SHARDS = 50_000, 16, 1 << 16  # so at most 2**20 fingerprints, 8 MB, reach the driver
+HELD = 1 << 20
 LEAF = 96
 BITMAP = 512  # bits that stand for a set of shingles
 
@@ -149,19 +151,8 @@ def route(nodes: list, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndar
     return tuple(np.concatenate(c) for c in zip(*done, strict=True))
 
 
-def links(x: np.ndarray, member: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a member and a member or query that differ in at most ``radius`` bits, each pair at least once."""
-    found: list = []
-
-    def all_pairs(mi: np.ndarray, qi: np.ndarray) -> None:
-        everyone = np.concatenate([mi, qi])
-        for lo in range(0, len(mi), 256):
-            for to in range(0, len(everyone), 8192):
-                a, b = mi[lo : lo + 256], everyone[to : to + 8192]
-                i, j = np.nonzero(np.bitwise_count(x[a][:, None] ^ x[b][None, :]) <= radius)
-                keep = a[i] != b[j]
-                found.append((a[i][keep], b[j][keep]))
-
+def link_chunks(x: np.ndarray, member: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a member and a member or query that differ in at most ``radius`` bits, each pair at least once, a leaf of the tree after the other."""
     todo = [(np.flatnonzero(member), np.flatnonzero(~member))]
     while todo:
         mi, qi = todo.pop()
@@ -169,16 +160,35 @@ def links(x: np.ndarray, member: np.ndarray, radius: int) -> tuple[np.ndarray, n
             continue
         cut = _vantage(x[mi]) if len(mi) > LEAF else None
         if cut is None:
-            all_pairs(mi, qi)
+            everyone = np.concatenate([mi, qi])
+            for lo in range(0, len(mi), 256):
+                for to in range(0, len(everyone), 8192):
+                    a, b = mi[lo : lo + 256], everyone[to : to + 8192]
+                    i, j = np.nonzero(np.bitwise_count(x[a][:, None] ^ x[b][None, :]) <= radius)
+                    keep = a[i] != b[j]
+                    yield a[i][keep], b[j][keep]
             continue
         v, m = cut
         d, e = _distance(x[mi], v), _distance(x[qi], v)
         near = d <= m
         todo.append((mi[near], qi[e <= m + radius]))
         todo.append((mi[~near], np.concatenate([mi[near & (d > m - radius)], qi[e > m - radius]])))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def reached(x: np.ndarray, member: np.ndarray, radius: int, most: int = HELD) -> np.ndarray:
+    """The smallest index that each fingerprint reaches over links; about ``most`` links are held at a time."""
+    label, held, n = np.arange(len(x)), [], 0
+
+    def merge() -> np.ndarray:
+        return forest(len(x), *(np.concatenate(c) for c in zip(*held, (np.arange(len(x)), label), strict=True)))
+
+    for pair in link_chunks(x, member, radius):
+        held.append(pair)
+        n += len(pair[0])
+        if n > most:
+            label, n = merge(), 0
+            held.clear()
+    return merge()
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,23 +206,37 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def link_edges(fps: DataFrame, radius: int) -> DataFrame:
-    """Edges (src, dst) that connect the fingerprints of a one-column table (fp, distinct) as all links would."""
+    """Edges (src, dst) that connect the fingerprints of a one-column table (fp, distinct) as all links would.
+
+    The tree has a shard for every SHARD_ROWS fingerprints, and is shaped by
+    PER_SHARD fingerprints a shard; both end at SHARDS shards, beyond which a
+    shard's own tree is deeper.
+    """
     spark = fps.sparkSession
-    seen = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
-    points = np.array([r.fp for r in seen.collect()], np.int64).view(np.uint64)
     n = fps.count()
-    shards = max(1, min(SAMPLE // 16, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // 50_000)))
+    shards = min(SHARDS, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD_ROWS))
+    seen = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(max(SAMPLE, PER_SHARD * shards))
+    points = seen.toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
     nodes = top_tree(points, shards) if len(points) > 8 else []
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def out() -> pa.RecordBatch:
+            shard, x, member = route(nodes, np.concatenate(held).view(np.uint64), radius)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(x.view(np.int64)), pa.array(member)], ["shard", "fp", "member"])
+
         for b in batches:
-            shard, x, member = route(nodes, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), radius)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(x.view(np.int64)), pa.array(member)], ["shard", "fp", "member"])
+            held.append(b.column(0).to_numpy(zero_copy_only=False))
+            if sum(map(len, held)) > 50_000:  # many at once, since each visits every node of the tree
+                yield out()
+        if held:
+            yield out()
 
     def join(t: pa.Table) -> pa.Table:
         x = np.ascontiguousarray(t["fp"].to_numpy()).view(np.uint64)
-        a, b = links(x, t["member"].to_numpy(), radius)
-        root = forest(len(x), a, b)
+        root = reached(x, t["member"].to_numpy(), radius)
         on = np.flatnonzero(root != np.arange(len(x)))
         return pa.table({"src": pa.array(x[on].view(np.int64)), "dst": pa.array(x[root[on]].view(np.int64))})
 
