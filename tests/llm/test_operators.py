@@ -679,12 +679,42 @@ def test_url_filter(spark):
     assert lone[0].verdict == "allow"
 
 
+def brute_gap(urls, train):
+    """Per-character log ratio of the two smoothed models, by dictionaries."""
+    follow = [collections.defaultdict(collections.Counter) for _ in range(2)]
+    for url, label in train:
+        for i, c in enumerate(url):
+            for k in range(url_filter.ORDER + 1):
+                follow[label][k, ("\0" * 9 + url[:i])[len(url[:i]) + 9 - k :] if k else ""][c] += 1
+    out = []
+    for url in urls:
+        total = 0.0
+        for i, c in enumerate(url):
+            p = [1 / 0x110000] * 2
+            for k in range(url_filter.ORDER + 1):
+                ctx = ("\0" * 9 + url[:i])[len(url[:i]) + 9 - k :] if k else ""
+                p = [(follow[x][k, ctx][c] + 2 * p[x]) / (sum(follow[x][k, ctx].values()) + 2) for x in (0, 1)]
+            total += np.log(p[1] / p[0])
+        out.append(total / max(len(url), 1))
+    return out
+
+
+def test_url_models_against_brute_force(spark):
+    rng = random.Random(8)
+    train = [(f"http://news{rng.randrange(99)}.org/stör/{rng.randrange(99)}", 1) for _ in range(60)] + [(f"http://win-{rng.randrange(99)}.biz/?id={rng.randrange(99)}", 0) for _ in range(60)]
+    urls = ["http://news5555.org/story/7", "http://win-77777.biz/?id=1", "", "日本://x", train[0][0], train[0][0], "http://" + "long/" * 3000]
+    model = url_filter.count_contexts(spark.createDataFrame(train, "url string, label int").repartition(3))
+    rows = spark.createDataFrame([(k, k // 3, u) for k, u in enumerate(urls)], "k int, block long, url string")
+    got = {r.k: r.gap for r in url_filter.gaps(rows, model).collect()}
+    assert np.allclose([got[k] for k in range(len(urls))], brute_gap(urls, train))
+
+
 def test_url_model_parts_the_kinds(spark):
     rng = random.Random(8)
-    urls = [(f"http://news{rng.randrange(999)}.org/story/{rng.randrange(999)}", 1) for _ in range(400)] + [(f"http://win-{rng.randrange(999)}.biz/?id={rng.randrange(999)}", 0) for _ in range(400)]
-    model = url_filter.train(spark.createDataFrame(urls, "url string, label int"))
-    df = spark.createDataFrame([("http://news5555.org/story/7", 1), ("http://win-77777.biz/?id=1", 0)], "url string, label int")
-    assert [round(r.p) for r in df.select(url_filter.accepted(F.col("url"), model).alias("p")).collect()] == [1, 0]
+    urls = [(0, f"http://news{rng.randrange(999)}.org/story/{rng.randrange(999)}", 1) for _ in range(400)] + [(0, f"http://win-{rng.randrange(999)}.biz/?id={rng.randrange(999)}", 0) for _ in range(400)]
+    model, slope, bias = url_filter.train(spark.createDataFrame(urls, "block long, url string, label int"))
+    df = spark.createDataFrame([(0, 1, "http://news5555.org/story/7"), (1, 0, "http://win-77777.biz/?id=1"), (0, 0, "http://win-5.biz/?id=11")], "block long, want int, url string")
+    assert all((slope * r.gap + bias > 0) == r.want for r in url_filter.gaps(df, model).collect())
 
 
 def test_xxh64_and_majority():
