@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import kernels as K
 
-TABLE_SIZE = 1_200_000  # pre-tokens, about 50 bytes each; a full table starts anew
+TABLE_SIZE = 800_000  # pre-tokens, about 50 bytes each; a full table starts anew
 PIECE = 1 << 20  # bytes handled at once; a longer text is handled alone
 PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value: the pattern that Splitter knows
 LETTER, NUMBER, BLANK, OTHER = range(4)
