@@ -6,7 +6,7 @@ import html
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from urllib import robotparser
 
 import pyarrow as pa
@@ -66,70 +66,68 @@ PAGE_SHAPES = [
     rf"(?:\b{_N}\s*->?(?:$| ))|(?:<?(?:^| )-\s*\d{{1,5}}\b)", rf"(?:\b{_N}\s*,>?(?:$| ))|(?:<?(?:^| ),\s*\d{{1,5}}\b)", rf"(?:\b{_N}\s*\.>?(?:$| ))|(?:<?(?:^| )\.\s*\d{{1,5}}\b)",
 ]
 HOLE, BEAM, PAGE_CHARS, LOOK_PAGES = 7, 5, 80_000, 100
-
-
-def _digits(n: int) -> str:
-    """A page number as OCR may read it: 1 also as a letter, unless all are 1."""
-    s = str(n)
-    return s if set(s) == {"1"} else s.replace("1", "[1lIij]")
-
-
-def _page_lines(text: str, n: int):
-    d = _digits(n)
-    return re.finditer(rf"\n[^\n]*\b{d}(?:/\d{{2,5}})?\b[^\n\w]*\n|\n[^\n\w]*\b{d}(?:/\d{{2,5}})?\b[^\n]*\n", text)
-
-
-def _walk_pages(text: str, shape: str | None) -> list[list[tuple[int, int]]]:
-    """Spans that may be the number of page 2, 3, ..., up to a hole of HOLE pages; few candidates for each."""
-    pages: list[list[tuple[int, int]]] = []
-    page, last, at, hole = 2, 0, 0.0, 0
-    while hole < HOLE and (shape is not None or page <= LOOK_PAGES):
-        paced = len(pages) > 5
-        pace = at / (page - 1)
-        exact = re.compile(shape.replace(r"\d{1,5}", _digits(page))) if shape else None
-        spans: list[tuple[int, int]] = []
-        for m in _page_lines(text, page):
-            start, end = m.start(), m.end()
-            if exact is not None:
-                inner = exact.search(m.group())
-                if not inner:
-                    continue
-                start, end = m.start() + inner.start(), m.start() + inner.end()
-            elif not (at < start and start - at < PAGE_CHARS * (page - last)):
-                continue
-            if not spans:
-                at, last = (min(start, at + pace / 10) if paced else start), page
-            if len(spans) == BEAM:
-                break
-            spans.append((start, end))
-        if spans:
-            pages.append(spans)
-        hole = 0 if spans else hole + 1
+_NUMBER = re.compile(r"(?<!\w)([\dlIij]{1,5})(?:/\d{2,5})?(?!\w)")
+_LETTERS = str.maketrans("lIij", "1111")
+
+
+def _page_of(read: str) -> int | None:
+    """The number that was read, with letters that OCR takes for a 1; a number of ones only must be in digits."""
+    digits = read.translate(_LETTERS)
+    if read != digits and (not re.search(r"\d", read) or set(digits) == {"1"}):
+        return None
+    return int(digits) if digits[0] != "0" else None
+
+
+def _numbered_lines(text: str) -> dict[int, list[tuple[int, int]]]:
+    """For each number the spans, breaks included, of whole lines that it opens or closes, but for marks, in order."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    first = text.find("\n")
+    while first >= 0 and (last := text.find("\n", first + 1)) >= 0:
+        line = text[first + 1 : last]
+        numbers = list(_NUMBER.finditer(line)) if any(c.isdigit() for c in line) else []
+        outer = {m.start(): m for m in numbers if not re.search(r"\w", line[: m.start()]) or not re.search(r"\w", line[m.end() :])}
+        for page in sorted({p for m in outer.values() if (p := _page_of(m[1])) is not None}):
+            found.setdefault(page, []).append((first, last + 1))
+        first = last
+    return found
+
+
+def _run_of_pages(lines: dict[int, list[tuple[int, int]]], near: bool) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(page, its lines) from page 2 on, each after the page before; ends where HOLE pages in a row are missing."""
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    known, after = 0, 0
+    top = min(max(lines, default=0), LOOK_PAGES) if near else max(lines, default=0)
+    page = 2
+    while page <= top and page - max(known, 1) <= HOLE:
+        reach = after + PAGE_CHARS * (page - known) if near else float("inf")
+        here = [s for s in lines.get(page, []) if after < s[0] < reach or not out and s[0] >= after][:BEAM]
+        if here:
+            out.append((page, here))
+            known, after = page, here[0][0]
         page += 1
-    return pages
+    return out
 
 
 def drop_page_numbers(text: str) -> str:
     """Remove page numbers of the shape most candidates have; a text without candidates stays as it is."""
-    found = [text[a:b] for spans in _walk_pages(text, None) for a, b in spans]
-    votes = [sum(bool(re.search(s, c)) for c in found) for s in PAGE_SHAPES]
-    if not found or not max(votes):
+    lines = _numbered_lines(text)
+    seen = [text[a:b] for _, spans in _run_of_pages(lines, True) for a, b in spans]
+    votes = Counter(k for k, shape in enumerate(PAGE_SHAPES) for c in seen if re.search(shape, c))
+    if not votes:
         return text
-    shape = PAGE_SHAPES[votes.index(max(votes))]
-    cuts, at = [], 0
-    for spans in _walk_pages(text, shape):
-        for a, b in spans:
-            if a > at:
-                cuts.append((a, b))
-                at = b
-    out, to = [], len(text)
-    for a, b in reversed(cuts):
-        rest = re.sub(shape, "", text[a:b], count=1).strip()
-        out.append(text[b:to].lstrip() if not out else text[b:to].lstrip().rstrip())
-        out.append(f"\n{rest}\n" if rest else "\n")
-        to = a
-    out.append(text[:to].rstrip() if cuts else text)
-    return "".join(reversed(out))
+    shape = re.compile(PAGE_SHAPES[min(votes, key=lambda k: (-votes[k], k))].replace(r"\d{1,5}", r"[\dlIij]{1,5}"))
+    shaped = {}
+    for page, spans in lines.items():
+        marks = [(a + m.start(), a + m.end()) for a, b in spans for m in shape.finditer(text[a:b]) if page in {_page_of(n[1]) for n in _NUMBER.finditer(m[0])}]
+        if marks:
+            shaped[page] = marks
+    kept, at = [], 0
+    for a, b in sorted(s for _, spans in _run_of_pages(shaped, False) for s in spans):
+        if a >= at:
+            kept.append(text[at:a].strip() if kept else text[at:a].rstrip())
+            at = b
+    kept.append(text[at:].lstrip() if kept else text)
+    return "\n".join(kept)
 
 
 def without_page_numbers(text: Column) -> Column:
@@ -187,38 +185,43 @@ GLYPHS = {
     140: "î", 141: "-", 142: "Ä", 143: "Å", 144: "é", 145: "á", 146: "í", 147: "ô", 148: "ö", 149: None, 150: "-", 151: "-", 152: "~", 153: "Ö", 154: "Ü", 155: "ó", 156: "ú", 157: "ñ", 158: "Ñ", 159: None, 160: None, 173: None, 190: "ü",
     217: " ", 296: "ź", 298: "t", 321: "o", 367: "l", 371: "ł", 373: "m", 374: "n", 375: "n", 378: "o", 381: "o", 383: "o", 393: "p", 395: "q", 396: "r", 400: "s", 404: "s", 407: "a", 410: "t", 417: "i", 425: "t", 431: "i", 437: "u", 448: "v",
 }
-_TILDES = {"a~": "ã", "n~": "ñ", "o~": "õ", "A~": "Ã", "N~": "Ñ", "O~": "Õ"}
+_OWN = frozenset(g for g in GLYPHS.values() if g)
+_CODE = re.compile(r"\(cid:(\d+)\)")
+
+
+def _case(c: str) -> str:
+    """u, l, d for a capital, a small letter, a digit; nothing for no character or another."""
+    return "u" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else ""
+
+
+#: Surroundings, as case of the glyph, of the character before it (- for the begin of a word) and of the one after it, in which a letter is no letter but a space.
+_MISFITS = {"l-u", "l-d", "u-l", "u-d", "luu", "ull"}
 
 
-def _glyph(code: int, left: str, right: str) -> str:
-    """Text for a glyph code between what stands before and after it in its word."""
+def _glyph(code: int, before: str, after: str) -> str:
+    """What a glyph code stands for between two characters, each empty at the edge of a word."""
     if code in GLYPH_PAIRS:
-        within = left[-1:].islower() and right[:1].islower()
-        char, own = (GLYPH_PAIRS[code] if within else " "), None
-    else:
-        own = GLYPHS.get(code, chr(code)) if 100 < code <= 300 else None
-        char = own or " "
-    if char.islower() or char.isupper():
-        other = str.isupper if char.islower() else str.islower
-        if not left:
-            if other(right[:1]) or right[:1].isdigit():
-                char = " "
-        elif other(left) and other(right):
-            char = char.upper() if char.islower() and code == 144 else " "
-    plain = own is not None and ord(own) < 176 and own not in [g for g in GLYPHS.values() if g]
-    if plain and not (left and right):
-        return left + right
-    out = left + char + right
-    if code == 152:
-        for pair, letter in _TILDES.items():
-            out = out.replace(pair, letter)
-    return out
+        return GLYPH_PAIRS[code] if _case(before) == _case(after) == "l" else " "
+    char = GLYPHS.get(code, chr(code) if 100 < code <= 300 else None)
+    if char is None:
+        return " "
+    if ord(char) < 176 and char not in _OWN and not (before and after):
+        return ""
+    if _case(char) + (_case(before) if before else "-") + _case(after) in _MISFITS:
+        return char.upper() if code == 144 and before else " "
+    return char
 
 
 def fix_glyph_codes(text: str) -> str:
-    text = text.replace(" (cid:1)", "")
-    text = re.sub(r"(\w*)\(cid:(\d+)\)(\w*)", lambda m: _glyph(int(m[2]), m[1], m[3]), text)
-    return re.sub(" +", " ", text)
+    pieces = _CODE.split(text.replace(" (cid:1)", ""))
+    out = pieces[0]
+    for code, after in zip(map(int, pieces[1::2]), pieces[2::2], strict=True):
+        word = [c if re.match(r"\w", c) else "" for c in (out[-1:], after[:1])]
+        if code == 152 and out[-1:] and out[-1:] in "anoANO":  # a tilde over the letter before it
+            out = out[:-1] + unicodedata.normalize("NFC", out[-1] + "\u0303") + after
+        else:
+            out += _glyph(code, *word) + after
+    return re.sub(" +", " ", out)
 
 
 def without_glyph_codes(text: Column) -> Column:
@@ -228,65 +231,50 @@ def without_glyph_codes(text: Column) -> Column:
 # --- markdown ---------------------------------------------------------------
 
 
-class _Markdown:
-    """Line by line state of the conversion from wiki plain text."""
-
-    def __init__(self, breaks: int):
-        self.breaks, self.out, self.seen, self.block = breaks, [], [], "header"
-
-    def gap(self, now: str) -> str:
-        """The empty line that closes a list or table before another kind of line."""
-        closes = self.block in ("list", "table") and self.block != now and self.breaks > 0
-        return "\n" if closes else ""
-
-    def bullet(self, line: str) -> None:
-        before = ""
-        if re.match(r" + ", line) and self.out and self.out[-1].lstrip().startswith("*") and self.breaks > 1:
-            before = "\n"
-        if m := re.match(r"\*+(?= )", line):
-            line = " " * 3 * (m.end() - 1) + "*" + line[m.end() :]
-        elif m := re.match(r"\*+(?=>+ )", line):
-            line = " " * 3 * m.end() + line[m.end() :]
-        self.put("list", (self.gap("list") or before) + line + "\n")
-
-    def row(self, line: str) -> None:
-        head = "" if self.block == "table" else "|" + " - |" * (line.count("|") - 1) + "\n"
-        self.put("table", self.gap("table") + line + "\n" + head)
-
-    def header(self, marks: str, title: str) -> None:
-        level, after = len(marks), "\n" if self.breaks > 1 else ""
-        before = "\n" if self.breaks == 1 and self.block != "header" else ""
-        line = f"{marks} {title}\n"
-        if level > 3:
-            line = f"**{title}**\n"
-        else:
-            self.seen += [None] * (level - len(self.seen))
-            if self.seen[level - 1] == line:
-                return  # the same section goes on
-            self.seen[level - 1 :] = [line]
-        self.put("header", (self.gap("header") or before) + line + after)
+def _bullet(line: str) -> str:
+    """A line of a list with its depth, the number of stars, as indent."""
+    rest = line.lstrip("*")
+    depth = len(line) - len(rest)
+    if depth and rest.startswith(" "):
+        return "   " * (depth - 1) + "*" + rest
+    return "   " * depth + rest if depth and re.match(">+ ", rest) else line
 
-    def plain(self, line: str) -> None:
-        self.put("text", self.gap("text") + line + "\n" + ("\n" if self.breaks > 1 else ""))
 
-    def put(self, block: str, line: str) -> None:
-        self.block = block
-        self.out.append(line)
+def _sections(lines: Iterator[str]) -> Iterator[tuple[str, str]]:
+    """(kind, line) of the lines; a header that opens the section that is open already is left out."""
+    path: list[str] = []
+    for line in lines:
+        if re.match(r"[*> ]+ ", line + "\n"):
+            yield "list", line
+        elif len(line) > 1 and line[0] == line[-1] == "|":
+            yield "table", line
+        elif not (head := re.match(r"(#+) (.*)", line)):
+            yield "text", line
+        elif (level := len(head[1])) > 3:
+            yield "header", f"**{head[2].strip()}**"
+        else:
+            title = f"{head[1]} {head[2].strip()}"
+            if path[level - 1 : level] != [title]:
+                path = [*path, *[""] * level][: level - 1] + [title]
+                yield "header", title
 
 
 def to_markdown(text: str, breaks: int = 2) -> str:
     """Wiki plain text as Markdown: nested lists, table heads, headers once each, levels past three in bold; breaks (0 to 2) is how much space stands between blocks."""
-    m = _Markdown(breaks)
-    for line in filter(None, text.split("\n")):
-        if re.match(r"[*> ]+ ", line + "\n"):
-            m.bullet(line)
-        elif re.match(r"\|.*\|$", line):
-            m.row(line)
-        elif h := re.match(r"(#+) (.*)", line):
-            m.header(h[1], h[2].strip())
-        else:
-            m.plain(line)
-    return "".join(m.out)
+    out: list[str] = []
+    last, bullet = "header", False
+    for kind, line in _sections(filter(None, text.split("\n"))):
+        closes = last in ("list", "table") and kind != last
+        inner = kind == "list" and bullet and line.startswith("  ") and breaks > 1  # an indented line under a bullet
+        if closes and breaks > 0 or inner or kind == "header" and last != "header" and breaks == 1:
+            out.append("")
+        out.append(_bullet(line) if kind == "list" else line)
+        if kind == "table" and last != "table":
+            out.append("|" + " - |" * (line.count("|") - 1))
+        if kind in ("header", "text") and breaks > 1:
+            out.append("")
+        last, bullet = kind, out[-1].lstrip().startswith("*")
+    return "".join(f"{line}\n" for line in out)
 
 
 _SCRIPTS = re.compile(r"(?:[^\s$]*\$[_|^](?:[^$]|\{[^$}]+\})\$)+[^\s$]*")

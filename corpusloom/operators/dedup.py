@@ -15,10 +15,24 @@ BANDS, ROWS, SHINGLE = 14, 8, 5
 
 
 def exact(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """The first row, in order, of each text; only hashes and ids are shuffled and compared."""
+    """The first row, in order, of each text; only hashes and ids are shuffled and compared.
+
+    All null texts count as one text.  A null id comes after every other, so a
+    text that has no other keeps one of its rows; of rows that share the first
+    id and the text one stays.
+    """
     keyed = df.withColumn("_h", F.sha2(F.col(text), 256))
-    first = keyed.groupBy("_h").agg(F.min(order).alias(order))
-    return df.join(first.select(order), order, "left_semi")
+    each = keyed.select("_h", F.col(order).alias("_o")).groupBy("_h", "_o").agg(F.count("*").alias("n"))
+    first = scratch.written(each.groupBy("_h").agg(F.min(F.struct(F.col("_o").isNull().alias("none"), "_o", "n")).alias("f")).select("_h", "f._o", "f.n"), "first")
+
+    def rows(of: DataFrame) -> DataFrame:
+        return keyed.join(of.select(F.col("_h").alias("_g"), "_o"), F.col("_h").eqNullSafe(F.col("_g")) & F.col(order).eqNullSafe(F.col("_o")), "left_semi")
+
+    out = rows(first.filter("n = 1"))
+    many = first.filter("n > 1")
+    if many.limit(1).count():
+        out = out.unionByName(rows(many).dropDuplicates(["_h", order]))
+    return out.drop("_h")
 
 
 def repeats(df: DataFrame, key: Column, order: str) -> DataFrame:

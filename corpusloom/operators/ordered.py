@@ -1,30 +1,40 @@
 """Operators on an ordered corpus: budgets, strides, running sums, without one task that sees all rows.
 
-The order column is cut into blocks at quantiles; block totals, a bounded
-table, are summed up and joined back, and windows run inside blocks only.
+The order column is cut into blocks at quantiles, the more the larger the
+table; block totals, a bounded table, are summed up and joined back, and
+windows run inside blocks only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKS = 64
+LEAST_BLOCKS, MOST_BLOCKS, BLOCK_ROWS = 64, 2048, 1_000_000
 
 
-def _blocked(df: DataFrame, order: str, blocks: int) -> DataFrame:
-    cuts = df.agg(F.percentile_approx(order, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0]
+def _blocked(df: DataFrame, order: str, block_rows: int) -> DataFrame:
+    asked = [i / MOST_BLOCKS for i in range(1, MOST_BLOCKS)]
+    rows, cuts = df.agg(F.count("*"), F.percentile_approx(order, asked, 10 * MOST_BLOCKS)).first()
     if not cuts:
         return df.withColumn("_block", F.lit(0))
-    marks = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    return df.withColumn("_block", F.size(F.filter(marks, lambda c: c <= F.col(order))))
+    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-rows // block_rows)))
+    marks = sorted({cuts[MOST_BLOCKS * i // blocks - 1] for i in range(1, blocks)})
+    # two steps, so that a row is compared with some tens of marks, not all
+    step = max(1, math.isqrt(len(marks)))
+    runs = [marks[i : i + step] for i in range(0, len(marks), step)]
+    run = F.size(F.filter(F.array(*[F.lit(r[0]) for r in runs]), lambda c: c <= F.col(order)))
+    inner = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]), run - 1)
+    return df.withColumn("_block", F.when(run > 0, (run - 1) * step + F.size(F.filter(inner, lambda c: c <= F.col(order)))).otherwise(F.lit(0)))
 
 
-def with_running(df: DataFrame, order: str, value: Column, name: str, blocks: int = BLOCKS, ties: list[str] | None = None) -> DataFrame:
+def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows: int = BLOCK_ROWS, ties: list[str] | None = None) -> DataFrame:
     """Add the sum of ``value`` over all rows up to each row, in ascending order."""
-    df = _blocked(df.withColumn("_value", value), order, blocks)
+    df = _blocked(df.withColumn("_value", value), order, block_rows)
     totals = df.groupBy("_block").agg(F.sum("_value").alias("_total"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # over BLOCKS rows at most
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # over MOST_BLOCKS rows at most
     offsets = totals.select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_block").orderBy(order, *(ties or [])).rowsBetween(Window.unboundedPreceding, 0)
     out = df.join(F.broadcast(offsets), "_block").withColumn(name, F.col("_offset") + F.sum("_value").over(inside))

@@ -111,7 +111,7 @@ def parsed_name(file: Column) -> dict[str, Column]:
     head, second = F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
     own = second.rlike("^(fr|en|de|es|it)(-(fr|en|de|es|it))?$")
     lang = F.when(own, second).when(F.lower(head).contains("stack"), "code").when(F.lower(head).rlike("americanstories|pes2o|pile|fineweb"), "en").otherwise("fr")
-    rest = F.when(own, F.coalesce(F.array_join(F.slice(parts, 3, 9), "-"), F.lit(""))).otherwise(F.array_join(F.slice(parts, 2, 9), "-"))
+    rest = F.when(own, F.coalesce(F.array_join(F.slice(parts, F.lit(3), F.size(parts)), "-"), F.lit(""))).otherwise(F.array_join(F.slice(parts, F.lit(2), F.size(parts)), "-"))
     return {"lang": lang, "dataset": F.when(own, F.concat(head, F.lit("."), second)).otherwise(head), "subset": rest}
 
 

@@ -97,13 +97,14 @@ def membership_filters(spark, sf):
 
 @query()
 def parallel_texts(spark, sf):
-    rows = table(spark, sf, "conversations").filter("turn < 2").groupBy("conv_id").agg(F.min_by("text", "turn").alias("a"), F.max_by("text", "turn").alias("b"))
-    pair = C.parallel_text(F.col("a"), F.col("b"), F.lit("en"), F.lit("fr"), F.col("conv_id"))
-    return rows.select("conv_id", pair.alias("p")).select("conv_id", F.md5("p.text").alias("text"), "p.lang_1", "p.lang_2")
+    """Each turn of even number beside the next; a last one alone stands beside itself."""
+    rows = table(spark, sf, "conversations").groupBy("conv_id", F.floor(F.col("turn") / 2).alias("pair")).agg(F.min_by("text", "turn").alias("a"), F.max_by("text", "turn").alias("b"))
+    both = C.parallel_text(F.col("a"), F.col("b"), F.lit("en"), F.lit("fr"), F.concat_ws("/", "conv_id", "pair"))
+    return rows.select("conv_id", "pair", both.alias("p")).select("conv_id", "pair", F.md5("p.text").alias("text"), "p.lang_1", "p.lang_2")
 
 
 @query()
 def translation_chats(spark, sf):
-    rows = table(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 80).alias("a"), F.reverse("text").alias("b"))
+    rows = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("a"), F.reverse("text").alias("b"))
     chat = C.translation_chat(F.col("a"), F.col("b"), F.lit("en"), F.lit("fr"), F.col("item_id"))
     return rows.select("item_id", F.md5(C.rendered(chat)).alias("text"), F.size(chat).alias("turns"))

@@ -63,14 +63,14 @@ def common_lines_dropped(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(udfs.without_common_lines(text)).alias("text"))
 
 
-@query("""select doc_id, md5(case when doc_id % 2 = 0 then trim(text, ' ' || chr(10)) else trim(text, ' ' || chr(10)) || chr(12) || 'end' end) as text from documents where length(text) - length(replace(text, chr(10), '')) < 9""")
+@query("""select doc_id, md5(case when doc_id % 2 = 0 then trim(replace(text, chr(10), ' ')) else trim(replace(text, chr(10), ' ')) || chr(12) || 'end' end) as text from documents""")
 def thesis_cleaned(spark, sf):
     """A cover page, a page of line breaks, a page of control characters: all go."""
     cover = F.lit("cover\nHAL is a multi-disciplinary open access archive\x0c")
     end = F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("\x0cend"))
     junk = F.lit("\x0c" + "\x01\x02x" * 40)
-    short = docs(spark, sf).filter("length(text) - length(replace(text, '\\n', '')) < 9")
-    return short.select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, T.strip(F.col("text")), end, junk))).alias("text"))
+    page = T.strip(F.replace("text", F.lit("\n"), F.lit(" ")))
+    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, page, end, junk))).alias("text"))
 
 
 @query("""select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'en', 'e-' || chr(10) || 'n'), '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g'), '([,;])\\s*\\n', '\\1 ', 'g'), '\\n\\s*([a-z»])', ' \\1', 'g'), ' {2,}', ' ', 'g')) as text from documents""")

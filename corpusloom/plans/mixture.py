@@ -142,9 +142,9 @@ def output_names(spark, sf):
     return table(spark, sf, "documents").select("doc_id", output_name(F.regexp_replace(file, "-([0-9]+)_text_document", "_text_document-$1")).alias("name")).select("doc_id", F.regexp_replace("name", "_text_document$", "").alias("name"))
 
 
-@query("""select language, kind, round((1 / pow(n, 2)) / sum(1 / pow(n, 2)) over (partition by language, kind), 9) as p, n from (select lang as language, source as kind, length(text) as n, doc_id from documents where doc_id < 300)""")
+@query("""select language, kind, round((1 / pow(n, 2)) / sum(1 / pow(n, 2)) over (partition by language, kind), 9) as p, n from (select lang as language, source as kind, length(text) as n, doc_id from documents)""")
 def template_probabilities(spark, sf):
     """Weights of templates, one over their length squared, in each language and kind."""
-    rows = table(spark, sf, "documents").filter("doc_id < 300").select(F.col("lang").alias("language"), F.col("source").alias("kind"), F.length("text").cast("long").alias("n"))
+    rows = table(spark, sf, "documents").select(F.col("lang").alias("language"), F.col("source").alias("kind"), F.length("text").cast("long").alias("n"))
     w = 1 / F.pow("n", F.lit(2.0))
     return rows.select("language", "kind", F.round(w / F.sum(w).over(Window.partitionBy("language", "kind")), 9).alias("p"), "n")

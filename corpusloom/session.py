@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     return session
 
 

@@ -53,7 +53,9 @@ def load(df: DataFrame, recipe: Recipe, *, rate: float = 1.0, invert: bool = Fal
     if max_words is not None:
         df = ordered.budget(df, order, T.word_count(F.col("text")), max_words)
     if max_docs is not None:
-        df = df.orderBy(order).limit(max_docs) if order else df.limit(max_docs)
+        if not order:
+            raise ValueError("max_docs needs an order, or else each run has other rows")
+        df = df.orderBy(order).limit(max_docs)
     return uniform.uniformise(df, recipe.extra) if metadata else df
 
 

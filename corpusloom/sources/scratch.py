@@ -12,10 +12,13 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder of this machine where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder of this machine where it is unset and executors run in the driver (tests)."""
     there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if there:
         return there.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir is unset, and executors of {master} share no folder with the driver")
     key = spark.sparkContext.applicationId
     if key not in _own:
         _own[key] = tempfile.mkdtemp(prefix="corpusloom-")

@@ -291,3 +291,62 @@ def test_minhash_within_groups(spark):
     text = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(1, "a", text), (2, "a", text), (3, "b", text)], "doc_id long, snapshot string, text string")
     assert sorted(r.doc_id for r in dedup.minhash(df, within=["snapshot"]).collect()) == [1, 3]
+
+
+def test_exact_dedup_of_null_and_repeated_ids(spark):
+    from corpusloom.operators import dedup
+
+    rows = [(1, "a"), (2, "a"), (None, "a"), (None, "b"), (None, "c"), (None, "c"), (3, "d"), (3, "d"), (3, "e"), (4, None), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in dedup.exact(df).collect()), key=str)
+    assert got == sorted([(1, "a"), (None, "b"), (None, "c"), (3, "d"), (3, "e"), (4, None)], key=str)
+    assert dedup.exact(df.limit(0)).collect() == []
+
+
+def test_names_of_many_parts(spark):
+    from corpusloom.operators import uniform
+
+    name = "stats_" + "--".join(f"p{i}" for i in range(12)) + ".json"
+    own = "stats_p0--fr--" + "--".join(f"p{i}" for i in range(12)) + ".json"
+    df = spark.createDataFrame([(name,), (own,)], "f string").select(*[c.alias(k) for k, c in uniform.parsed_name(F.col("f")).items()])
+    assert [r.subset for r in df.collect()] == ["-".join(f"p{i}" for i in range(1, 12)), "-".join(f"p{i}" for i in range(12))]
+
+
+def test_shared_folder_needs_one(monkeypatch):
+    from types import SimpleNamespace
+
+    from corpusloom.sources import scratch
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(master="spark://host:7077", applicationId="x", getConf=lambda: conf)
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch.shared_dir(SimpleNamespace(conf=conf, sparkContext=context))
+    context.master = "local[4]"
+    assert scratch.shared_dir(SimpleNamespace(conf=conf, sparkContext=context)).startswith("file:")
+
+
+@pytest.mark.parametrize("block_rows", [10, 1000])
+def test_running_sums_in_blocks(spark, block_rows):
+    from corpusloom.operators import ordered
+
+    rows = [(i * 7919 % 5000, i % 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    got = {r.k: r.s for r in ordered.with_running(df, "k", F.col("v"), "s", block_rows=block_rows).collect()}
+    total, want = 0, {}
+    for k, v in sorted(rows):
+        total += v
+        want[k] = total
+    assert got == want
+
+
+def test_page_numbers_read_by_ocr():
+    pages = "".join(f"A page that says a thing.\n- {str(n).replace('1', 'l', 1) if n > 11 else n} -\n" for n in range(2, 20))
+    left = udfs.drop_page_numbers("Title\n" + pages)
+    assert "- 9 -" not in left and "- l3 -" not in left and left.count("says a thing") == 18
+
+
+def test_glyphs_between_cases():
+    assert udfs.fix_glyph_codes("a(cid:152)o") == "ão"
+    assert udfs.fix_glyph_codes("AB(cid:130)CD") == "AB CD"
+    assert udfs.fix_glyph_codes("(cid:130)Cole") == " Cole"
+    assert udfs.fix_glyph_codes("mot (cid:160) fin") == "mot fin"
