@@ -487,6 +487,28 @@ def test_quality_classifier_held_out(spark, docs, nothing):
     assert nothing.select(quality_classifier.score(F.col("text"), None)).collect() == []
 
 
+def test_bradley_terry_against_plain_descent():
+    """The weights are those that plain gradient descent finds for the same pairs, and the cut is a quantile of the scores."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 4))
+    y = (x @ [1.0, -0.5, 0.0, 2.0] + rng.normal(size=120) > 0).astype(float)
+    model = quality_classifier.fit(x, y, pairs=800, seed=11)
+    z = np.clip((x - x.mean(0)) / (x.std(0) + 1e-6), -8, 8)
+    good, bad = np.flatnonzero(y > 0), np.flatnonzero(y == 0)
+    draw = np.random.default_rng(11)
+    first = draw.choice(good, 800)
+    d = z[first] - z[draw.choice(bad, 800)]
+    w = np.zeros(4)
+    for _ in range(20_000):
+        w -= 1e-3 * (20 * w - d.T @ (1 / (1 + np.exp(d @ w))))
+    assert np.allclose(model.weights, w, atol=1e-3)
+    s = z @ model.weights
+    rate = [(s[good] >= c).mean() + (s[bad] < c).mean() for c in np.sort(s)]
+    own = (s[good] >= model.cut).mean() + (s[bad] < model.cut).mean()
+    assert own >= max(rate) - 0.02
+    assert abs(model.score(x)[np.argmin(abs(s - model.cut))] - 0.3) < 0.05
+
+
 def test_toxicity_held_out(spark, docs, nothing):
     table, labels = tables(spark)
     fold = labelled.fold_of(F.col("doc_id"), 3)
