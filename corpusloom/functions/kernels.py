@@ -75,6 +75,14 @@ def pieces(data: np.ndarray, off: np.ndarray, limit: int = PIECE_BYTES) -> Itera
         lo = hi
 
 
+def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 texts, and their rows' offsets."""
+    if not (data & 0x80).any():
+        return data.astype(np.uint32), off
+    begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32), begins[off]
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the rows of a piece: byte spans, and for each row the first word's index."""
 

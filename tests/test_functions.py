@@ -350,3 +350,28 @@ def test_glyphs_between_cases():
     assert udfs.fix_glyph_codes("AB(cid:130)CD") == "AB CD"
     assert udfs.fix_glyph_codes("(cid:130)Cole") == " Cole"
     assert udfs.fix_glyph_codes("mot (cid:160) fin") == "mot fin"
+
+
+def test_shape_signals_against_regular_expressions():
+    import re
+    import unicodedata
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.functions import kernels as K
+
+    rng = random.Random(21)
+    texts = ["".join(rng.choice(["a", "B", "é", "7", "#", ".", ".", "..", "…", "-", "*", "•", "▪", " ", " ", "\n", "\r", " ", "　", "\t", "{", "!", "?", "lorem ipsum", "LoRem Ipsum", "日"]) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["", "...", "\n", "\n\n", "...\r", "... ", "lorem ipsu"]
+    got = signals.shape_rows(*K.text_bytes(pa.array(texts)))
+    for text, row in zip(texts, got, strict=True):
+        words = [w for w in re.split("[" + "".join(map(chr, signals.WHITE)) + "]+", text) if w]
+        n, lines = max(len(words), 1), text.split("\n")
+        want = [
+            len(words), sum(map(len, words)) / n, len(re.findall(r"#|\.\.\.|…", text)) / n,
+            sum(bool(re.match(r" *[-*•▪‣]", x)) for x in lines) / len(lines), sum(bool(re.search(r"(\.\.\.|…) *(?=[\r\x85  ]?\Z)", x)) for x in lines) / len(lines),
+            sum(not any(unicodedata.category(c)[0] == "L" for c in w) for w in words) / n,
+            len(re.findall("[{}]", text)), text.lower().count("lorem ipsum"), len(re.findall("[.!?]+", text)),
+        ]
+        assert np.allclose(row, want), (text, row, want)
