@@ -69,14 +69,6 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return out if out is not None else F.lit(None).cast("string")
 
 
-def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of UTF-8 texts, and their rows' offsets."""
-    if not (data & 0x80).any():
-        return data.astype(np.uint32), off
-    begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    return np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32), begins[off]
-
-
 def contexts(chars: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Hashes of the 0 to ORDER characters before each character: a row for each order."""
     into = np.arange(len(chars)) - np.repeat(off[:-1], np.diff(off))
@@ -109,7 +101,7 @@ class Nodes:
 
     def gap(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Log-likelihood of accepted less that of rejected, for each character."""
-        chars, off = characters(data, off)
+        chars, off = K.code_points(data, off)
         p = np.full((2, len(chars)), 1 / CODE_POINTS)
         for h in contexts(chars, off):
             at = np.minimum(np.searchsorted(self.context, h), max(len(self.context) - 1, 0))
@@ -129,7 +121,7 @@ def count_contexts(labelled: DataFrame) -> DataFrame:
             label = b.column("label").to_numpy(zero_copy_only=False)
             data, off = K.text_bytes(b.column("url"))
             for lo, hi, d, o in K.pieces(data, off, PIECE):
-                chars, o = characters(d, o)
+                chars, o = K.code_points(d, o)
                 h = contexts(chars, o).ravel()
                 follow, kind = np.tile(chars, ORDER + 1), np.tile(np.repeat(label[lo:hi], np.diff(o)), ORDER + 1)
                 by = np.lexsort((follow, h))
@@ -150,7 +142,7 @@ def gaps(rows: DataFrame, model: DataFrame) -> DataFrame:
     def ask(t: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.uint64)]
         for _, _, d, o in K.pieces(*K.text_bytes(t["url"]), PIECE):
-            found.append(np.unique(contexts(*characters(d, o))))
+            found.append(np.unique(contexts(*K.code_points(d, o))))
         h = np.unique(np.concatenate(found))
         block = t["block"][0].as_py() if t.num_rows else 0
         return pa.table({"context": pa.array(h.view(np.int64)), "block": pa.array(np.full(len(h), block, np.int64))})
