@@ -375,3 +375,42 @@ def test_shape_signals_against_regular_expressions():
             len(re.findall("[{}]", text)), text.lower().count("lorem ipsum"), len(re.findall("[.!?]+", text)),
         ]
         assert np.allclose(row, want), (text, row, want)
+
+
+def test_minhash_clusters_against_all_pairs(spark):
+    """Clusters are the components of all pairs that share a band, and one row of each stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    bands = {r.doc_id: r.b for r in docs.select("doc_id", dedup.band_hashes(F.col("text")).alias("b")).collect()}
+    root = {d: d for d in bands}
+    pairs = [(a, b) for a in bands for b in bands if b < a and bands[a] and bands[b] and any(x == y for x, y in zip(bands[a], bands[b], strict=True))]
+    while any(root[a] != root[b] for a, b in pairs):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    assert len(set(root.values())) < len(root)
+    assert {r.doc_id: r.cluster for r in dedup.minhash_clusters(docs).collect()} == root
+    assert sorted(r.doc_id for r in dedup.minhash(docs).collect()) == sorted(set(root.values()))
+    text = {r.doc_id: r.text for r in docs.collect()}
+    same = {}
+    for d, t in text.items():
+        if bands[d]:
+            same.setdefault(t, set()).add(root[d])
+    assert all(len(r) == 1 for r in same.values())  # equal texts are in one cluster
+
+
+def test_pre_token_merges_by_hand(spark):
+    words = {"low": 3, "lower": 2, "newest": 6, "widest": 3}
+    merges = tokens.train(spark.createDataFrame([(w,) for w, n in words.items() for _ in range(n)], "text string"), merges=4)
+    assert len(merges) == 4
+    parts = {w: list(w) for w in words}
+    for a, b in merges:  # each merge is a most frequent pair of what the ones before left
+        count = {}
+        for w, n in words.items():
+            for p in zip(parts[w], parts[w][1:]):
+                count[p] = count.get(p, 0) + n
+        assert count.get((a, b), 0) == max(count.values()), (a, b, count)
+        for w, p in parts.items():
+            k = 0
+            while k + 1 < len(p):
+                if (p[k], p[k + 1]) == (a, b):
+                    p[k : k + 2] = [a + b]
+                k += 1
