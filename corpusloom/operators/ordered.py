@@ -30,15 +30,18 @@ def _blocked(df: DataFrame, order: str, block_rows: int) -> DataFrame:
     return df.withColumn("_block", F.when(run > 0, (run - 1) * step + F.size(F.filter(inner, lambda c: c <= F.col(order)))).otherwise(F.lit(0)))
 
 
-def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows: int = BLOCK_ROWS, ties: list[str] | None = None) -> DataFrame:
-    """Add the sum of ``value`` over all rows up to each row, in ascending order."""
+def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows: int = BLOCK_ROWS, ties: list[str] | None = None, within: str | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows up to each row, in ascending order; with ``within``, over those of the same value there, however many these are."""
     df = _blocked(df.withColumn("_value", value), order, block_rows)
-    totals = df.groupBy("_block").agg(F.sum("_value").alias("_total"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # over MOST_BLOCKS rows at most
-    offsets = totals.select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_block").orderBy(order, *(ties or [])).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.join(F.broadcast(offsets), "_block").withColumn(name, F.col("_offset") + F.sum("_value").over(inside))
-    return out.drop("_block", "_offset", "_value")
+    group = F.col(within) if within else F.lit(0)
+    df = df.withColumn("_group", group)
+    totals = df.groupBy("_group", "_block").agg(F.sum("_value").alias("_total"))
+    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # over MOST_BLOCKS rows at most
+    offsets = totals.select(F.col("_group").alias("_g"), F.col("_block").alias("_b"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_group", "_block").orderBy(order, *(ties or [])).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = offsets if within else F.broadcast(offsets)
+    out = df.join(offsets, (F.col("_block") == F.col("_b")) & F.col("_group").eqNullSafe(F.col("_g"))).withColumn(name, F.col("_offset") + F.sum("_value").over(inside))
+    return out.drop("_block", "_offset", "_value", "_group", "_g", "_b")
 
 
 def budget(df: DataFrame, order: str, size: Column, limit: int, keep_crossing: bool = True) -> DataFrame:
@@ -53,9 +56,9 @@ def stride(df: DataFrame, order: str, k: int) -> DataFrame:
     return with_running(df, order, F.lit(1), "_n").filter(F.col("_n") % k == 0).drop("_n")
 
 
-def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
-    """Add row numbers from 0."""
-    return with_running(df, order, F.lit(1), name).withColumn(name, F.col(name) - 1)
+def numbered(df: DataFrame, order: str, name: str = "row", within: str | None = None) -> DataFrame:
+    """Add row numbers from 0, for each value of ``within`` where it is given."""
+    return with_running(df, order, F.lit(1), name, within=within).withColumn(name, F.col(name) - 1)
 
 
 def chunked(df: DataFrame, order: str, size: int, name: str = "chunk") -> DataFrame:

@@ -78,9 +78,7 @@ def fixed_chunks(spark, sf):
 @query("select lang, doc_id, row_number() over (partition by lang order by doc_id) - 1 as idx_row from documents")
 def row_ids(spark, sf):
     """Ids for datasets that have none: the row's number in its dataset."""
-    from pyspark.sql import Window
-
-    return docs(spark, sf, "lang").select("lang", "doc_id", (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).cast("long").alias("idx_row"))
+    return ordered.numbered(docs(spark, sf, "lang"), "doc_id", "idx_row", within="lang").select("lang", "doc_id", F.col("idx_row").cast("long").alias("idx_row"))
 
 
 @query("select dataset_at, dataset, id from (select 0 as dataset_at, 'docs.en' as dataset, doc_id as id from documents where lang = 'en' union all select 1, 'docs.fr', doc_id from documents where lang = 'fr' union all select 2, 'pages', page_id from pages)")

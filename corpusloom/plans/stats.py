@@ -70,11 +70,11 @@ def legality_crosstab(spark, sf):
 @query("""select doc_id, source, case when born is null then first_born else born end as born from (select doc_id, source, born, first_value(born ignore nulls) over (partition by source order by doc_id rows unbounded preceding) as first_born from (select doc_id, source, case when doc_id % 4 = 0 then 1800 + doc_id % 90 end as born from documents))""")
 def first_seen_dates(spark, sf):
     """An author's missing date is the first one seen before."""
-    from pyspark.sql import Window
-
     born = F.when(F.col("doc_id") % 4 == 0, 1800 + F.col("doc_id") % 90)
-    seen = F.first("born", ignorenulls=True).over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    return table(spark, sf, "documents").select("doc_id", "source", born.alias("born")).select("doc_id", "source", F.coalesce("born", seen).alias("born"))
+    rows = table(spark, sf, "documents").select("doc_id", "source", born.alias("born"))
+    first = rows.filter("born is not null").groupBy("source").agg(F.min(F.struct("doc_id", "born")).alias("first"))
+    seen = F.when(F.col("first.doc_id") <= F.col("doc_id"), F.col("first.born"))
+    return rows.join(first, "source", "left").select("doc_id", "source", F.coalesce("born", seen).alias("born"))
 
 
 @query(f"select split_part(source, '_', 1) as prefix, {_S} from (select doc_id, source || '_' || doc_id as source, docs, words, chars from {_C}) group by 1 having sum(words) > 0")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions import urls
-from corpusloom.operators import filters, signals
+from corpusloom.operators import filters, ordered, signals
 from corpusloom.plans.registry import query, table
 
 WORDS = r"list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda w: w <> '')"
@@ -171,12 +171,9 @@ def duplicate_flag_join(spark, sf):
 join (select source, doc_id, row_number() over (partition by source order by doc_id) as r from documents where doc_id % 3 <> 0) b on a.source = b.source and a.r = b.r""")
 def positional_zip(spark, sf):
     """The k-th document of a shard with its k-th signal row; the shorter side ends the shard."""
-    from pyspark.sql import Window
-
     docs = table(spark, sf, "documents").select("source", "doc_id")
-    at = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    right = docs.filter("doc_id % 3 <> 0").withColumn("r", at).withColumnRenamed("doc_id", "signal_id")
-    return docs.withColumn("r", at).join(right, ["source", "r"]).select("source", "doc_id", "signal_id")
+    right = ordered.numbered(docs.filter("doc_id % 3 <> 0"), "doc_id", "r", within="source").withColumnRenamed("doc_id", "signal_id")
+    return ordered.numbered(docs, "doc_id", "r", within="source").join(right, ["source", "r"]).select("source", "doc_id", "signal_id")
 
 
 @query("""select 'snap' || s as snapshot, n as shard, lang, part from range(3) a(s), range(40) b(n), (values ('en'), ('fr')) c(lang), (values ('head'), ('middle')) d(part) where not (n % 11 = 3 and lang = 'fr' and part = 'head') and n < 10""")

@@ -414,3 +414,13 @@ def test_pre_token_merges_by_hand(spark):
                 if (p[k], p[k + 1]) == (a, b):
                     p[k : k + 2] = [a + b]
                 k += 1
+
+
+def test_row_numbers_within_groups(spark):
+    rows = [(k, None if k % 5 == 0 else "big" if k % 5 < 4 else f"g{k % 40}") for k in range(2000)]
+    df = spark.createDataFrame(rows, "k int, g string").repartition(4)
+    got = {r.k: r.n for r in ordered.numbered(df, "k", "n", within="g").collect()}
+    seen, want = {}, {}
+    for k, g in rows:
+        want[k] = seen[g] = seen.get(g, -1) + 1
+    assert got == want
