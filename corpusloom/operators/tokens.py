@@ -1,9 +1,9 @@
 """Tokens: pre-token counts, a BPE trainer on them, padding, long texts in parts.
 
-The trainer stands for the reference's own vocabulary training.  Counting runs
-in Spark over the whole corpus; merges are learnt on the driver from the table
-of distinct pre-tokens, which is cut to a stated size by frequency (as a
-trainer's minimum frequency does) and so stays bounded.
+The trainer stands for the reference's own vocabulary training.  Every
+pre-token of the corpus counts.  Where the distinct ones are few, the driver
+learns the merges; beyond that they stay a table, whose pairs Spark counts
+anew for each batch of merges.  Both ways give the same merges.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.sources import scratch
+
 #: Letters, single digits, single line breaks and tabs, runs of marks; a space goes with the word after it.
 PRE_TOKEN = r"(?U) ?\p{L}+| ?\p{N}|[\n\t]| ?[^\s\p{L}\p{N}]+| +"
 
@@ -28,6 +30,19 @@ def pre_token_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.explode(pre_tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
+def _joined(symbols: list[str], pairs: set[tuple[str, str]]) -> list[str]:
+    """Symbols with each of these pairs made one symbol, from the left."""
+    new, k = [], 0
+    while k < len(symbols):
+        if k + 1 < len(symbols) and (symbols[k], symbols[k + 1]) in pairs:
+            new.append(symbols[k] + symbols[k + 1])
+            k += 2
+        else:
+            new.append(symbols[k])
+            k += 1
+    return new
+
+
 def learn_merges(counts: list[tuple[str, int]], merges: int) -> list[tuple[str, str]]:
     """BPE merges by falling pair frequency, ties by the pair; a pair seen once is not merged."""
     words = [list(t) for t, _ in counts]
@@ -56,15 +71,7 @@ def learn_merges(counts: list[tuple[str, int]], merges: int) -> list[tuple[str,
             for q in zip(w, w[1:]):
                 pairs[q] -= weight[i]
                 touched.add(q)
-            new, k = [], 0
-            while k < len(w):
-                if k + 1 < len(w) and (w[k], w[k + 1]) == p:
-                    new.append(w[k] + w[k + 1])
-                    k += 2
-                else:
-                    new.append(w[k])
-                    k += 1
-            words[i] = new
+            new = words[i] = _joined(w, {p})
             for q in zip(new, new[1:]):
                 pairs[q] += weight[i]
                 where[q].add(i)
@@ -75,10 +82,71 @@ def learn_merges(counts: list[tuple[str, int]], merges: int) -> list[tuple[str,
     return out
 
 
-def train(df: DataFrame, merges: int = 1000, distinct: int = 200_000, least: int = 2, text: str = "text") -> list[tuple[str, str]]:
-    """Merges from the ``distinct`` most frequent pre-tokens of at least ``least`` occurrences."""
-    table = pre_token_counts(df, text).filter(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(distinct)
-    return learn_merges([(r.token, r.n) for r in table.collect()], merges)
+def _batch(ranked: list[tuple[tuple[str, str], int]], whole: bool, made: set[str], most: int) -> list[tuple[str, str]]:
+    """The first of the ranked pairs that may merge at once, in order, with the same result as one by one.
+
+    Pairs without a symbol in common don't change each other's counts, and a pair
+    that a merge creates is never more frequent than the pair of old symbols it
+    comes from.  So a pair may follow while it shares no symbol with those before
+    it and is more frequent than every pair that does; a doubled symbol, or a
+    symbol made before in another way, ends the batch.  ``whole``: no pair is
+    missing from the ranked ones.
+    """
+    out: list[tuple[str, str]] = []
+    used: set[str] = set()
+    for at, (pair, n) in enumerate(ranked):
+        if out:
+            rival = next((m for q, m in ranked[at:] if used & set(q)), 0 if whole else ranked[-1][1])
+            if n <= rival:
+                break
+        out.append(pair)
+        used |= set(pair)
+        seen = pair[0] + pair[1] in made
+        made.add(pair[0] + pair[1])
+        if seen or pair[0] == pair[1] or len(out) == most:
+            break
+    return out
+
+
+def _learn_in_table(counts: DataFrame, merges: int, ranked: int = 512, steps: int = 8) -> list[tuple[str, str]]:
+    """learn_merges over a table of any size: each round counts all pairs and collects the ``ranked`` most frequent; the symbols are written anew after ``steps`` rounds."""
+    words = table = scratch.written(counts.select(F.split("token", "").alias("symbols"), "n"), "symbols")
+    out: list[tuple[str, str]] = []
+    made: set[str] = set()
+    rounds = 0
+    while len(out) < merges:
+        pair = F.explode(F.arrays_zip(F.expr("slice(symbols, 1, size(symbols) - 1)").alias("l"), F.expr("slice(symbols, 2, size(symbols) - 1)").alias("r")))
+        pairs = words.filter(F.size("symbols") > 1).select(pair.alias("p"), "n").groupBy("p.l", "p.r").agg(F.sum("n").alias("n")).filter("n > 1")
+        top = [((r.l, r.r), r.n) for r in pairs.orderBy(F.desc("n"), "l", "r").limit(ranked).collect()]
+        batch = _batch(top, len(top) < ranked, made, merges - len(out))
+        if not batch:
+            break
+        out += batch
+        words = words.select(_joined_column(set(batch)).alias("symbols"), "n")
+        rounds += 1
+        if rounds % steps == 0:
+            words = scratch.written(words, "symbols")
+            scratch.drop(table)
+            table = words
+    scratch.drop(table)
+    return out
+
+
+def _joined_column(pairs: set[tuple[str, str]]) -> Column:
+    @F.arrow_udf("array<string>")
+    def join(a: pa.Array) -> pa.Array:
+        return pa.array([_joined(w, pairs) for w in a.to_pylist()], pa.list_(pa.string()))
+
+    return join(F.col("symbols"))
+
+
+def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text") -> list[tuple[str, str]]:
+    """Merges learnt from all pre-tokens of the corpus: on the driver while the distinct ones have up to ``at_driver`` characters, beyond that in Spark; the same either way."""
+    counts = scratch.written(pre_token_counts(df, text).filter(F.length("token") > 1), "pre-tokens")
+    size = counts.agg(F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("chars")).first().chars
+    out = learn_merges([(r.token, r.n) for r in counts.collect()], merges) if size <= at_driver else _learn_in_table(counts, merges)
+    scratch.drop(counts)
+    return out
 
 
 def padded(tokens: Column, size: int, pad: int, end: int | None = None) -> Column:

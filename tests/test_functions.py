@@ -236,6 +236,38 @@ def test_bpe_merges():
     assert "".join(tokens.cut_before_digits(text, 200)) == text and len(tokens.cut_before_digits(text, 200)) > 1
 
 
+def test_merges_in_batches_are_those_one_by_one():
+    """Whole batches give the merges of one at a time, with ties, doubled symbols and symbols made in two ways."""
+    from collections import Counter
+
+    rng = random.Random(7)
+    for case in range(400):
+        letters = "abcdefgh"[: rng.randint(2, 8)]
+        counts = Counter("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 40)))
+        counts = {w: n * rng.randint(1, 3) for w, n in counts.items()}
+        words, out, made = {w: list(w) for w in counts}, [], set()
+        ranked = rng.choice([1, 3, 512])
+        while len(out) < 12:
+            pairs = Counter()
+            for w, symbols in words.items():
+                for pair in zip(symbols, symbols[1:]):
+                    pairs[pair] += counts[w]
+            top = sorted(((p, n) for p, n in pairs.items() if n > 1), key=lambda x: (-x[1], x[0]))[:ranked]
+            batch = tokens._batch(top, len(top) < ranked, made, 12 - len(out))
+            if not batch:
+                break
+            out += batch
+            words = {w: tokens._joined(symbols, set(batch)) for w, symbols in words.items()}
+        assert out == tokens.learn_merges(list(counts.items()), 12), case
+
+
+def test_merges_learnt_in_a_table(spark):
+    rows = [("low lower lowest new newer 😀😀😀😀 aaaa aaa",), ("the new tower, the lower tower; 2024 2024 !!!! !!",), (None,), ("",), ("z" * 3000,)]
+    df = spark.createDataFrame(rows * 3, "text string")
+    assert tokens.train(df, 40, at_driver=0) == tokens.train(df, 40)
+    assert tokens.train(df.filter("false"), 5) == tokens.train(df.filter("false"), 5, at_driver=0) == []
+
+
 def test_at_least_digits(spark):
     df = spark.createDataFrame([(0.0,), (12.5,), (0.1,), (0.05,), (0.00123,)], "x double")
     assert [r[0].strip() for r in df.select(statistics.at_least_digits(F.col("x"))).collect()] == ["0.000", "12.500", "0.100", "0.0500", "0.00123"]
