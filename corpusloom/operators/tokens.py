@@ -110,11 +110,16 @@ def _batch(ranked: list[tuple[tuple[str, str], int]], whole: bool, made: set[str
 
 def _learn_in_table(counts: DataFrame, merges: int, ranked: int = 512, steps: int = 8) -> list[tuple[str, str]]:
     """learn_merges over a table of any size: each round counts all pairs and collects the ``ranked`` most frequent; the symbols are written anew after ``steps`` rounds."""
-    words = table = scratch.written(counts.select(F.split("token", "").alias("symbols"), "n"), "symbols")
+    table = scratch.written(counts.select(F.split("token", "").alias("symbols"), "n"), "symbols")
     out: list[tuple[str, str]] = []
     made: set[str] = set()
-    rounds = 0
+    pending: list[set[tuple[str, str]]] = []
     while len(out) < merges:
+        words = table.select(_joined_column(pending).alias("symbols"), "n") if pending else table
+        if len(pending) == steps:
+            words = scratch.written(words.filter(F.size("symbols") > 1), "symbols")
+            scratch.drop(table)
+            table, pending = words, []
         pair = F.explode(F.arrays_zip(F.expr("slice(symbols, 1, size(symbols) - 1)").alias("l"), F.expr("slice(symbols, 2, size(symbols) - 1)").alias("r")))
         pairs = words.filter(F.size("symbols") > 1).select(pair.alias("p"), "n").groupBy("p.l", "p.r").agg(F.sum("n").alias("n")).filter("n > 1")
         top = [((r.l, r.r), r.n) for r in pairs.orderBy(F.desc("n"), "l", "r").limit(ranked).collect()]
@@ -122,20 +127,20 @@ def _learn_in_table(counts: DataFrame, merges: int, ranked: int = 512, steps: in
         if not batch:
             break
         out += batch
-        words = words.select(_joined_column(set(batch)).alias("symbols"), "n")
-        rounds += 1
-        if rounds % steps == 0:
-            words = scratch.written(words, "symbols")
-            scratch.drop(table)
-            table = words
+        pending.append(set(batch))
     scratch.drop(table)
     return out
 
 
-def _joined_column(pairs: set[tuple[str, str]]) -> Column:
+def _joined_column(batches: list[set[tuple[str, str]]]) -> Column:
+    steps = list(batches)
+
     @F.arrow_udf("array<string>")
     def join(a: pa.Array) -> pa.Array:
-        return pa.array([_joined(w, pairs) for w in a.to_pylist()], pa.list_(pa.string()))
+        rows = a.to_pylist()
+        for pairs in steps:
+            rows = [_joined(w, pairs) for w in rows]
+        return pa.array(rows, pa.list_(pa.string()))
 
     return join(F.col("symbols"))
 
