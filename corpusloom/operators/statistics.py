@@ -100,3 +100,10 @@ def token_counters(tokens: Column) -> dict[str, Column]:
         "digit_tokens": some("^ ?[0-9]+$"),
         "single_byte_tokens": F.size(F.filter(tokens, lambda t: F.octet_length(t) == 1)).cast("long"),
     }
+
+
+def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Each row of left with its row of right; reading the key of a row without one is an error."""
+    out = left.join(right.withColumn("_found", F.lit(True)), key, "left")
+    found = F.when(F.col("_found"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no match for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))))
+    return out.withColumn(key, found).drop("_found")

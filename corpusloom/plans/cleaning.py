@@ -73,6 +73,19 @@ def thesis_cleaned(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, page, end, junk))).alias("text"))
 
 
+@query("""with l as (select doc_id, regexp_extract_all(repeat('running head' || chr(10), (doc_id % 4 + 8)::int) || text || chr(12) || 'end', '[^\\n\\f]*[\\n\\f]|[^\\n\\f]+') as ls from documents),
+e as (select doc_id, i, ls[i] as line from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from l)),
+c as (select *, count(*) over (partition by doc_id, line) as n from e),
+k as (select doc_id, coalesce(string_agg(line, '' order by i) filter (n < 10 or length(line) < 10), '') as t from c group by doc_id),
+p as (select doc_id, list_filter(regexp_extract_all(t, '[^\\f]*\\f|[^\\f]+'), lambda x: length(x) - length(replace(x, chr(10), '')) < 200 and length(x) - length(regexp_replace(x, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f\\x{fffd}]', '', 'g')) <= 0.2 * length(x)) as ps from k)
+select doc_id, md5(regexp_replace(array_to_string(ps, ''), '^\\s+|\\s+$', '', 'g')) as text from p""")
+def thesis_pages(spark, sf):
+    """Whole texts with their own line breaks: a head that repeats eight to eleven times, pages of too many lines."""
+    cover = F.lit("cover\nHAL is a multi-disciplinary open access archive\x0c")
+    head = F.expr("repeat('running head\n', cast(doc_id % 4 + 8 as int))")
+    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, head, F.col("text"), F.lit("\x0cend")))).alias("text"))
+
+
 @query("""select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'en', 'e-' || chr(10) || 'n'), '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g'), '([,;])\\s*\\n', '\\1 ', 'g'), '\\n\\s*([a-z»])', ' \\1', 'g'), ' {2,}', ' ', 'g')) as text from documents""")
 def lines_joined(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(T.join_lines(F.replace("text", F.lit("en"), F.lit("e-\nn")))).alias("text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import uniform
+from corpusloom.operators import labels, uniform
 from corpusloom.plans.registry import query, table
 from corpusloom.sources import sinks
 
@@ -76,3 +76,17 @@ def slugs(spark, sf):
     from corpusloom.functions.text import slug
 
     return table(spark, sf, "pages").select("page_id", slug(F.col("url")).alias("slug"))
+
+
+_NAMED = ["HAL", "PeS2o", "Theses_2020", "Gutenberg.fr", "Pile", "OtherFr", "RedPajama--fr--2019", "FineWebEdu--cc-main-2018", "---", "nope", "Ubuntu IRC", ""]
+_PARTS = ["FreeLaw", "", "Senat"]
+
+
+@query(f"""with d as (select doc_id, {_NAMED}[doc_id % 12 + 1] as name, {_PARTS}[doc_id // 12 % 3 + 1] as subset from documents)
+select doc_id, case when name in ('---', '') then '' when name = 'PeS2o' then 'mixed' when name in ('HAL', 'Theses_2020') then 'true' else 'false' end as ocr,
+case when name in ('---', '') then '' when name in ('HAL', 'PeS2o') then 'technical' when name = 'Gutenberg.fr' then 'book' when name in ('Pile', 'OtherFr') and subset = 'FreeLaw' then 'legi_written' when name in ('Pile', 'OtherFr') and subset = 'Senat' then 'legi_dialogue' when name like 'RedPajama%' then 'web' when name = 'Ubuntu IRC' then 'forum' end as category from d""")
+def dataset_labels(spark, sf):
+    """Scanned or not, and the category, of datasets by name."""
+    at = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (i % len(names) + 1).cast("int"))
+    rows = table(spark, sf, "documents").select("doc_id", at(_NAMED, F.col("doc_id")).alias("name"), at(_PARTS, F.floor(F.col("doc_id") / 12)).alias("subset"))
+    return rows.select("doc_id", labels.scanned(F.col("name")).alias("ocr"), labels.dataset_category(F.col("name"), F.col("subset")).alias("category"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import word_count
+from corpusloom.operators.statistics import matched
 from corpusloom.plans.registry import query, table
 from corpusloom.sources import sinks
 
@@ -133,7 +134,7 @@ def token_stats_lookup(spark, sf):
     docs = table(spark, sf, "documents")
     tokens = docs.groupBy(canonical_name(F.concat("source", F.lit("."), "lang"), F.lit("")).alias("source")).agg(F.sum(F.length("text")).alias("tokens"))
     stats = docs.groupBy(canonical_name(F.col("source"), F.col("lang")).alias("source")).agg(F.count("*").alias("docs"))
-    return tokens.join(stats, "source", "left").select("source", "tokens", "docs")
+    return matched(tokens, stats, "source").select("source", "tokens", "docs")
 
 
 @query("select doc_id, source || '_' || lang as name from documents")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import hashing, udfs, urls
 from corpusloom.functions import text as T
 from corpusloom.operators import chunks, conversations, filters, ordered, uniform
+from corpusloom.sources.registry import Named, named
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -140,6 +141,8 @@ RECIPES: dict[str, Recipe] = {
     "PeS2o.s2orc": Recipe(keep=lambda: F.col("source").startswith("s2orc")),
     "Pile.Ubuntu": Recipe(clean=T.clean_channel_log),
     "Pile": Recipe(),
+    "OtherFr": Recipe(),
+    "MathPile": Recipe(),
     "MathPile.StackExchange": Recipe(prepare=_exchange),
     "TheStack": Recipe(key="content"),
     "TheStack.tex": Recipe(key="content", keep=lambda: F.col("ext") == "tex"),
@@ -148,6 +151,38 @@ RECIPES: dict[str, Recipe] = {
     "Aya": Recipe(prepare=_column("text", lambda: F.concat_ws(" ", "inputs", "targets"))),
 }
 
+#: Recipes of families under another name, or of several parts.
+FAMILY_RECIPES = {"wikiother": ["Wiktionary", "Wikisource"], "gallica_mono": ["GallicaMonographies"], "validated_youtube": ["YouTube"], "open_data_fr": ["OpenData"], "other_fr": ["LEGI", "OtherFr"], "code": ["TheStack"], "pile": ["Pile", "Pile.Ubuntu"], "math_pile": ["MathPile", "MathPile.StackExchange"]}
+
+
+def recipes_of(dataset: Named) -> list[str]:
+    """The recipes of a dataset: its family's, or that of its language, or its parts'; a KeyError if there is none."""
+    if dataset.family in FAMILY_RECIPES:
+        return FAMILY_RECIPES[dataset.family]
+    family = dataset.family.replace("_", "")
+    keys = {k.lower(): k for k in RECIPES}
+    if family in keys:
+        return [keys[family]]
+    for child in (dataset.language, "other"):
+        if f"{family}.{child}" in keys:
+            return [keys[f"{family}.{child}"]]
+    parts = [k for low, k in keys.items() if low.startswith(family + ".")]
+    if not parts:
+        raise KeyError(f"no recipe for {dataset.family}")
+    return parts
+
+
+def load_named(name: str, locate: Callable[[Named, str], DataFrame], non_commercial: bool = True, **options) -> DataFrame:
+    """(dataset, language, year, text) of all datasets of a name, by ``locate(dataset, recipe name)``, which gives the raw rows; ``options`` as of load()."""
+    out: DataFrame | None = None
+    for dataset in named(name, non_commercial):
+        for recipe in recipes_of(dataset):
+            rows = load(locate(dataset, recipe), RECIPES[recipe], **options)
+            one = rows.select(F.lit(recipe).alias("dataset"), F.lit(dataset.language).cast("string").alias("language"), F.lit(dataset.year).cast("string").alias("year"), "text")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 Chat = Callable[[DataFrame], DataFrame]
 
 

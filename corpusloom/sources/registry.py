@@ -4,12 +4,67 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LANGUAGES = ["en", "fr", "es", "de", "it"]
 
+#: Dataset families in several languages, and those named with a year.
+FAMILY_LANGUAGES = {
+    "wikipedia": ["fr", "en", "de", "es", "it"],
+    "wikiother": ["fr"],
+    "gutenberg": ["fr", "en", "de", "es", "it"],
+    "europarl": ["fr", "en", "de", "es"],
+    "claire": ["fr", "en"],
+    "eurovoc": ["en", "de", "es", "it"],
+    "validated_youtube": ["fr"],
+    "red_pajama": ["fr", "de", "es", "it"],
+    "cultura_x": ["fr", "en", "de", "es", "it"],
+    "subscene": ["fr", "en", "de", "es", "it"],
+    "youtube": ["fr", "en", "de", "es", "it"],
+    "aya": ["fr", "en", "de", "es", "it"],
+    "aya_chat": ["fr", "de", "es", "it"],
+    "alpaca": ["en", "fr"],
+    "dolly": ["en", "fr", "de", "es"],
+    "aya_dataset_chat": ["fr", "en", "de", "es", "it"],
+    "oasst1": ["fr", "en", "de", "es", "it"],
+    "filtered_oasst": ["fr", "en", "de", "es", "it"],
+    "hard_coded": ["en", "fr"],
+}
+YEARLY = ["fine_web_edu"]
+#: What ``all`` stands for, in order, and the part of it that is not for commercial use.
+TRAINING = ["wikipedia", "wikiother", "gutenberg", "europarl", "claire", "eurovoc", "validated_youtube", "red_pajama", "croissant_aligned", "europarl_aligned", "american_stories", "pes2o", "fine_web_edu", "pile", "stac", "gallica_press", "gallica_mono", "theses", "hal", "open_edition", "discours_publics", "other_fr", "open_data_fr", "persee", "math_pile", "code"]
+NON_COMMERCIAL = ["persee"]
+
+
+class Named(NamedTuple):
+    """One dataset that a name stands for; ``part`` is ``train`` or ``test`` of the tokenizer's mix."""
+
+    family: str
+    language: str | None = None
+    year: str | None = None
+    part: str | None = None
+
+
+def named(name: str, non_commercial: bool = True) -> list[Named]:
+    """The datasets of a name in any case: ``all``, ``tok`` (both halves), ``tok_train``, ``tok_test``, a family, ``family_<language>``, ``family_<year>``."""
+    name = name.lower()
+    if name == "all":
+        return [d for family in TRAINING if non_commercial or family not in NON_COMMERCIAL for d in named(family)]
+    if name.startswith("tok"):
+        return [Named("tokenizer", part=p) for p, other in (("train", "test"), ("test", "train")) if other not in name]
+    if name in FAMILY_LANGUAGES:
+        return [Named(name, language) for language in FAMILY_LANGUAGES[name]]
+    family, _, last = name.rpartition("_")
+    if family in YEARLY:
+        return [Named(family, year=last)]
+    if family in FAMILY_LANGUAGES and last != "aligned":
+        return [Named(family, last)]
+    return [Named(name)]
+
+
 Loader = Callable[[SparkSession], DataFrame]
 
 

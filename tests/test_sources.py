@@ -101,3 +101,30 @@ def test_library_stands_without_the_subpackage():
     for p in (root / "corpusloom").rglob("*.py"):
         if "llm" not in p.parts:
             assert "corpusloom.llm" not in p.read_text()
+
+
+def test_names_stand_for_datasets(spark):
+    from corpusloom.sources import corpora
+    from corpusloom.sources.registry import Named, named
+
+    assert named("Claire") == [Named("claire", "fr"), Named("claire", "en")]
+    assert named("wikipedia_de") == [Named("wikipedia", "de")]
+    assert named("europarl_aligned") == [Named("europarl_aligned")]
+    assert named("fine_web_edu_2021") == [Named("fine_web_edu", year="2021")]
+    assert [d.part for d in named("tok")] == ["train", "test"] and [d.part for d in named("tok_test")] == ["test"]
+    assert {d.family for d in named("all")} - {d.family for d in named("all", non_commercial=False)} == {"persee"}
+    assert all(corpora.recipes_of(d) for d in named("all"))
+    assert corpora.recipes_of(Named("cultura_x", "de")) == ["CulturaX.other"] and corpora.recipes_of(Named("cultura_x", "fr")) == ["CulturaX.fr"]
+    with pytest.raises(KeyError):
+        corpora.recipes_of(Named("nope"))
+    rows = corpora.load_named("claire", lambda d, recipe: spark.createDataFrame([(f"{recipe} {d.language}",), ("",)], "text string")).collect()
+    assert [(r.dataset, r.language, r.year, r.text) for r in rows] == [("Claire", "fr", None, "Claire fr"), ("Claire", "en", None, "Claire en")]
+
+
+def test_lookup_without_a_match_is_an_error(spark):
+    from corpusloom.operators.statistics import matched
+
+    left, right = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int"), spark.createDataFrame([("a", 3)], "k string, y int")
+    assert [tuple(r) for r in matched(left.filter("k = 'a'"), right, "k").collect()] == [("a", 1, 3)]
+    with pytest.raises(Exception, match="no match for b"):
+        matched(left, right, "k").collect()
