@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, chat_windows, decontamination, labelled, quality_classifier, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
+from corpusloom.llm import byte_bpe, chat_windows, decontamination, labelled, nearest, quality_classifier, quality_rules, schema_rewrite, sharding, simhash, substring_dedup, toxicity, url_filter, vector_codes
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 SHARDS = 16
@@ -88,10 +88,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.train(docs, labels))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op12_schema_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_rewrite.rewrite_clients(_table(spark, sf_dir, "clients"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    own = [op1_url_filter, op2_substring_dedup, op3_toxicity, op4_external_shuffle, op5_quality_classifier, op6_chat_windows, op7_byte_bpe, op8_decontamination, op9_simhash, op10_quality_rules]
+    own = [op1_url_filter, op2_substring_dedup, op3_toxicity, op4_external_shuffle, op5_quality_classifier, op6_chat_windows, op7_byte_bpe, op8_decontamination, op9_simhash, op10_quality_rules, op11_nearest, op12_schema_rewrite, op13_vector_codes]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
