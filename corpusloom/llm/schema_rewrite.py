@@ -48,6 +48,7 @@ BITS = 16
 HEAVY_TIMES, HEAVY_LEAST = 8, 2048
 SPLITS = 64
 ROW_GROUP = 1 << 17
+TASK_ROWS = 100_000
 
 
 class Field(NamedTuple):
@@ -193,8 +194,8 @@ def shown(column: pa.Array) -> pa.Array:
     return column.cast(pa.string()).fill_null("?")
 
 
-def evolve_files(files: DataFrame, folder: str, fields: list[Field], fill: dict[int, object], id_field: int = 1) -> DataFrame:
-    """files (file_no, version, start_columns, path) with each file brought to ``fields``.
+def evolve_files(files: DataFrame, folder: str, fields: list[Field], fill: dict[int, object], id_field: int = 1, tasks: int = 500) -> DataFrame:
+    """files (file_no, version, start_columns, path) with each file brought to ``fields``, dealt to ``tasks`` tasks.
 
     Columns are matched by field id and missing ones filled from ``fill``.  A
     file that has the schema already stays as it is; another one's rewrite
@@ -226,7 +227,8 @@ def evolve_files(files: DataFrame, folder: str, fields: list[Field], fill: dict[
             yield pa.RecordBatch.from_pydict({"file_no": pa.array([row["file_no"]], pa.int32()), "version": pa.array([row["version"]], pa.int32()), "n_rows": [n], "n_nulls": [nulls], "ids_sha256": [ids.sha.hexdigest()], "rows_sha256": [rows.sha.hexdigest()], "start_columns": [row["start_columns"]], "columns": [",".join(target.names)], "path": [path], "rewritten": [not same]})
 
     result = "file_no int, version int, n_rows long, n_nulls long, ids_sha256 string, rows_sha256 string, start_columns string, columns string, path string, rewritten boolean"
-    return files.select("file_no", "version", "start_columns", "path").groupBy("file_no").applyInArrow(rewrite, result)
+    dealt = files.select("file_no", "version", "start_columns", "path").repartition(tasks, "file_no")  # a number given: else few rows would go to one task, with all files
+    return dealt.groupBy("file_no").applyInArrow(rewrite, result)
 
 
 def delete_replaced(files: DataFrame, done: DataFrame, folder: str) -> None:
@@ -288,6 +290,7 @@ def rewrite_clients(df: DataFrame, files: int = 500) -> DataFrame:
     folder = f"{_qualified(df.sparkSession, scratch.shared_dir(df.sparkSession))}/rewrite-{uuid.uuid4().hex}"
     ranked, total = exact_ranks(df.select(*[f.name for f in CLIENTS]), "client_id")
     started = scratch.written(write_files(ranked, folder, CLIENTS, 1 + total // files, client_version, drifted_clients), "started")
-    done = scratch.written(evolve_files(started, folder, CLIENTS, FILL), "evolved")
+    tasks = min(files, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_ROWS))
+    done = scratch.written(evolve_files(started, folder, CLIENTS, FILL, tasks=max(1, tasks)), "evolved")
     delete_replaced(started, done, folder)
     return done
