@@ -257,7 +257,7 @@ _needed: dict[tuple, int] = {}
 
 
 def walks_needed(n: int, similarity: float, recall: float, seed: int) -> int:
-    """The least of WALKS that proposes planted leaks at the bound at the rate ``recall`` or more, for each kind of edit."""
+    """The least of WALKS that proposes planted leaks at the bound at the rate ``recall`` or more, for each kind of edit; an error if none does."""
     n = next((s for s in SIZES if s >= n), n)
     key = (n, similarity, recall, seed)
     if key not in _needed:
@@ -271,6 +271,8 @@ def walks_needed(n: int, similarity: float, recall: float, seed: int) -> int:
             hit[doc[block.item[segment] == doc]] = True
             if min(hit[kinds == k].mean() for k in range(4)) >= recall:
                 break
+        else:
+            raise ValueError(f"{WALKS[-1]} walks find less than {recall} of the leaks of items of {n} words at similarity {similarity}: ask for a lower recall or a higher similarity")
         _needed[key] = walks
     return _needed[key]
 

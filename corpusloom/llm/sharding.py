@@ -17,9 +17,11 @@ goes to the driver but the two totals.
 
 Rows that are equal in all columns can't be told apart; a row with more than
 HEAVY such copies is sent once with its count, and the copies, numbered, are
-scattered over all buckets.  Null ids and texts are values like any other, an
-empty table gives an empty result, and clashing column names don't matter,
-since a row travels as one struct.
+scattered over all buckets.  Null ids and texts are values like any other: rows
+that differ only in which column is null are different rows.  A very long text
+is moved whole; the bucket that holds it is larger than the others.  An empty
+table gives an empty result, and clashing column names don't matter, since a
+row travels as one struct.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ BUCKET_BYTES = 16 << 20
 SPREAD, LEAST_ROWS = 1024, 64  # small tables have up to SPREAD buckets too, of LEAST_ROWS rows
 TASK_BYTES = 128 << 20
 HEAVY = 1000
+#: So that no two different values are written alike.
+WHOLE = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 BLOCK = 1024
 OUT_BYTES = 4 << 20
 
@@ -52,14 +56,20 @@ def bucket_count(rows: int, size: int, bucket_bytes: int = BUCKET_BYTES) -> int:
 
 
 def _numbered_copies(rows: DataFrame) -> DataFrame:
-    """rows (record, key, size), with the copies of a heavy row scattered by their number."""
+    """rows (record, key, size), with the copies of a heavy row scattered by their number.
+
+    The key, a hash, only says where heavy rows may be; rows are collapsed where the records themselves are equal, so rows that share a hash by chance keep their own.
+    """
     heavy = rows.groupBy("key").agg(F.count("*").alias("copies")).filter(F.col("copies") > HEAVY)
     heavy = scratch.written(heavy, "heavy")
     n = heavy.count()
     if not n:
         return rows
     keys = F.broadcast(heavy.select("key")) if n < 100_000 else heavy.select("key")
-    one = rows.join(keys, "key", "left_semi").groupBy("key").agg(F.first("record").alias("record"), F.first("size").alias("size"), F.count("*").alias("copies"))
+    own = rows.schema["record"].dataType.simpleString()
+    exact = F.to_json("record", WHOLE) if any(k in own for k in ("map<", "float", "double")) else F.lit("")  # 0.0 and -0.0, or maps in another order, count as equal elsewhere
+    one = rows.join(keys, "key", "left_semi").groupBy("key", "record", exact.alias("exact")).agg(F.first("record").alias("own"), F.first("size").alias("size"), F.count("*").alias("copies"))
+    one = one.select("key", F.col("own").alias("record"), "size", "copies")
     many = one.select("record", F.col("key").alias("_k"), "size", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_n"))
     return rows.join(keys, "key", "left_anti").select("record", "key", "size").unionByName(many.select("record", F.xxhash64("_k", "_n").alias("key"), "size"))
 
@@ -71,7 +81,8 @@ def external_shuffle(df: DataFrame, shards: int, path: str, seed: int = 42, buck
     """
     spark = df.sparkSession
     record = F.struct(*[df[c] for c in df.columns])
-    rows = df.select(record.alias("record"), F.xxhash64(F.lit(seed), *[F.to_json(df[c]) if isinstance(f.dataType, T.MapType) else df[c] for c, f in zip(df.columns, df.schema, strict=True)]).alias("key"), (F.coalesce(F.octet_length(df[text_col]), F.lit(0)) + 64).cast("long").alias("size"))
+    nested = any(isinstance(f.dataType, T.StructType | T.ArrayType | T.MapType) for f in df.schema)  # hashes skip nulls inside these, and don't take maps
+    rows = df.select(record.alias("record"), F.xxhash64(F.lit(seed), F.to_json(record, WHOLE)).alias("key") if nested else F.xxhash64(F.lit(seed), *[x for c in df.columns for x in (df[c].isNull(), df[c])]).alias("key"), (F.coalesce(F.octet_length(df[text_col]), F.lit(0)) + 64).cast("long").alias("size"))
     total, size = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = buckets or bucket_count(total, size, bucket_bytes)
     rows = _numbered_copies(rows).withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
