@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from corpusloom.plans.registry import ORACLES, QUERIES
 
-from corpusloom.plans import chats, cleaning, dedup, evaluation, metadata, mixture, reports, sampling, series, stats, streams, tokens, web  # noqa: F401, E402  isort: skip
+from corpusloom.plans import chats, cleaning, dedup, evaluation, files, metadata, mixture, reports, sampling, series, stats, streams, tokens, web  # noqa: F401, E402  isort: skip
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions import urls
 from corpusloom.operators import filters, ordered, signals
 from corpusloom.plans.registry import query, table
+from corpusloom.sources import registry, scratch, web_shards
 
 WORDS = r"list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda w: w <> '')"
 
@@ -176,16 +179,59 @@ def positional_zip(spark, sf):
     return ordered.numbered(docs, "doc_id", "r", within="source").join(right, ["source", "r"]).select("source", "doc_id", "signal_id")
 
 
-@query("""select 'snap' || s as snapshot, n as shard, lang, part from range(3) a(s), range(40) b(n), (values ('en'), ('fr')) c(lang), (values ('head'), ('middle')) d(part) where not (n % 11 = 3 and lang = 'fr' and part = 'head') and n < 10""")
+@query("""with held as (select distinct source, lang, doc_id % 40 as shard, case when doc_id % 2 = 0 then 'head' else 'middle' end as part from documents)
+select 's' || source as snapshot, n as shard, lang, part from (select distinct source from documents) a, range(40) b(n), (select distinct lang from documents) c, (values ('head'), ('middle')) d(part)
+where exists (from held h where h.source = a.source and h.lang = c.lang and h.shard = n and h.part = d.part) and n < 10""")
 def shard_listing(spark, sf):
-    """All (snapshot, shard, language, partition) files less the missing ones, for a sample of ten shards."""
-    from corpusloom.sources import registry
-
-    listing = registry.shard_files(spark, ["snap0", "snap1", "snap2"], 40, ["en", "fr"], ["head", "middle"])
-    missing = listing.filter("shard % 11 = 3 and lang = 'fr' and part = 'head'")
+    """All (snapshot, shard, language, partition) files that documents may lie in, less those that would be empty, for a sample of ten shards."""
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("s"), "source").alias("snapshot"), (F.col("doc_id") % 40).alias("shard"), "lang", F.when(F.col("doc_id") % 2 == 0, "head").otherwise("middle").alias("part")).distinct()
+    names = {c: [r[0] for r in docs.select(c).distinct().filter(f"{c} is not null").collect()] for c in ("snapshot", "lang")}  # sources and languages: a few
+    listing = registry.shard_files(spark, names["snapshot"], 40, names["lang"], ["head", "middle"])
+    missing = listing.join(docs, listing.columns, "left_anti")
     return registry.without_missing(listing, missing).filter("shard < 10")
 
 
+#: Of the documents whose id leaves this remainder modulo 50, one line is broken: the document cut, without its digest, the signals cut.
+CUT, SHORT, BESIDE = 7, 9, 11
+SNAPSHOT = "2023-06"
+
+
+def web_shard_rows(spark, sf):
+    """documents as lines of a crawl's files, some of them broken; head and middle have signals, of which some files are listed as missing."""
+    docs = table(spark, sf, "documents")
+    shards = max(3, -(-docs.count() // 4000))
+    part = F.element_at(F.array(*map(F.lit, ["head", "middle", "tail"])), F.pmod("doc_id", F.lit(3)).cast("int") + 1)
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards))
+    hard = {"ignoreNullFields": "false"}
+    fields = {"url": F.concat(F.lit("https://h/"), F.col("doc_id").cast("string")), "language": F.col("lang"), "source_domain": F.lit("h"), "date_download": F.lit("2023-06-01T00:00:00Z"), "raw_content": F.col("text")}
+    whole = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()], F.md5("text").alias("digest")), hard)
+    short = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), hard)
+    left = F.pmod("doc_id", F.lit(50))
+    doc = F.when(left == CUT, F.substring(whole, F.lit(1), F.length(whole) - 5)).when(left == SHORT, short).otherwise(whole)
+    n = F.length("text").cast("double")
+    signals = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.struct(F.array(F.array(F.lit(0.0), n, n)).alias("ccnet_length")).alias("quality_signals")))
+    signals = F.when(left == BESIDE, F.substring(signals, F.lit(1), F.length(signals) - 3)).otherwise(signals)
+    tag = web_shards.tag(F.lit(SNAPSHOT), shard, F.coalesce("lang", F.lit("xx")), part)
+    rows = docs.select(tag.alias("tag"), F.col("doc_id").alias("at"), doc.alias("doc"), F.when(part != "tail", signals).alias("signals"), (F.pmod("doc_id", F.lit(7)) == 0).alias("duplicate"))
+    return rows, shards
+
+
+@query()
+def web_shards_read(spark, sf):
+    """documents written as a crawl's gzip shards and read back by place: lines zipped with their signals, duplicates flagged, broken lines and missing files told apart.  The files stay in a folder of their own."""
+    root = f"{scratch.shared_dir(spark)}/web-{uuid.uuid4().hex}"
+    rows, shards = web_shard_rows(spark, sf)
+    shards_written = scratch.written(web_shards.write(rows, root), "shards")
+    languages = [r.lang for r in shards_written.select(F.regexp_extract("tag", "/([^/]*)_[a-z]+$", 1).alias("lang")).distinct().collect()]  # languages: a few
+    listing = registry.shard_files(spark, [SNAPSHOT], shards, languages, ["head", "middle", "tail"])
+    placed = web_shards.files(listing)
+    empty = placed.join(shards_written, "tag", "left_anti").select(F.col("documents").alias("path"))
+    beside = placed.filter("part = 'head' and tag like '%/___1/%'").select(F.col("signals").alias("path"))
+    found = web_shards.read(listing, root, empty.union(beside))
+    keep = {"id": F.regexp_extract(F.get_json_object("meta", "$.url"), "([0-9]+)$", 1).try_cast("long"), "part": F.get_json_object("meta", "$.partition"), "language": F.get_json_object("meta", "$.language"), "length": F.get_json_object("quality_signals", "$.ccnet_length[0][2]").cast("double").cast("long"), "is_duplicate": F.get_json_object("quality_signals", "$.is_duplicate").cast("boolean"), "text": F.md5("raw_content")}
+    return found.select("doc_id", "tag", "row", *[c.alias(n) for n, c in keep.items()], "problem")
+
+
 @query("""select domain, can_fetch from (select lang as domain, min(doc_id) % 2 = 0 as can_fetch from documents group by lang) where can_fetch""")
 def valid_domains(spark, sf):
     domains = table(spark, sf, "documents").groupBy(F.col("lang").alias("domain")).agg((F.min("doc_id") % 2 == 0).alias("can_fetch"))
