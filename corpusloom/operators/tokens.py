@@ -2,14 +2,18 @@
 
 The trainer stands for the reference's own vocabulary training.  Every
 pre-token of the corpus counts.  Where the distinct ones are few, the driver
-learns the merges; beyond that they stay a table, whose pairs Spark counts
-anew for each batch of merges.  Both ways give the same merges.
+learns the merges; beyond that Spark keeps their pairs' counts and an index from
+pairs to pre-tokens, and works on what a batch of merges changes.  Both ways
+give the same merges.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +25,10 @@ from corpusloom.sources import scratch
 PRE_TOKEN = r"(?U) ?\p{L}+| ?\p{N}|[\n\t]| ?[^\s\p{L}\p{N}]+| +"
 
 
+#: Of the trainer in Spark: tokens that guess the next merges, and pairs that may come to the driver in a round.
+SAMPLE, MOST_RIVALS = 100_000, 50_000
+
+
 def pre_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRE_TOKEN), F.lit(0))
 
@@ -43,113 +51,240 @@ def _joined(symbols: list[str], pairs: set[tuple[str, str]]) -> list[str]:
     return new
 
 
-def learn_merges(counts: list[tuple[str, int]], merges: int) -> list[tuple[str, str]]:
-    """BPE merges by falling pair frequency, ties by the pair; a pair seen once is not merged."""
-    words = [list(t) for t, _ in counts]
-    weight = [n for _, n in counts]
-    pairs: Counter = Counter()
-    where: dict[tuple[str, str], set[int]] = defaultdict(set)
-    for i, w in enumerate(words):
-        for p in zip(w, w[1:]):
-            pairs[p] += weight[i]
-            where[p].add(i)
-    heap = [(-n, p) for p, n in pairs.items()]
-    heapq.heapify(heap)
-    out: list[tuple[str, str]] = []
-    while heap and len(out) < merges:
-        n, p = heapq.heappop(heap)
-        if pairs[p] != -n:
-            if pairs[p] > 0:
-                heapq.heappush(heap, (-pairs[p], p))
-            continue
-        if -n < 2:
-            break
-        out.append(p)
-        touched = set()
-        for i in list(where[p]):
-            w = words[i]
-            for q in zip(w, w[1:]):
-                pairs[q] -= weight[i]
-                touched.add(q)
-            new = words[i] = _joined(w, {p})
-            for q in zip(new, new[1:]):
-                pairs[q] += weight[i]
-                where[q].add(i)
-                touched.add(q)
+class Learner:
+    """BPE merges over (token, count) held in memory; steps can be taken back."""
+
+    def __init__(self, counts: list[tuple[str, int]]):
+        self.words = [list(t) for t, _ in counts]
+        self.weight = [n for _, n in counts]
+        self.pairs: Counter = Counter()
+        self.where: dict[tuple[str, str], set[int]] = defaultdict(set)
+        for i, w in enumerate(self.words):
+            self._count(i, 1)
+            for p in zip(w, w[1:]):
+                self.where[p].add(i)
+        self.heap = [(-n, p) for p, n in self.pairs.items()]
+        heapq.heapify(self.heap)
+        self.steps: list[list[tuple[int, list[str]]]] = []
+
+    def _count(self, i: int, sign: int) -> set[tuple[str, str]]:
+        w = self.words[i]
+        found = [*zip(w, w[1:])]
+        for q in found:
+            self.pairs[q] += sign * self.weight[i]
+        return set(found)
+
+    def _replace(self, changes: Iterable[tuple[int, list[str]]]) -> None:
+        touched: set[tuple[str, str]] = set()
+        for i, new in changes:
+            touched |= self._count(i, -1)
+            self.words[i] = new
+            for q in (now := self._count(i, 1)):
+                self.where[q].add(i)
+            touched |= now
         for q in touched:
-            if pairs[q] > 0:
-                heapq.heappush(heap, (-pairs[q], q))
-    return out
-
-
-def _batch(ranked: list[tuple[tuple[str, str], int]], whole: bool, made: set[str], most: int) -> list[tuple[str, str]]:
-    """The first of the ranked pairs that may merge at once, in order, with the same result as one by one.
-
-    Pairs without a symbol in common don't change each other's counts, and a pair
-    that a merge creates is never more frequent than the pair of old symbols it
-    comes from.  So a pair may follow while it shares no symbol with those before
-    it and is more frequent than every pair that does; a doubled symbol, or a
-    symbol made before in another way, ends the batch.  ``whole``: no pair is
-    missing from the ranked ones.
-    """
-    out: list[tuple[str, str]] = []
-    used: set[str] = set()
-    for at, (pair, n) in enumerate(ranked):
-        if out:
-            rival = next((m for q, m in ranked[at:] if used & set(q)), 0 if whole else ranked[-1][1])
-            if n <= rival:
-                break
+            if self.pairs[q] > 0:
+                heapq.heappush(self.heap, (-self.pairs[q], q))
+
+    def best(self, least: int = 1) -> tuple[str, str] | None:
+        """The most frequent pair, ties by the pair; none below ``least``."""
+        while self.heap and self.pairs[self.heap[0][1]] != -self.heap[0][0]:
+            _, p = heapq.heappop(self.heap)
+            if self.pairs[p] > 0:
+                heapq.heappush(self.heap, (-self.pairs[p], p))
+        return self.heap[0][1] if self.heap and -self.heap[0][0] >= least else None
+
+    def merge(self, pair: tuple[str, str]) -> None:
+        old = [(i, self.words[i]) for i in self.where[pair]]
+        self.steps.append(old)
+        self._replace([(i, _joined(w, {pair})) for i, w in old])
+
+    def take_back(self, n: int) -> None:
+        for _ in range(n):
+            self._replace(self.steps.pop())
+
+
+def learn_merges(counts: list[tuple[str, int]], merges: int, least: int = 2) -> list[tuple[str, str]]:
+    """BPE merges by falling pair frequency, ties by the pair; a pair seen less than ``least`` times is not merged."""
+    learner, out = Learner(counts), []
+    while len(out) < merges and (pair := learner.best(least)):
+        learner.merge(pair)
+        learner.steps.clear()
         out.append(pair)
-        used |= set(pair)
-        seen = pair[0] + pair[1] in made
-        made.add(pair[0] + pair[1])
-        if seen or pair[0] == pair[1] or len(out) == most:
-            break
     return out
 
 
-def _learn_in_table(counts: DataFrame, merges: int, ranked: int = 512, steps: int = 8) -> list[tuple[str, str]]:
-    """learn_merges over a table of any size: each round counts all pairs and collects the ``ranked`` most frequent; the symbols are written anew after ``steps`` rounds."""
-    table = scratch.written(counts.select(F.split("token", "").alias("symbols"), "n"), "symbols")
+def symbols_of(token: str, ranks: dict[tuple[str, str], list[int]]) -> list[str]:
+    """A token's symbols after the merges, each applied once, in order; ``ranks`` has the places of a pair, which may have been learnt more than once."""
+    symbols, now = list(token), 0
+    while len(symbols) > 1:
+        ahead = [(r[k], p) for p in zip(symbols, symbols[1:]) if (r := ranks.get(p)) and (k := bisect.bisect_left(r, now)) < len(r)]
+        if not ahead:
+            break
+        at, pair = min(ahead)
+        symbols, now = _joined(symbols, {pair}), at + 1
+    return symbols
+
+
+def _changes(merges: list[tuple[str, str]], new: int):
+    """What each of the last ``new`` merges changes in the tokens of a batch: the sums of pairs' changes, and the tokens that a pair is new in."""
+    ranks: dict[tuple[str, str], list[int]] = defaultdict(list)
+    for i, p in enumerate(merges[: len(merges) - new]):
+        ranks[p].append(i)
+    latest = merges[len(merges) - new :]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            change: Counter = Counter()
+            rows: list[tuple] = []
+            for token, n in zip(batch.column("token").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                now = symbols_of(token, ranks)
+                had = Counter(zip(now, now[1:]))
+                for step, pair in enumerate(latest):
+                    if pair not in had:
+                        continue
+                    now = _joined(now, {pair})
+                    has = Counter(zip(now, now[1:]))
+                    for p in had.keys() | has.keys():
+                        if had[p] != has[p]:
+                            change[step, *p] += n * (has[p] - had[p])
+                    rows += [(step, *p, token, n) for p in has.keys() - had.keys()]
+                    had = has
+            rows += [(*p, None, n) for p, n in change.items() if n]
+            if rows:
+                kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["step", "l", "r", "token", "n"])
+
+    return run
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _postings(rows: DataFrame) -> DataFrame:
+    """(l, r, token, n) in ranges, so that a read of some pairs skips the files and row groups of the others by their statistics; a pair's tokens may fill many files."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scratch.written(rows.repartitionByRange(parts, "l", "r", "token").sortWithinPartitions("l", "r"), "postings")
+
+
+def _accepted(rows: list, guess: list[tuple[str, str]], least: int) -> tuple[int, tuple[str, str] | None]:
+    """How many of the guessed merges are those that counts over all tokens give, and the right one where the guess goes wrong.
+
+    rows: (l, r, base, changes: (step, n)) of every pair that can reach a guessed merge's count.
+    """
+    counts = {}
+    for r in rows:
+        at = [r["base"]] * len(guess)
+        for step, n in sorted(r["changes"]):
+            for s in range(step + 1, len(guess)):
+                at[s] += n
+        counts[r["l"], r["r"]] = at
+    for s, pair in enumerate(guess):
+        best = min(((-at[s], p) for p, at in counts.items()), default=(0, pair))
+        if -best[0] < least:
+            return s, None
+        if best[1] != pair:
+            return s, best[1]
+    return len(guess), None
+
+
+def _learn_in_index(counts: DataFrame, merges: int, least: int = 2, ahead: int = 64, steps: int = 8) -> list[tuple[str, str]]:
+    """learn_merges over a table of any size, with what merges change only.
+
+    Two tables are kept: how often each pair occurs, and an inverted index from
+    pairs to the tokens they occur in.  In a round the driver guesses the next
+    ``ahead`` merges from the SAMPLE most frequent tokens.  The tokens that hold
+    any of these pairs are read from the index, and Spark sums up by how much
+    each guessed merge changes each pair.  All pairs that could then be as
+    frequent as a guessed one come to the driver, which accepts the guesses up
+    to the first that isn't the most frequent pair of all tokens, and begins the
+    next round with the pair that is.  If more than MOST_RIVALS pairs could,
+    only a pair known to be right is accepted.  So the merges are exact, and
+    many come from one round.  Changes are appended to both tables, and put
+    together after ``steps`` rounds; index entries of pairs that a token has
+    lost are passed over.
+    """
+    pair = F.arrays_zip(F.expr("slice(symbols, 1, size(symbols) - 1)").alias("l"), F.expr("slice(symbols, 2, size(symbols) - 1)").alias("r"))
+    words = counts.filter(F.length("token") > 1).select("token", "n", F.split("token", "").alias("symbols")).select("token", "n", pair.alias("pairs"))
+    total = lambda d: d.groupBy("l", "r").agg(F.sum("n").alias("n")).filter("n > 0")
+    pairs = [scratch.written(total(words.select(F.explode("pairs").alias("p"), "n").select("p.l", "p.r", "n")), "pairs")]
+    index = [_postings(words.select(F.explode(F.array_distinct("pairs")).alias("p"), "token", "n").select("p.l", "p.r", "token", "n"))]
+    owned: list[DataFrame] = [*pairs, *index]
+    sample = Learner([(r.token, r.n) for r in counts.orderBy(F.desc("n"), "token").limit(SAMPLE).collect()])
     out: list[tuple[str, str]] = []
-    made: set[str] = set()
-    pending: list[set[tuple[str, str]]] = []
+    fresh: list[DataFrame] = []
+    first: tuple[str, str] | None = None
     while len(out) < merges:
-        words = table.select(_joined_column(pending).alias("symbols"), "n") if pending else table
-        if len(pending) == steps:
-            words = scratch.written(words.filter(F.size("symbols") > 1), "symbols")
-            scratch.drop(table)
-            table, pending = words, []
-        pair = F.explode(F.arrays_zip(F.expr("slice(symbols, 1, size(symbols) - 1)").alias("l"), F.expr("slice(symbols, 2, size(symbols) - 1)").alias("r")))
-        pairs = words.filter(F.size("symbols") > 1).select(pair.alias("p"), "n").groupBy("p.l", "p.r").agg(F.sum("n").alias("n")).filter("n > 1")
-        top = [((r.l, r.r), r.n) for r in pairs.orderBy(F.desc("n"), "l", "r").limit(ranked).collect()]
-        batch = _batch(top, len(top) < ranked, made, merges - len(out))
-        if not batch:
+        known = first is not None
+        if not known and sample.best(least) is None:  # the rest is beyond the sample
+            top = total(_all(pairs)).filter(F.col("n") >= least).orderBy(F.desc("n"), "l", "r").limit(1).collect()
+            if not top:
+                break
+            first, known = (top[0].l, top[0].r), True
+        guess, low = [], []
+        while len(guess) < min(ahead, merges - len(out)) and (p := first or sample.best(least)):
+            low.append(sample.pairs[p])
+            sample.merge(p)
+            guess.append(p)
+            first = None
+        wanted = counts.sparkSession.createDataFrame(sorted(set(guess)), "l string, r string")
+        listed = _all([*index, *fresh]).filter(F.col("l").isin([p[0] for p in guess]) & F.col("r").isin([p[1] for p in guess]))
+        touched = listed.join(F.broadcast(wanted), ["l", "r"], "left_semi").select("token", "n").distinct()
+        change = scratch.written(touched.mapInArrow(_changes([*out, *guess], len(guess)), "step int, l string, r string, token string, n long"), "changes")
+        owned.append(change)
+        by_step = change.filter("token is null").groupBy("l", "r", "step").agg(F.sum("n").alias("n"))
+        base = total(_all(pairs)).select("l", "r", F.lit(-1).alias("step"), "n")
+        state = base.unionByName(by_step).groupBy("l", "r").agg(F.sum(F.when(F.col("step") < 0, F.col("n")).otherwise(0)).alias("base"), F.sum(F.when((F.col("step") >= 0) & (F.col("n") > 0), F.col("n")).otherwise(0)).alias("more"), F.array_agg(F.when(F.col("step") >= 0, F.struct("step", "n"))).alias("changes"))
+        rivals = state.filter(F.col("base") + F.col("more") >= max(1, min(low))).select("l", "r", "base", "changes").limit(MOST_RIVALS + 1).collect()
+        if len(rivals) <= MOST_RIVALS:
+            right, first = _accepted(rivals, guess, least)
+            ended = right < len(guess) and first is None
+        else:
+            top = [] if known else total(_all(pairs)).orderBy(F.desc("n"), "l", "r").limit(1).collect()
+            right, ended = (1, False) if known or top and (top[0].l, top[0].r) == guess[0] else (0, False)
+            first = None if right or not top else (top[0].l, top[0].r)
+        sample.take_back(len(guess) - right)
+        sample.steps.clear()
+        out += guess[:right]
+        if ended:
             break
-        out += batch
-        pending.append(set(batch))
-    scratch.drop(table)
+        kept = change.filter(F.col("step") < right)
+        pairs.append(kept.filter("token is null").select("l", "r", "n"))
+        fresh.append(kept.filter("token is not null").select("l", "r", "token", "n"))
+        if len(fresh) == steps:
+            new = [scratch.written(total(_all(pairs)), "pairs"), _postings(_all(fresh))]
+            if len(index) == steps:
+                new[1] = _postings(_all([*index, new[1]]))
+                index = []
+            pairs, index, fresh = new[:1], [*index, new[1]], []
+            alive = {id(d) for d in (*pairs, *index)}
+            for d in owned:
+                if id(d) not in alive:
+                    scratch.drop(d)
+            owned = [*pairs, *index]
+    for d in owned:
+        scratch.drop(d)
     return out
 
 
-def _joined_column(batches: list[set[tuple[str, str]]]) -> Column:
-    steps = list(batches)
+def within_alphabet(counts: DataFrame, size: int) -> DataFrame:
+    """(token, n) without the characters beyond the ``size`` most frequent ones, ties by the character; tokens that become equal are one."""
+    letters = counts.select(F.explode(F.split("token", "")).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+    kept = [r.c for r in letters.orderBy(F.desc("n"), "c").limit(size).collect()]
+    text = F.array_join(F.filter(F.split("token", ""), lambda c: c.isin(kept)), "")
+    return counts.select(text.alias("token"), "n").filter("token <> ''").groupBy("token").agg(F.sum("n").alias("n"))
 
-    @F.arrow_udf("array<string>")
-    def join(a: pa.Array) -> pa.Array:
-        rows = a.to_pylist()
-        for pairs in steps:
-            rows = [_joined(w, pairs) for w in rows]
-        return pa.array(rows, pa.list_(pa.string()))
 
-    return join(F.col("symbols"))
+def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text", alphabet: int | None = None, least: int = 2) -> list[tuple[str, str]]:
+    """Merges learnt from all pre-tokens of the corpus: on the driver while the distinct ones have up to ``at_driver`` characters, beyond that in Spark; the same either way.
 
-
-def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text") -> list[tuple[str, str]]:
-    """Merges learnt from all pre-tokens of the corpus: on the driver while the distinct ones have up to ``at_driver`` characters, beyond that in Spark; the same either way."""
-    counts = scratch.written(pre_token_counts(df, text).filter(F.length("token") > 1), "pre-tokens")
+    ``alphabet``: how many characters take part, the most frequent; ``least``: how often a pair must occur to be merged.
+    """
+    counts = pre_token_counts(df, text)
+    counts = scratch.written((within_alphabet(scratch.written(counts, "pre-tokens"), alphabet) if alphabet else counts).filter(F.length("token") > 1), "pre-tokens")
     size = counts.agg(F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("chars")).first().chars
-    out = learn_merges([(r.token, r.n) for r in counts.collect()], merges) if size <= at_driver else _learn_in_table(counts, merges)
+    out = learn_merges([(r.token, r.n) for r in counts.collect()], merges, least) if size <= at_driver else _learn_in_index(counts, merges, least)
     scratch.drop(counts)
     return out
 

@@ -1,5 +1,6 @@
 """Functions and operators on small fixtures, with expectations worked out by hand or by Python's own library."""
 
+import collections
 import hashlib
 import pickle
 import random
@@ -236,38 +237,66 @@ def test_bpe_merges():
     assert "".join(tokens.cut_before_digits(text, 200)) == text and len(tokens.cut_before_digits(text, 200)) > 1
 
 
-def test_merges_in_batches_are_those_one_by_one():
-    """Whole batches give the merges of one at a time, with ties, doubled symbols and symbols made in two ways."""
-    from collections import Counter
+def plain_merges(counts, most, least=2):
+    """BPE by counting every pair anew."""
+    words, out = {w: list(w) for w in counts}, []
+    while len(out) < most:
+        pairs = collections.Counter()
+        for w, symbols in words.items():
+            for pair in zip(symbols, symbols[1:]):
+                pairs[pair] += counts[w]
+        best = min(((-n, p) for p, n in pairs.items() if n >= least), default=None)
+        if best is None:
+            break
+        out.append(best[1])
+        words = {w: tokens._joined(symbols, {best[1]}) for w, symbols in words.items()}
+    return out
+
 
+def test_learner_and_steps_taken_back():
+    """Merges in memory with ties, doubled symbols and symbols made in two ways; what is taken back leaves no trace; guesses are accepted up to the first wrong one."""
     rng = random.Random(7)
-    for case in range(400):
+    for case in range(300):
         letters = "abcdefgh"[: rng.randint(2, 8)]
-        counts = Counter("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 40)))
+        counts = collections.Counter("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 40)))
         counts = {w: n * rng.randint(1, 3) for w, n in counts.items()}
-        words, out, made = {w: list(w) for w in counts}, [], set()
-        ranked = rng.choice([1, 3, 512])
-        while len(out) < 12:
-            pairs = Counter()
-            for w, symbols in words.items():
-                for pair in zip(symbols, symbols[1:]):
-                    pairs[pair] += counts[w]
-            top = sorted(((p, n) for p, n in pairs.items() if n > 1), key=lambda x: (-x[1], x[0]))[:ranked]
-            batch = tokens._batch(top, len(top) < ranked, made, 12 - len(out))
-            if not batch:
-                break
-            out += batch
-            words = {w: tokens._joined(symbols, set(batch)) for w, symbols in words.items()}
-        assert out == tokens.learn_merges(list(counts.items()), 12), case
-
-
-def test_merges_learnt_in_a_table(spark):
+        want = plain_merges(counts, 12)
+        assert tokens.learn_merges([*counts.items()], 12) == want, case
+        learner = tokens.Learner([*counts.items()])
+        pairs = +learner.pairs
+        for p in [*want, ("a", "b")]:
+            learner.merge(p)
+        learner.take_back(len(want) + 1)
+        assert +learner.pairs == pairs and ["".join(w) for w in learner.words] == [*counts]
+        assert learner.best() == plain_merges(counts, 1, 1)[0] if pairs else learner.best() is None
+        ranks = {}
+        for i, p in enumerate(want):
+            ranks.setdefault(p, []).append(i)
+        for w in counts:
+            symbols = [*w]
+            for p in want:
+                symbols = tokens._joined(symbols, {p})
+            assert tokens.symbols_of(w, ranks) == symbols, case
+
+
+@pytest.mark.parametrize(("sample", "rivals", "most"), [(100_000, 50_000, 500), (3, 50_000, 8), (40, 5, 8)])
+def test_merges_learnt_in_a_table(spark, monkeypatch, sample, rivals, most):
+    """The trainer in Spark gives the merges of the one in memory, with a sample that guesses well, badly or soon not at all, and with few pairs allowed on the driver."""
+    monkeypatch.setattr(tokens, "SAMPLE", sample)
+    monkeypatch.setattr(tokens, "MOST_RIVALS", rivals)
     rows = [("low lower lowest new newer 😀😀😀😀 aaaa aaa",), ("the new tower, the lower tower; 2024 2024 !!!! !!",), (None,), ("",), ("z" * 3000,)]
     df = spark.createDataFrame(rows * 3, "text string")
-    assert tokens.train(df, 40, at_driver=0) == tokens.train(df, 40)
+    assert tokens.train(df, most, at_driver=0, least=4) == tokens.train(df, most, least=4)
     assert tokens.train(df.filter("false"), 5) == tokens.train(df.filter("false"), 5, at_driver=0) == []
 
 
+def test_merges_within_an_alphabet(spark):
+    df = spark.createDataFrame([("aab xab aab",), ("ayb",)], "text string")
+    counts = {r.token: r.n for r in tokens.within_alphabet(tokens.pre_token_counts(df), 3).collect()}
+    assert counts == {"aab": 1, " ab": 1, " aab": 1, "ab": 1}
+    assert tokens.train(df, 3, alphabet=3) == tokens.train(df, 3, alphabet=3, at_driver=0) == plain_merges(counts, 3)
+
+
 def test_at_least_digits(spark):
     df = spark.createDataFrame([(0.0,), (12.5,), (0.1,), (0.05,), (0.00123,)], "x double")
     assert [r[0].strip() for r in df.select(statistics.at_least_digits(F.col("x"))).collect()] == ["0.000", "12.500", "0.100", "0.0500", "0.00123"]
