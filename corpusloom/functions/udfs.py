@@ -185,31 +185,42 @@ GLYPHS = {
     140: "î", 141: "-", 142: "Ä", 143: "Å", 144: "é", 145: "á", 146: "í", 147: "ô", 148: "ö", 149: None, 150: "-", 151: "-", 152: "~", 153: "Ö", 154: "Ü", 155: "ó", 156: "ú", 157: "ñ", 158: "Ñ", 159: None, 160: None, 173: None, 190: "ü",
     217: " ", 296: "ź", 298: "t", 321: "o", 367: "l", 371: "ł", 373: "m", 374: "n", 375: "n", 378: "o", 381: "o", 383: "o", 393: "p", 395: "q", 396: "r", 400: "s", 404: "s", 407: "a", 410: "t", 417: "i", 425: "t", 431: "i", 437: "u", 448: "v",
 }
+#: Where letters begin among plain codes; the code that stands for a letter of either case.
+FIRST_LETTER, SMALL_OR_CAPITAL = 176, 144
 _OWN = frozenset(g for g in GLYPHS.values() if g)
 _CODE = re.compile(r"\(cid:(\d+)\)")
 
 
-def _case(c: str) -> str:
-    """u, l, d for a capital, a small letter, a digit; nothing for no character or another."""
-    return "u" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else ""
+def _fits(char: str, before: str, after: str) -> bool:
+    """Whether a letter may stand between two characters, each empty at the edge of a word.
 
-
-#: Surroundings, as case of the glyph, of the character before it (- for the begin of a word) and of the one after it, in which a letter is no letter but a space.
-_MISFITS = {"l-u", "l-d", "u-l", "u-d", "luu", "ull"}
+    A word doesn't begin with a small letter and go on with a capital or a
+    digit, nor with a capital before a small letter or a digit, as the coded
+    texts have none such; and no letter differs in case from both of its neighbours
+    where these agree.
+    """
+    if not (char.isupper() or char.islower()):
+        return True
+    if not before:
+        return not (after.isdigit() or (after.isupper() if char.islower() else after.islower()))
+    if char.islower():
+        return not (before.isupper() and after.isupper())
+    return not (before.islower() and after.islower())
 
 
 def _glyph(code: int, before: str, after: str) -> str:
     """What a glyph code stands for between two characters, each empty at the edge of a word."""
     if code in GLYPH_PAIRS:
-        return GLYPH_PAIRS[code] if _case(before) == _case(after) == "l" else " "
-    char = GLYPHS.get(code, chr(code) if 100 < code <= 300 else None)
+        return GLYPH_PAIRS[code] if before.islower() and after.islower() else " "
+    char = GLYPHS.get(code) if code in GLYPHS else chr(code) if 100 < code <= 300 else None
     if char is None:
         return " "
-    if ord(char) < 176 and char not in _OWN and not (before and after):
+    alone = not (before and after)
+    if alone and ord(char) < FIRST_LETTER and char not in _OWN:
         return ""
-    if _case(char) + (_case(before) if before else "-") + _case(after) in _MISFITS:
-        return char.upper() if code == 144 and before else " "
-    return char
+    if _fits(char, before, after):
+        return char
+    return char.upper() if code == SMALL_OR_CAPITAL and before else " "
 
 
 def fix_glyph_codes(text: str) -> str:
@@ -339,18 +350,3 @@ def bilingual_parts(text: Column) -> Column:
         return pa.array([None if x is None else split_bilingual(x) for x in a.to_pylist()], pa.struct([("text_en", pa.string()), ("text_fr", pa.string())]))
 
     return parts(text)
-
-
-def best_language(text: Column) -> Column:
-    """Struct of the likeliest language and its score; ties go to the first name."""
-
-    @F.arrow_udf("struct<language:string,score:double>")
-    def detect(a: pa.Array) -> pa.Array:
-        rows = []
-        for x in a.to_pylist():
-            s = language_scores(x or "")
-            k = min(s, key=lambda k: (-s[k], k))
-            rows.append({"language": k, "score": s[k]})
-        return pa.array(rows, pa.struct([("language", pa.string()), ("score", pa.float64())]))
-
-    return detect(text)

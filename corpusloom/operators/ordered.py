@@ -44,6 +44,23 @@ def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows
     return out.drop("_block", "_offset", "_value", "_group", "_g", "_b")
 
 
+def with_earlier(df: DataFrame, order: str, value: str, name: str, how: str = "last", within: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add the last, or the largest, ``value`` of all rows before each row, null for the first; with ``within``, of those of the same value there, however many these are."""
+    df = _blocked(df, order, block_rows).withColumn("_group", F.col(within) if within else F.lit(0))
+    end = F.max(value) if how == "max" else F.max_by(value, order)
+    ends = df.groupBy("_group", "_block").agg(end.alias("_end"))
+    blocks = Window.partitionBy("_group").orderBy("_block")  # over MOST_BLOCKS rows at most
+    came = F.max("_end").over(blocks.rowsBetween(Window.unboundedPreceding, -1)) if how == "max" else F.lag("_end").over(blocks)
+    carried = ends.select(F.col("_group").alias("_g"), F.col("_block").alias("_b"), came.alias("_came"))
+    inside = Window.partitionBy("_group", "_block").orderBy(order)
+    own = F.max(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)) if how == "max" else F.lag(value).over(inside)
+    first = F.row_number().over(inside) == 1
+    carried = carried if within else F.broadcast(carried)
+    out = df.join(carried, (F.col("_block") == F.col("_b")) & F.col("_group").eqNullSafe(F.col("_g")))
+    out = out.withColumn(name, F.greatest(own, F.col("_came")) if how == "max" else F.when(first, F.col("_came")).otherwise(own))
+    return out.drop("_block", "_group", "_g", "_b", "_came")
+
+
 def budget(df: DataFrame, order: str, size: Column, limit: int, keep_crossing: bool = True) -> DataFrame:
     """Rows in order until their sizes sum up to ``limit``; the row that crosses it is kept or not."""
     run = with_running(df.withColumn("_size", size), order, F.col("_size"), "_run")

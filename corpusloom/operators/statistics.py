@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,3 +109,22 @@ def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     out = left.join(right.withColumn("_found", F.lit(True)), key, "left")
     found = F.when(F.col("_found"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no match for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))))
     return out.withColumn(key, found).drop("_found")
+
+
+def looked_up(df: DataFrame, totals: DataFrame, keys: list[str], total: str = "---") -> DataFrame:
+    """df with the columns of ``totals``, a roll-up whose upper levels have ``total`` in the keys they sum over, and ``level``.
+
+    A row takes the most specific entry there is: that of all its keys (level
+    0), of all but the last (1), and so on.  Distinct keys are resolved once, in
+    one join with the levels, and joined back null-safely.
+    """
+    asked = df.select(*keys).distinct()
+    forms = F.array(*[F.struct(F.lit(n).alias("level"), *[(F.col(k) if i < len(keys) - n else F.lit(total)).alias(f"_{k}") for i, k in enumerate(keys)]) for n in range(len(keys) + 1)])
+    each = asked.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*")
+    values = [c for c in totals.columns if c not in keys]
+    known = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.struct(*values).alias("_v"))
+    same = [F.col(f"_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+    best = each.join(known, reduce(lambda a, b: a & b, same)).groupBy(*keys).agg(F.min_by("_v", "level").alias("_v"), F.min("level").alias("level"))
+    best = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_v", "level")
+    joined = df.join(best, reduce(lambda a, b: a & b, [df[k].eqNullSafe(best[f"_k_{k}"]) for k in keys]), "left")
+    return joined.select(*[df[c] for c in df.columns], *[F.col(f"_v.{v}").alias(v) for v in values], "level")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import conversations as C
-from corpusloom.operators import filters
+from corpusloom.operators import filters, instructions
 from corpusloom.plans.registry import query, table
 
 _TRIM = "trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
@@ -105,6 +105,24 @@ def parallel_texts(spark, sf):
 
 @query()
 def translation_chats(spark, sf):
-    rows = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("a"), F.reverse("text").alias("b"))
-    chat = C.translation_chat(F.col("a"), F.col("b"), F.lit("en"), F.lit("fr"), F.col("item_id"))
-    return rows.select("item_id", F.md5(C.rendered(chat)).alias("text"), F.size(chat).alias("turns"))
+    """Aligned texts, here those of benchmark and the same reversed, as translation chats."""
+    pair = F.element_at(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in PAIRS]), F.pmod("item_id", F.lit(len(PAIRS))).cast("int") + 1)
+    rows = table(spark, sf, "benchmark").select(F.col("text").alias("text_1"), F.reverse("text").alias("text_2"), pair["a"].alias("lang_1"), pair["b"].alias("lang_2"), F.col("item_id").alias("key"))
+    chats = instructions.translation_chats(rows, spark.createDataFrame(instructions.TEMPLATES, "language string, text string"))
+    return chats.select(F.col("key").alias("item_id"), F.md5(C.rendered(F.col("messages"))).alias("text"), F.size("messages").alias("turns"))
+
+
+PAIRS = [("en", "fr"), ("fr", "it"), ("de", "es")]
+_ROWS = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in instructions.TEMPLATES)
+
+
+@query(f"""with t as (select language, text, case when contains(text, '<from>') then 'both' when contains(text, '<to>') then 'to' else 'none' end as kind, 1 / (length(text) * length(text))::double as w from (values {_ROWS}) v(language, text)),
+r as (select *, sum(w) over (partition by language, kind order by text rows unbounded preceding) / sum(w) over (partition by language, kind) as hi, row_number() over (partition by language, kind order by text desc) as l, coalesce(sum(w) over (partition by language, kind order by text rows between unbounded preceding and 1 preceding) / sum(w) over (partition by language, kind), 0) as lo from t),
+d as (select doc_id, lang, ('0x' || substr(sha256('template:' || doc_id), 1, 8))::bigint / 4294967296.0::double as u, ('0x' || substr(sha256('kind:' || doc_id), 1, 8))::bigint / 4294967296.0::double as v from documents)
+select doc_id, lang, kind, text as template from d join r on lang = language and kind = case when v < 0.4 then 'both' when v < 0.9 then 'to' else 'none' end and u >= lo and (u < hi or l = 1)""")
+def templates_drawn(spark, sf):
+    """A template for each document in its language, by weight: a join on ranges."""
+    ranges = instructions.with_ranges(spark.createDataFrame(instructions.TEMPLATES, "language string, text string"))
+    kind = instructions.one_of("kind", F.col("doc_id"), ["both", "to", "none"], [0.4, 0.5, 0.1])
+    docs = table(spark, sf, "documents").select("doc_id", "lang", kind.alias("kind"))
+    return instructions.drawn(docs, ranges, "lang", "kind", "doc_id").select("doc_id", "lang", "kind", "template")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions import udfs
-from corpusloom.operators import chunks, ordered
+from corpusloom.operators import chunks, languages, ordered
 from corpusloom.plans.registry import query, table
 
 
@@ -63,27 +63,33 @@ def common_lines_dropped(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(udfs.without_common_lines(text)).alias("text"))
 
 
-@query("""select doc_id, md5(case when doc_id % 2 = 0 then trim(replace(text, chr(10), ' ')) else trim(replace(text, chr(10), ' ')) || chr(12) || 'end' end) as text from documents""")
+def _thesis_sql(pages: str) -> str:
+    """Lines that come ten times go, if they have ten characters; then pages of over 200 lines or too many control characters; then the ends are stripped."""
+    return f"""with l as (select doc_id, regexp_extract_all({pages}, '[^\\n\\f]*[\\n\\f]|[^\\n\\f]+') as ls from documents),
+e as (select doc_id, i, ls[i] as line from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from l)),
+c as (select *, count(*) over (partition by doc_id, line) as n from e),
+k as (select doc_id, coalesce(string_agg(line, '' order by i) filter (n < 10 or length(line) < 10), '') as t from c group by doc_id),
+p as (select doc_id, list_filter(regexp_extract_all(t, '[^\\f]*\\f|[^\\f]+'), lambda x: length(x) - length(replace(x, chr(10), '')) < 200 and length(x) - length(regexp_replace(x, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f\\x{{fffd}}]', '', 'g')) <= 0.2 * length(x)) as ps from k)
+select doc_id, md5(regexp_replace(array_to_string(ps, ''), '^\\s+|\\s+$', '', 'g')) as text from p"""
+
+
+_COVER = "cover\nHAL is a multi-disciplinary open access archive\x0c"
+
+
+@query(_thesis_sql("repeat('a line of every page' || chr(10), 10) || text || case when doc_id % 2 = 0 then '' else chr(12) || 'end' end || chr(12) || repeat(chr(1) || chr(2) || 'x', 40)"))
 def thesis_cleaned(spark, sf):
-    """A cover page, a page of line breaks, a page of control characters: all go."""
-    cover = F.lit("cover\nHAL is a multi-disciplinary open access archive\x0c")
+    """A cover page, a line that repeats, a page of control characters: all go; texts keep their own line breaks."""
     end = F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("\x0cend"))
-    junk = F.lit("\x0c" + "\x01\x02x" * 40)
-    page = T.strip(F.replace("text", F.lit("\n"), F.lit(" ")))
-    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, page, end, junk))).alias("text"))
+    text = F.concat(F.lit(_COVER + "a line of every page\n" * 10), F.col("text"), end, F.lit("\x0c" + "\x01\x02x" * 40))
+    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(text)).alias("text"))
 
 
-@query("""with l as (select doc_id, regexp_extract_all(repeat('running head' || chr(10), (doc_id % 4 + 8)::int) || text || chr(12) || 'end', '[^\\n\\f]*[\\n\\f]|[^\\n\\f]+') as ls from documents),
-e as (select doc_id, i, ls[i] as line from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from l)),
-c as (select *, count(*) over (partition by doc_id, line) as n from e),
-k as (select doc_id, coalesce(string_agg(line, '' order by i) filter (n < 10 or length(line) < 10), '') as t from c group by doc_id),
-p as (select doc_id, list_filter(regexp_extract_all(t, '[^\\f]*\\f|[^\\f]+'), lambda x: length(x) - length(replace(x, chr(10), '')) < 200 and length(x) - length(regexp_replace(x, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f\\x{fffd}]', '', 'g')) <= 0.2 * length(x)) as ps from k)
-select doc_id, md5(regexp_replace(array_to_string(ps, ''), '^\\s+|\\s+$', '', 'g')) as text from p""")
+@query(_thesis_sql("repeat('running head' || chr(10), (doc_id % 4 + 8)::int) || text || case when doc_id % 3 = 0 then chr(12) || repeat('l' || chr(10), (doc_id % 120 + 140)::int) else '' end || chr(12) || 'end'"))
 def thesis_pages(spark, sf):
-    """Whole texts with their own line breaks: a head that repeats eight to eleven times, pages of too many lines."""
-    cover = F.lit("cover\nHAL is a multi-disciplinary open access archive\x0c")
+    """Whole texts: a head that repeats eight to eleven times, and for a third of them a page of 140 to 259 lines."""
     head = F.expr("repeat('running head\n', cast(doc_id % 4 + 8 as int))")
-    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(cover, head, F.col("text"), F.lit("\x0cend")))).alias("text"))
+    long = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\x0c"), F.expr("repeat('l\n', cast(doc_id % 120 + 140 as int))"))).otherwise(F.lit(""))
+    return docs(spark, sf).select("doc_id", F.md5(udfs.clean_thesis(F.concat(F.lit(_COVER), head, F.col("text"), long, F.lit("\x0cend")))).alias("text"))
 
 
 @query("""select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'en', 'e-' || chr(10) || 'n'), '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g'), '([,;])\\s*\\n', '\\1 ', 'g'), '\\n\\s*([a-z»])', ' \\1', 'g'), ' {2,}', ' ', 'g')) as text from documents""")
@@ -131,10 +137,42 @@ def html_unescaped(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(udfs.unescape_html(escaped)).alias("text"))
 
 
-@query("select doc_id, md5(regexp_replace(text, ' +', ' ', 'g')) as text from documents where not contains(text, '(cid')")
+#: Letters and the glyph codes that stand for them; n before code 152 gets a tilde.
+CODED = {"é": 130, "è": 138, "ê": 136, "ç": 135, "â": 131, "ä": 132, "ü": 129, "ö": 148, "ô": 147, "ó": 155, "á": 145, "í": 146, "Ü": 154}
+_MARKS = "|".join(map(str, CODED.values()))
+
+
+def _glyph_sql() -> str:
+    """Letter by letter: marks of small letters at a word's begin before a capital or digit, or between capitals, and of capitals the other way round, are spaces; the others their letters.  fi stands between small letters only."""
+    small = "|".join(str(c) for x, c in CODED.items() if x.islower())
+    large = "|".join(str(c) for x, c in CODED.items() if x.isupper())
+    text = "coded"
+    for pattern, by in (
+        (rf"(^|[^\p{{L}}\p{{N}}_)])\(cid:({small})\)([\p{{Lu}}\p{{Nd}}])", r"\1 \3"),
+        (rf"(\p{{Lu}})\(cid:({small})\)(\p{{Lu}})", r"\1 \3"),
+        (rf"(^|[^\p{{L}}\p{{N}}_)])\(cid:({large})\)([\p{{Ll}}\p{{Nd}}])", r"\1 \3"),
+        (rf"(\p{{Ll}})\(cid:({large})\)(\p{{Ll}})", r"\1 \3"),
+        (r"n\(cid:152\)", "ñ"),
+        (r"(\p{Ll}|\(cid:(?:" + small + r")\))\(cid:133\)(\p{Ll})", r"\1fi\2"),
+        (r"(\p{Ll}|\(cid:(?:" + small + r")\))\(cid:133\)(\p{Ll})", r"\1fi\2"),
+        (r"\(cid:133\)", " "),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    for letter, code in CODED.items():
+        text = f"replace({text}, '(cid:{code})', '{letter}')"
+    coded = "replace(replace(text, 'ñ', 'n(cid:152)'), 'fi', '(cid:133)')"
+    for letter, code in CODED.items():
+        coded = f"replace({coded}, '{letter}', '(cid:{code})')"
+    return f"select doc_id, md5(regexp_replace({text}, ' +', ' ', 'g')) as text from (select doc_id, {coded} as coded from documents)"
+
+
+@query(_glyph_sql())
 def glyph_codes_fixed(spark, sf):
-    coded = F.replace("text", F.lit("é"), F.lit("(cid:130)"))
-    return docs(spark, sf).filter(~F.col("text").contains("(cid")).select("doc_id", F.md5(F.when(F.col("text").contains("é"), F.regexp_replace("text", " +", " ")).otherwise(udfs.without_glyph_codes(coded))).alias("text"))
+    """Accented letters, a tilde and a ligature as glyph codes in every whole text, and their repair."""
+    coded = F.concat(F.lit(" (cid:1)"), F.replace(F.replace("text", F.lit("ñ"), F.lit("n(cid:152)")), F.lit("fi"), F.lit("(cid:133)")))
+    for letter, code in CODED.items():
+        coded = F.replace(coded, F.lit(letter), F.lit(f"(cid:{code})"))
+    return docs(spark, sf).select("doc_id", F.md5(udfs.without_glyph_codes(coded)).alias("text"))
 
 
 @query()
@@ -227,4 +265,8 @@ def bilingual_split(spark, sf):
 
 @query()
 def language_guessed(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", udfs.best_language(F.col("text")).alias("l")).select("doc_id", "l.language", F.round("l.score", 6).alias("score"))
+    """Language and score of every whole text, by a model of the documents that aren't held out (crc32 of the id, modulo 5)."""
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "text", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False)).alias("held_out"))
+    model = languages.train(rows.filter(~F.col("held_out")))
+    best = languages.scores(F.col("text"), model)[0]
+    return rows.select("doc_id", "held_out", best.alias("l")).select("doc_id", "held_out", "l.language", F.round("l.score", 6).alias("score"))

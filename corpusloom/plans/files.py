@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from corpusloom.operators import tables
 from corpusloom.plans.registry import query, table
-from corpusloom.sources import publishing, scratch
+from corpusloom.sources import publishing, scratch, sinks
 
 
 def _folder(spark, name: str) -> str:
@@ -38,3 +39,21 @@ def published_versions(spark, sf):
     parts = [("older", publishing.load(spark, root, version="v1.1")), ("latest", publishing.load(spark, root)), ("one source", publishing.load(spark, root, [first]))]
     out = [p.select(F.lit(name).alias("part"), "source").groupBy("part", "source").agg(F.count("*").alias("rows")) for name, p in parts]
     return out[0].union(out[1]).union(out[2])
+
+
+@query()
+def stats_while_writing(spark, sf):
+    """Pages, words and characters of documents, counted by the tasks that write them; one row a language, each written on its own."""
+    folder, docs = _folder(spark, "counted"), table(spark, sf, "documents")
+    langs = sorted(r.lang for r in docs.select(F.coalesce("lang", F.lit("none")).alias("lang")).distinct().collect())  # languages: a few
+    rows = [(k, *sinks.write_counted(docs.filter(F.coalesce("lang", F.lit("none")) == k), f"{folder}/{k}").values()) for k in langs]
+    return spark.createDataFrame(rows, "lang string, pages long, words long, chars long")
+
+
+@query(r"""with p as (select doc_id, source, doc_id % 8 as rank, row_number() over (partition by doc_id % 8 order by doc_id) - 1 as idx, string_split(text, chr(10)) as lines from documents),
+e as (select rank, doc_id, idx, i, lines[i] as line from (select *, unnest(range(1, len(lines) + 1)) as i from p) where length(lines[i]) >= 40)
+select rank, doc_id, idx, row_number() over (partition by rank order by doc_id, i) - 1 as at, md5(line) as line from e""")
+def lines_by_rank(spark, sf):
+    """A table function, rows in and any number out: each rank numbers its documents, and the long lines it takes from them."""
+    docs = table(spark, sf, "documents").select((F.col("doc_id") % 8).alias("rank"), "doc_id", "text")
+    return tables.long_lines(docs, 40).select("rank", "doc_id", "idx", "at", F.md5("line").alias("line"))

@@ -148,4 +148,5 @@ def template_probabilities(spark, sf):
     """Weights of templates, one over their length squared, in each language and kind."""
     rows = table(spark, sf, "documents").select(F.col("lang").alias("language"), F.col("source").alias("kind"), F.length("text").cast("long").alias("n"))
     w = 1 / F.pow("n", F.lit(2.0))
-    return rows.select("language", "kind", F.round(w / F.sum(w).over(Window.partitionBy("language", "kind")), 9).alias("p"), "n")
+    total = rows.groupBy("language", "kind").agg(F.sum(w).alias("total"))  # summed before the shuffle; a row for each language and kind
+    return rows.withColumn("w", w).join(total, ["language", "kind"]).select("language", "kind", F.round(F.col("w") / F.col("total"), 9).alias("p"), "n")

@@ -30,18 +30,18 @@ def steps_to_tokens(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", tokens_at_step(step).alias("tokens"))
 
 
-def monotone(df: DataFrame, order: str, value: str, *group: str) -> DataFrame:
-    """Rows whose value exceeds every earlier one, in each group."""
-    before = F.max(value).over(Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("_m", before).filter(F.col("_m").isNull() | (F.col(value) > F.col("_m"))).drop("_m")
+def monotone(df: DataFrame, order: str, value: str, group: str) -> DataFrame:
+    """Rows whose value exceeds every earlier one, in each group; groups may be of any size."""
+    rows = ordered.with_earlier(df, order, value, "_m", "max", group)
+    return rows.filter(F.col("_m").isNull() | (F.col(value) > F.col("_m"))).drop("_m")
 
 
-def with_hours(df: DataFrame, order: str, tokens: str, rate: Column, gpus: int, *group: str) -> DataFrame:
+def with_hours(df: DataFrame, order: str, tokens: str, rate: Column, gpus: int, group: str) -> DataFrame:
     """Add cumulative wall and GPU hours from token gains at a rate per second."""
-    w = Window.partitionBy(*group).orderBy(order)
-    hours = (F.col(tokens) - F.coalesce(F.lag(tokens).over(w), F.lit(0))) / rate / 3600
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_h", hours).withColumn("walltime", F.sum("_h").over(run)).withColumn("gputime", F.col("walltime") * gpus).drop("_h")
+    rows = ordered.with_earlier(df, order, tokens, "_p", "last", group)
+    hours = (F.col(tokens) - F.coalesce("_p", F.lit(0))) / rate / 3600
+    rows = ordered.with_running(rows.withColumn("_h", hours), order, F.col("_h"), "walltime", within=group)
+    return rows.withColumn("gputime", F.col("walltime") * gpus).drop("_h", "_p")
 
 
 _SERIES = "(select user_id % 5 as run, event_id, event_id * 1000 + case when event_id % 17 = 0 then -50000 else 0 end as tokens, value from events)"

@@ -127,7 +127,8 @@ def tokenizer_ratios(spark, sf):
 
 @query("select count(distinct lang)::bigint as langs, count(distinct source)::bigint as sources, count(distinct text)::bigint as texts from documents")
 def distinct_counts(spark, sf):
-    docs = table(spark, sf, "documents").select("lang", "source", F.xxhash64("text").alias("h"))
+    """Distinct values; texts by their MD5, whose 128 bits tell 10^15 texts apart with a chance of error below 10^-8."""
+    docs = table(spark, sf, "documents").select("lang", "source", F.unhex(F.md5("text")).alias("h"))
     return docs.agg(F.countDistinct("lang").alias("langs"), F.countDistinct("source").alias("sources"), F.countDistinct("h").alias("texts"))
 
 
@@ -161,8 +162,24 @@ def shown_digits(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.trim(statistics.at_least_digits(x)).alias("shown"))
 
 
-@query("""select n_regionkey, min(n_nationkey) as first, string_agg(n_nationkey::varchar, ',' order by n_nationkey) as ids from nation group by n_regionkey""")
+@query("""select source, lang, doc_id // 500 as part, min(doc_id) as first, string_agg(doc_id::varchar, ',' order by doc_id) as ids from documents group by all""")
 def files_grouped(spark, sf):
-    """A list for each group; for tables of names, whose groups are small by nature."""
-    rows = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_nationkey")).alias("ids"))
-    return rows.select("n_regionkey", F.array_min("ids").alias("first"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+    """Files, here documents, listed by a name derived from theirs: source, language and part; a part has at most 500."""
+    rows = table(spark, sf, "documents").groupBy("source", "lang", F.floor(F.col("doc_id") / 500).alias("part")).agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    return rows.select("source", "lang", "part", F.array_min("ids").alias("first"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+_LEVELS = f"(select coalesce(lang, '---') as lang, coalesce(source, '---') as source, coalesce(subset, '---') as subset, words, grouping_id from (select lang, source, subset, sum(words)::bigint as words, grouping(lang) * 4 + grouping(source) * 2 + grouping(subset) as grouping_id from (select *, 'p' || (doc_id % 3) as subset from {_C}) where doc_id % 4 <> 1 and (doc_id % 3 <> 2 or source < 'src3') group by rollup(lang, source, subset)))"
+
+
+@query(f"""with l as {_LEVELS}, k as (select lang, source, 'p' || (doc_id % 3) as subset, count(*)::bigint as docs from documents group by all)
+select k.lang, k.source, k.subset, k.docs, coalesce(a.words, b.words, c.words, d.words) as words, case when a.words is not null then 0 when b.words is not null then 1 when c.words is not null then 2 else 3 end::int as level from k
+left join l a on a.lang = k.lang and a.source = k.source and a.subset = k.subset left join l b on b.lang = k.lang and b.source = k.source and b.subset = '---'
+left join l c on c.lang = k.lang and c.source = '---' and c.subset = '---' left join l d on d.lang = '---' and d.source = '---' and d.subset = '---'""")
+def hierarchical_lookup(spark, sf):
+    """Word totals for language, source and part from a table of totals that lacks some: of the part, else of the source, the language, all."""
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "source", "text", F.concat(F.lit("p"), (F.col("doc_id") % 3).cast("string")).alias("subset"))
+    known = statistics.counted(rows.filter("doc_id % 4 <> 1 and (doc_id % 3 <> 2 or source < 'src3')")).drop("text")
+    totals = statistics.rolled_up(known, "lang", "source", "subset").select("lang", "source", "subset", "words")
+    asked = rows.groupBy("lang", "source", "subset").agg(F.count("*").alias("docs"))
+    return statistics.looked_up(asked, totals, ["lang", "source", "subset"]).select("lang", "source", "subset", "docs", "words", "level")

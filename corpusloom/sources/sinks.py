@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corpusloom.functions import text as T
+
 #: The published columns, in order; absent ones are written empty.
 PUBLISHED = ["text", "source", "id", "language", "date", "author", "url", "title", "extra", "quality_signals"]
 
@@ -32,6 +34,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_counted(df: DataFrame, path: str, text: str = "text") -> dict[str, int]:
+    """Write df as Parquet, and count its rows, words and characters in the same pass; they also go to ``path.json``, as one row.
+
+    The figures are gathered by the tasks that write, each of which counts once, when it has succeeded.
+    """
+    seen = Observation()
+    rows = df.observe(seen, F.count("*").alias("num pages"), F.coalesce(F.sum(T.word_count(F.col(text))), F.lit(0)).cast("long").alias("num words"), F.coalesce(F.sum(F.length(text)), F.lit(0)).cast("long").alias("num chars"))
+    rows.write.parquet(path)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    df.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"`{c}` long" for c in counts)).coalesce(1).write.json(f"{path}.json")
+    return counts
+
+
 def write_split(kept: DataFrame, rejected: DataFrame, path: str) -> None:
     """Kept rows, and rejected ones by reason."""
     kept.write.mode("overwrite").parquet(f"{path}/kept")
