@@ -1,13 +1,18 @@
 """Quality rules: exact text measures and a hashed n-gram logistic regression (operator 10).
 
 The regression sees hashed word unigrams, word bigrams and character 4-grams
-(bytes) as square-root frequencies of unit length; it is trained by averaged
+(code points) as square-root frequencies of unit length; it is trained by averaged
 stochastic gradient descent on a bounded sample of labelled rows, calibrated
 by Platt scaling on rows held out of the training, and scored in Arrow batches
 against a fixed threshold.
 
-Null texts count as empty: no words, base_failed.  Without labels of both
-kinds the verdict rests on the base rules alone.
+Null texts count as empty: no words, base_failed.  Rows are judged one by one:
+null or repeated ids and repeated rows give a row each, with the same verdict;
+very long texts are read whole, alone in their piece.  A score equal to the
+threshold keeps.  Labels with a null id, or of both kinds for one id, don't
+count; without labels of both kinds the verdict rests on the base rules alone.
+An empty table gives an empty result; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -69,17 +74,15 @@ def slots(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.ndarr
     h = w.hashes()
     two, at2 = K.windows(h, w.row, 2)
     shift = K.U(64 - bits)
-    four = np.zeros(0, np.int32)
-    n = len(data)
-    if n >= 4:
-        padded = np.concatenate([data, np.zeros(4, np.uint8)])
-        grams = np.ndarray((n,), "<u4", padded, 0, (1,)).astype(np.uint64)
-        four = ((grams * K.U(0x9E3779B97F4A7C15)) >> shift).astype(np.int32)
-    of4 = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(four)]
-    ok = np.arange(len(four)) + 4 <= off[of4 + 1]
+    points, begin = K.code_points(data, off)
+    points = points.astype(np.uint64)
+    at4 = np.flatnonzero(np.arange(4, len(points) + 4) <= np.repeat(begin[1:], np.diff(begin)))
+    grams = sum(points[at4 + k] << K.U(16 * k) for k in range(4)) if len(at4) else np.zeros(0, np.uint64)  # those beyond 16 bits run into the next, as any hash may
+    four = (K.mix(grams + K.U(3)) >> shift).astype(np.int32)
+    of4 = np.searchsorted(begin, at4, "right") - 1
     word_of = w.of()
-    slot = np.concatenate([(K.mix(h + K.U(1)) >> shift).astype(np.int32), (K.mix(two + K.U(2)) >> shift).astype(np.int32), four[ok]])
-    of = np.concatenate([word_of, word_of[at2], of4[ok]])
+    slot = np.concatenate([(K.mix(h + K.U(1)) >> shift).astype(np.int32), (K.mix(two + K.U(2)) >> shift).astype(np.int32), four])
+    of = np.concatenate([word_of, word_of[at2], of4])
     return slot, of
 
 

@@ -9,7 +9,10 @@ returns the edges of a spanning forest, which loses no link between classes.
 
 Nulls and empty texts have fingerprint zero and link like any other.  A null
 id has a fingerprint and a component; the component is the smallest id that is
-not null, or null where there is none.
+not null, or null where there is none.  Repeated rows and ids give a row each.
+A bit that exactly half of the shingles set is 0.  Very long texts are read
+whole, alone in their piece.  An empty table gives an empty result; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -378,12 +381,16 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
         edges = looser_edges(signed, df.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_k"), F.col(text_col).alias("_t")), width, similarity)
         away = connected_components(edges).filter("node <> component").select(F.col("node").alias("_id"))
         kept = kept.join(away, "_id", "left_anti")
-    out = df.join(kept.select("_id"), df[id_col] == F.col("_id"), "left_semi")
+    name = "_id"
+    while name in df.columns:  # a name that df doesn't have
+        name = f"_{name}"
+    out = df.join(kept.select(F.col("_id").alias(name)), df[id_col] == F.col(name), "left_semi")
     many = classes.groupBy("_id").count().filter("count > 1").join(kept.select("_id"), "_id", "left_semi").select("_id")
     if many.limit(1).count():
         record = F.struct(*[df[c] for c in df.columns])
-        twice = out.join(many, out[id_col] == F.col("_id"), "left_semi").select(record.alias("_r"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), fingerprint(F.col(text_col), width).alias("_fp"))
+        again = many.select(F.col("_id").alias(name))
+        twice = out.join(again, out[id_col] == F.col(name), "left_semi").select(record.alias("_r"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), fingerprint(F.col(text_col), width).alias("_fp"))
         own = twice.join(kept, ["_id", "_fp"], "left_semi")
         one = own.groupBy("_id").agg(F.min_by("_r", F.struct(F.length("_t"), "_t", F.to_json("_r"))).alias("_r")).select("_r.*")
-        out = out.join(many, out[id_col] == F.col("_id"), "left_anti").unionByName(one)
+        out = out.join(again, out[id_col] == F.col(name), "left_anti").unionByName(one)
     return out.unionByName(df.filter(df[id_col].isNull()))

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corpusloom.functions import kernels
 from corpusloom.llm import byte_bpe, chat_windows, decontamination, labelled, quality_classifier, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
 from corpusloom.llm.queries import URL_RULES, vocabulary
 
@@ -483,6 +484,16 @@ def test_quality_rules(spark, docs, nothing):
     assert quality_rules.quality_rules(nothing, None).collect() == []
 
 
+def test_quality_rules_see_code_points():
+    """Slots of 4-grams of letters, by hand, row by row; a letter beyond ASCII is one."""
+    texts = ["déjà vu", "", "abc", "日本語の文", "😀😀😀😀x", "a" * 3000]
+    data, off = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *[len(t.encode()) for t in texts]])
+    slot, of = quality_rules.slots(data, off)
+    grams = [(r, sum(ord(t[i + k]) << 16 * k for k in range(4)) % 2**64) for r, t in enumerate(texts) for i in range(len(t) - 3)]
+    want = (kernels.mix(np.array([g for _, g in grams], np.uint64) + np.uint64(3)) >> np.uint64(48)).tolist()
+    assert [*zip(of.tolist(), slot.tolist())][-len(grams) :] == [(r, s) for (r, _), s in zip(grams, want, strict=True)]
+
+
 def tables(spark, sf="/root/testdata/sf0.01"):
     return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
 

@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force, each on its predecessor's rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,11 +53,53 @@ def test_run_and_queries_are_registered():
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
 
 
+def unique(n, mark):
+    return " ".join(f"{mark}{i}" for i in range(n))
+
+
 def test_stages_on_odd_rows(spark):
+    """Nulls, empty, repeated and very long texts, null and repeated ids, and columns named like the stages' own: exact rows."""
     sf = "/root/testdata/sf0.001"
-    odd = [(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "word " * 80, None, None, None), (3, "word " * 80, None, None, None), (None, "x", "en", "s", 1)]
-    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit("mine"))
-    for _, stage in corpus_pipeline.STAGES:
-        out = stage(spark, docs, sf)
-        assert out.count() <= 5
-        assert stage(spark, docs.limit(0), sf).count() == 0
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [
+        (1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "  \n", "en", "s", 3), (4, unique(120, "a"), None, None, None), (4, unique(120, "a"), None, None, None), (5, unique(120, "a"), "fr", "t", 1),
+        (None, unique(120, "a"), "en", "s", 1), (None, None, None, None, None), (6, unique(60_000, "w"), "en", "s", 9), (7, unique(60, "a") + " tail", "en", "s", 5), (8, unique(30, "b") + " " + item, "en", "s", 5),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").select("*", F.lit("mine").alias("score"), F.lit(9).alias("_id"), F.lit("x").alias("leaks"), F.lit("y").alias("row"), F.lit("z").alias("record"))
+    stages = dict(corpus_pipeline.STAGES)
+    got = {name: stage(spark, docs, sf) for name, stage in stages.items()}
+    assert all(d.columns == docs.columns for name, d in got.items() if name != "tokens")
+    assert all(set(d.select("score", "_id", "leaks", "row", "record").collect()) <= {("mine", 9, "x", "y", "z")} for name, d in got.items() if name != "tokens")
+    short = {name: sorted(((r.doc_id, r.text and r.text[:8], r.n_chars) for r in d.collect()), key=str) for name, d in got.items() if name != "tokens"}
+    whole = sorted(((i, t and t[:8], n) for i, t, _, _, n in rows), key=str)
+    assert short["quality"] == whole  # none of them reads like what the labels reject
+    assert short["near_duplicates"] == sorted([r for k, r in enumerate((i, t and t[:8], n) for i, t, _, _, n in rows) if k not in (1, 2, 4, 5)], key=str)
+    cut = [(7, "tail", 4)]
+    assert short["repeated_passages"] == sorted([(i, t and t[:8], n) for i, t, _, _, n in rows if i not in (5, 7) and not (i is None and t)] + cut, key=str)
+    assert short["decontaminate"] == sorted([(i, t and t[:8], n) for i, t, _, _, n in rows if i != 8], key=str)
+    tokens = got["tokens"].collect()
+    assert sorted(((r.doc_id, r.n_tokens > 0, len(r.ids) == r.n_tokens, r.round_trip) for r in tokens), key=str) == sorted(((i, bool(t), True, True) for i, t, *_ in rows), key=str)
+    for stage in stages.values():
+        assert stage(spark, docs.limit(0), sf).collect() == []
+
+
+def test_near_copies_by_similarity(spark):
+    """One edited copy of each of 300 texts: of those at a Jaccard similarity of 0.80 to 0.85 nearly all go, of those above all, of those below none, and every original stays."""
+    rng = random.Random(11)
+    words = [f"word{i}" for i in range(5000)]
+    rows, kind = [], {}
+    for i in range(300):
+        n = rng.choice([60, 150, 400])
+        text = [rng.choice(words) for _ in range(n)]
+        copy = list(text)
+        for k in rng.sample(range(n), max(1, round(n * rng.choice([0.012, 0.018, 0.021])))):
+            copy[k] = "edited"
+        rows += [(i, " ".join(text)), (1000 + i, " ".join(copy))]
+        kind[1000 + i] = jaccard(" ".join(text), " ".join(copy))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect()}
+    assert left >= set(range(300))
+    share = lambda lo, hi: [d not in left for d, j in kind.items() if lo <= j < hi]
+    near, close, far = share(0.8, 0.85), share(0.85, 1.1), share(0, 0.8)
+    print("copies caught:", sum(near), len(near), sum(close), len(close), sum(far), len(far))
+    assert len(near) > 40 and sum(near) >= 0.92 * len(near) and all(close) and not any(far)
