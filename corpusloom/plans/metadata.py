@@ -57,10 +57,14 @@ def language_codes(spark, sf):
     return table(spark, sf, "documents").select("doc_id", uniform.two_letters(three).alias("language"), uniform.category(name).alias("category"))
 
 
-@query("""select i, lang, dataset, subset from (values (0, 'fr', 'Claire.fr', 'a'), (1, 'en', 'PeS2o', 's2orc'), (2, 'code', 'TheStack', 'python'), (3, 'fr-en', 'Croissant.fr-en', ''), (4, 'en', 'FineWebEdu--cc-main-2021', '2021-04')) v(i, lang, dataset, subset) where i <> 4""")
+@query("""select file, lang, dataset, subset, count(*)::bigint as docs from (select case doc_id % 4 when 0 then 'stats_Set' || source || '--' || lang || '--p' || (doc_id % 3) || '.json' when 1 then 'stats_PeS2o--' || source || '.json' when 2 then 'stats_TheStack--' || source || '_text_document.json' else 'stats_' || source || '--' || lang || '-en.json' end as file,
+case doc_id % 4 when 0 then lang when 1 then 'en' when 2 then 'code' else lang || '-en' end as lang, case doc_id % 4 when 0 then 'Set' || source || '.' || lang when 1 then 'PeS2o' when 2 then 'TheStack' else source || '.' || lang || '-en' end as dataset, case doc_id % 4 when 0 then 'p' || (doc_id % 3) when 1 then source when 2 then source else '' end as subset from documents) group by all""")
 def names_parsed(spark, sf):
-    rows = spark.createDataFrame([(0, "stats_Claire--fr--a.json"), (1, "stats_PeS2o--s2orc.json"), (2, "stats_TheStack--python.json"), (3, "stats_Croissant--fr-en.json")], "i int, file string")
-    return rows.select("i", *[v.alias(k) for k, v in uniform.parsed_name(F.col("file")).items()])
+    """Language, dataset and part from the names of the statistics files that documents would be counted in."""
+    k = F.col("doc_id") % 4
+    file = F.when(k == 0, F.concat(F.lit("Set"), "source", F.lit("--"), "lang", F.lit("--p"), (F.col("doc_id") % 3).cast("string"))).when(k == 1, F.concat(F.lit("PeS2o--"), "source")).when(k == 2, F.concat(F.lit("TheStack--"), "source", F.lit("_text_document"))).otherwise(F.concat("source", F.lit("--"), "lang", F.lit("-en")))
+    files = table(spark, sf, "documents").groupBy(F.concat(F.lit("stats_"), file, F.lit(".json")).alias("file")).agg(F.count("*").alias("docs"))
+    return files.select("file", *[v.alias(k) for k, v in uniform.parsed_name(F.col("file")).items()], "docs")
 
 
 @query("""select name, types from (values ('doc_id', 'bigint,string'), ('lang', 'string'), ('page_id', 'bigint'), ('text', 'string')) v(name, types)""")

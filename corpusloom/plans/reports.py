@@ -40,10 +40,14 @@ def category_places(spark, sf):
     return reports.category_order(table(spark, sf, "documents").select(c.alias("category"), "n_chars"), size="n_chars")
 
 
-@query("select name, place::int as place from (values ('default', 0), ('fr', 2), ('fr,en', 6), ('code', 7), ('code-python', 8), ('Claire', 9)) v(name, place)")
+@query("""select name, place::int as place, count(*)::bigint as docs from (select case doc_id % 6 when 0 then 'default' when 1 then lang when 2 then lang || ',en' when 3 then 'code' when 4 then 'code-' || source else upper(source) end as name,
+case doc_id % 6 when 0 then 0 when 1 then list_position(['en', 'fr', 'de', 'es', 'it'], lang) when 2 then 6 when 3 then 7 when 4 then 8 else 9 end as place from documents) group by all""")
 def config_places(spark, sf):
-    rows = spark.createDataFrame([(n,) for n in ("default", "fr", "fr,en", "code", "code-python", "Claire")], "name string")
-    return rows.select("name", reports.config_place(F.col("name")).alias("place"))
+    """Where the configurations that documents belong to stand in a list."""
+    k = F.col("doc_id") % 6
+    name = F.when(k == 0, "default").when(k == 1, F.col("lang")).when(k == 2, F.concat("lang", F.lit(",en"))).when(k == 3, "code").when(k == 4, F.concat(F.lit("code-"), "source")).otherwise(F.upper("source"))
+    rows = table(spark, sf, "documents").groupBy(name.alias("name")).agg(F.count("*").alias("docs"))
+    return rows.select("name", reports.config_place(F.col("name")).alias("place"), "docs")
 
 
 @query("select lang, max(doc_id) as doc_id, arg_max(source, doc_id) as source from documents group by lang")
@@ -51,10 +55,14 @@ def last_named(spark, sf):
     return reports.last_by_name(table(spark, sf, "documents").select("lang", "doc_id", "source"), "lang", "doc_id").select("lang", "doc_id", "source")
 
 
-@query("select name, label, language from (values ('Wikipedia:fr:3parquet', 'Wikipedia (fr)', 'French'), ('TheStack:python', 'python', 'Code'), ('Gutenberg:en:x', 'Gutenberg (en)', 'English')) v(name, label, language)")
+@query("""select name, label, language, count(*)::bigint as docs from (select case doc_id % 3 when 0 then 'Wiki:' || lang || ':3parquet' when 1 then 'TheStack:' || source || 'x' else 'Books:' || lang || ':' || source || 'x' end as name,
+case doc_id % 3 when 0 then 'Wiki (' || lang || ')' when 1 then source || 'x' else 'Books (' || lang || ')' end as label, case when doc_id % 3 = 1 then 'Code' else case lang when 'en' then 'English' when 'de' then 'German' when 'es' then 'Spanish' when 'it' then 'Italian' else 'French' end end as language from documents) group by all""")
 def evaluation_labels(spark, sf):
-    rows = spark.createDataFrame([(n,) for n in ("Wikipedia:fr:3parquet", "TheStack:python", "Gutenberg:en:x")], "name string")
-    return rows.select("name", reports.dataset_label(F.col("name")).alias("label"), reports.evaluation_language(F.col("name")).alias("language"))
+    """Labels and languages of the evaluation sets that documents would be in."""
+    k = F.col("doc_id") % 3
+    name = F.when(k == 0, F.concat(F.lit("Wiki:"), "lang", F.lit(":3parquet"))).when(k == 1, F.concat(F.lit("TheStack:"), "source", F.lit("x"))).otherwise(F.concat(F.lit("Books:"), "lang", F.lit(":"), "source", F.lit("x")))
+    rows = table(spark, sf, "documents").groupBy(name.alias("name")).agg(F.count("*").alias("docs"))
+    return rows.select("name", reports.dataset_label(F.col("name")).alias("label"), reports.evaluation_language(F.col("name")).alias("language"), "docs")
 
 
 _R = "(('0x' || substr(sha256(from_hex('800495' || printf('%02X', length(doc_id::varchar) + 4) || '00000000000000' || '8C' || printf('%02X', length(doc_id::varchar)) || hex(doc_id::varchar) || '942E')), 14, 13))::bigint / 4503599627370496.0::double)"

@@ -94,12 +94,15 @@ def dataset_union(spark, sf):
     return reg.load(spark, "mix").select("dataset_at", "dataset", "id")
 
 
-@query("select i, name, case when name in ('claire-fr') then 'fr/Claire' when name = 'croissant-aligned' then 'CroissantAligned' when name = 'the_stack' then 'TheStack' else 'de/WikiOther' end as config from (values (0, 'claire-fr'), (1, 'croissant-aligned'), (2, 'the_stack'), (3, 'wiki-other-de')) v(i, name)")
+@query("""select distinct name, config from (select case doc_id % 3 when 0 then source || '-' || lang when 1 then 'the_' || source else source || '-books-' || lang end as name,
+case doc_id % 3 when 0 then lang || '/' || upper(source[1]) || source[2:] when 1 then 'The' || upper(source[1]) || source[2:] else lang || '/' || upper(source[1]) || source[2:] || 'Books' end as config from documents)""")
 def config_names(spark, sf):
+    """Names of parts of documents, by source and language, as configurations."""
     from corpusloom.sources.registry import config_name_column
 
-    rows = spark.createDataFrame([(0, "claire-fr"), (1, "croissant-aligned"), (2, "the_stack"), (3, "wiki-other-de")], "i int, name string")
-    return rows.select("i", "name", config_name_column(F.col("name")).alias("config"))
+    k = F.col("doc_id") % 3
+    name = F.when(k == 0, F.concat_ws("-", "source", "lang")).when(k == 1, F.concat(F.lit("the_"), "source")).otherwise(F.concat_ws("-", "source", F.lit("books"), "lang"))
+    return table(spark, sf, "documents").select(name.alias("name")).distinct().select("name", config_name_column(F.col("name")).alias("config"))
 
 
 @query("select doc_id from documents where doc_id % 10 <> 3")
