@@ -37,7 +37,8 @@ def unescape_html(text: Column) -> Column:
 
 def normalise_unicode(text: Column) -> Column:
     """NFC, without carriage returns and NULs."""
-    return _each(lambda t: unicodedata.normalize("NFC", t).replace("\r", "").replace("\0", ""), "string", text)
+    composed = _each(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t), "string", text)
+    return F.replace(F.replace(composed, F.lit("\r"), F.lit("")), F.lit("\0"), F.lit(""))
 
 
 def may_fetch(robots: str, url: str, agent: str = "CCBot") -> bool:

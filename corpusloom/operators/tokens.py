@@ -12,7 +12,7 @@ from __future__ import annotations
 import bisect
 import heapq
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -33,9 +33,9 @@ def pre_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRE_TOKEN), F.lit(0))
 
 
-def pre_token_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(token, n) over the corpus; counts are combined before the shuffle."""
-    return df.select(F.explode(pre_tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+def pre_token_counts(df: DataFrame, text: str = "text", cut: Callable[[Column], Column] = pre_tokens) -> DataFrame:
+    """(token, n) over the corpus, cut into pre-tokens or, say, a tokenizer's pieces; counts are combined before the shuffle."""
+    return df.select(F.explode(cut(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def _joined(symbols: list[str], pairs: set[tuple[str, str]]) -> list[str]:
@@ -276,12 +276,12 @@ def within_alphabet(counts: DataFrame, size: int) -> DataFrame:
     return counts.select(text.alias("token"), "n").filter("token <> ''").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text", alphabet: int | None = None, least: int = 2) -> list[tuple[str, str]]:
+def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text", alphabet: int | None = None, least: int = 2, cut: Callable[[Column], Column] = pre_tokens) -> list[tuple[str, str]]:
     """Merges learnt from all pre-tokens of the corpus: on the driver while the distinct ones have up to ``at_driver`` characters, beyond that in Spark; the same either way.
 
-    ``alphabet``: how many characters take part, the most frequent; ``least``: how often a pair must occur to be merged.
+    ``alphabet``: how many characters take part, the most frequent; ``least``: how often a pair must occur to be merged; ``cut``: what makes pre-tokens of a text.
     """
-    counts = pre_token_counts(df, text)
+    counts = pre_token_counts(df, text, cut)
     counts = scratch.written((within_alphabet(scratch.written(counts, "pre-tokens"), alphabet) if alphabet else counts).filter(F.length("token") > 1), "pre-tokens")
     size = counts.agg(F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("chars")).first().chars
     out = learn_merges([(r.token, r.n) for r in counts.collect()], merges, least) if size <= at_driver else _learn_in_index(counts, merges, least)
