@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import tables
 from corpusloom.plans.registry import query, table
-from corpusloom.sources import publishing, scratch, sinks
+from corpusloom.sources import corpora, file_sets, publishing, scratch, sinks
 
 
 def _folder(spark, name: str) -> str:
@@ -50,6 +50,21 @@ def stats_while_writing(spark, sf):
     return spark.createDataFrame(rows, "lang string, pages long, words long, chars long")
 
 
+#: Of the files of documents, those that count: some sources in all languages but German, one in English only, the rest in any.
+FRAMED = [file_sets.Rule("source=src1[0-9]/", skip="lang=de"), file_sets.Rule("source=src2/", only="lang=en")]
+
+
+@query()
+def files_framed(spark, sf):
+    """documents in JSON files by source and language, read file by file, each under its own name and written to its own output, but for files that a rule skips."""
+    root, docs = _folder(spark, "framed"), table(spark, sf, "documents").select("source", "lang", "text")
+    docs.write.partitionBy("source", "lang").json(f"{root}/files")
+    found = file_sets.listing(spark, f"{root}/files", "*.json", FRAMED)
+    file_sets.write_each(file_sets.frames(found, f"{root}/files", "documents", corpora.Recipe(), task_bytes=32 << 20), f"{root}/frames")
+    out = spark.read.parquet(f"{root}/frames")
+    return out.select("frame", "file", "at", "row", F.md5("text").alias("text"))
+
+
 @query(r"""with p as (select doc_id, source, doc_id % 8 as rank, row_number() over (partition by doc_id % 8 order by doc_id) - 1 as idx, string_split(text, chr(10)) as lines from documents),
 e as (select rank, doc_id, idx, i, lines[i] as line from (select *, unnest(range(1, len(lines) + 1)) as i from p) where length(lines[i]) >= 40)
 select rank, doc_id, idx, row_number() over (partition by rank order by doc_id, i) - 1 as at, md5(line) as line from e""")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from corpusloom.plans import web
-from corpusloom.sources import publishing, registry, web_shards
+from corpusloom.sources import corpora, file_sets, publishing, registry, web_shards
 
 SF = "/root/testdata/sf0.001"
 QUERIES = __spark_entry__.queries()
@@ -202,3 +202,64 @@ def test_a_killed_run(spark, tmp_path):
     assert publishing.publish(df, F.col("u"), str(tmp_path), "v1", lease=0) == ["04", "05", "06", "07"]
     assert sorted(r.id for r in publishing.load(spark, str(tmp_path)).collect()) == list(range(80))
     assert not list((tmp_path / "_staging").iterdir())
+
+
+def test_documents_file_by_file(spark):
+    rows = QUERIES["files_framed"](spark, SF).collect()
+    want = duckdb.sql(f"select coalesce(source, '__HIVE_DEFAULT_PARTITION__'), coalesce(lang, '__HIVE_DEFAULT_PARTITION__'), md5(text) from '{SF}/documents.parquet' where length(text) > 0").fetchall()
+    every = len(want)
+    want = [w for w in want if not (len(w[0]) == 5 and w[0].startswith("src1") and w[1] == "de") and not (w[0] == "src2" and w[1] != "en")]
+    assert 0 < len(want) < every
+    assert collections.Counter((*(x.partition("=")[2] for x in r.file.split("/")[:2]), r.text) for r in rows) == collections.Counter(want)
+    files = sorted({r.file for r in rows})
+    assert {r.frame: r.file for r in rows} == {f"documents--{i:04d}": f for i, f in enumerate(files)}
+
+
+def small_files(root, n):
+    for i in range(n):
+        folder = root / f"FineWebEdu_{2020 + i % 5}" / "a +b"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i:05d}.jsonl").write_text("".join(json.dumps({"text": f"{i} {j}"}) + "\n" for j in range(i % 4)) + "broken\n")
+    (root / "subscene").mkdir()
+    (root / "subscene" / "x.jsonl").write_text('{"text": "no"}\n')
+    (root / "other.txt").write_text("no\n")
+
+
+def test_many_small_files_in_few_tasks(spark, tmp_path):
+    small_files(tmp_path, 2000)
+    every = file_sets.listing(spark, str(tmp_path), "*.jsonl")
+    assert every.count() == 2001
+    kept = file_sets.listing(spark, str(tmp_path), "*.jsonl", file_sets.SKIPS)
+    paths = sorted(r.path for r in kept.collect())
+    assert paths == [f"FineWebEdu_2024/a +b/{i:05d}.jsonl" for i in range(4, 2000, 5)]
+    dealt = file_sets.dealt(file_sets.numbered(kept), 16 << 20).collect()
+    assert [r.path for r in sorted(dealt, key=lambda r: r.at)] == paths
+    assert len({r.task for r in dealt}) == -(-sum(r.bytes + file_sets.OPENING for r in dealt) // (16 << 20)) == 7
+    read = file_sets.read(kept, str(tmp_path), task_bytes=16 << 20)
+    assert read.rdd.getNumPartitions() == 7
+    got = sorted((r.file, r.at, r.row, r.text) for r in read.collect() if r.text is not None)
+    assert got == [(p, k, j, f"{int(p[-11:-6])} {j}") for k, p in enumerate(paths) for j in range(int(p[-11:-6]) % 4)]
+    assert read.filter("text is null").count() == len(paths)
+
+
+def test_kinds_of_files_and_their_outputs(spark, tmp_path):
+    root = tmp_path / "in"
+    (root / "sub").mkdir(parents=True)
+    pq.write_table(pa.table({"body": ["p1", None, "x" * 100_000], "other": [1, 2, 3]}), root / "sub" / "a.parquet")
+    (root / "b.jsonl.gz").write_bytes(gzip.compress(b'{"body": "g1"}\n[1]\n{"body": 3}\n{"body": "g2"}\n'))
+    (root / "c.txt").write_text("t1\r\n\nt2")
+    (root / "empty.jsonl").write_text("")
+    files = file_sets.listing(spark, str(root))
+    rows = file_sets.frames(files, str(root), "set", corpora.Recipe(key="body", clean=F.upper))
+    file_sets.write_each(rows, str(tmp_path / "out"))
+    out = {p.name.partition("=")[2]: [pq.read_table(f)["text"].to_pylist() for f in p.glob("*.parquet")] for p in (tmp_path / "out").glob("frame=*")}
+    assert out == {"set--0000": [["G1", "G2"]], "set--0001": [["T1\r", "T2"]], "set--0002": [["P1", "X" * 100_000]]}
+    for bad in ({"max_docs": 3}, {"max_words": 3}, {"rate": 0.5}, {"invert": True}):
+        with pytest.raises(ValueError, match="one by one"):
+            file_sets.frames(files, str(root), "set", corpora.Recipe(), **bad)
+
+
+def test_no_file_left_gives_no_rows(spark, tmp_path):
+    small_files(tmp_path, 3)
+    none = file_sets.listing(spark, str(tmp_path), "*.jsonl", [file_sets.Rule(".", skip=".")])
+    assert file_sets.read(none, str(tmp_path)).count() == 0
