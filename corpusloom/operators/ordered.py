@@ -1,8 +1,10 @@
 """Operators on an ordered corpus: budgets, strides, running sums, without one task that sees all rows.
 
-The order column is cut into blocks at quantiles, the more the larger the
-table; block totals, a bounded table, are summed up and joined back, and
-windows run inside blocks only.
+The order column is cut into blocks at quantiles, one for every million rows;
+beyond MOST_BLOCKS each block is cut again at quantiles of its own, so that a
+block keeps its size up to MOST_BLOCKS ** 2 blocks, some 4 * 10**12 rows.  Block
+totals, a row a block, are summed up and joined back, and windows run inside
+blocks only.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.sources import scratch
+
 LEAST_BLOCKS, MOST_BLOCKS, BLOCK_ROWS = 64, 2048, 1_000_000
 
 
@@ -20,14 +24,28 @@ def _blocked(df: DataFrame, order: str, block_rows: int) -> DataFrame:
     rows, cuts = df.agg(F.count("*"), F.percentile_approx(order, asked, 10 * MOST_BLOCKS)).first()
     if not cuts:
         return df.withColumn("_block", F.lit(0))
-    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-rows // block_rows)))
+    wanted = max(LEAST_BLOCKS, -(-rows // block_rows))
+    blocks = min(MOST_BLOCKS, wanted)
     marks = sorted({cuts[MOST_BLOCKS * i // blocks - 1] for i in range(1, blocks)})
     # two steps, so that a row is compared with some tens of marks, not all
     step = max(1, math.isqrt(len(marks)))
     runs = [marks[i : i + step] for i in range(0, len(marks), step)]
     run = F.size(F.filter(F.array(*[F.lit(r[0]) for r in runs]), lambda c: c <= F.col(order)))
     inner = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]), run - 1)
-    return df.withColumn("_block", F.when(run > 0, (run - 1) * step + F.size(F.filter(inner, lambda c: c <= F.col(order)))).otherwise(F.lit(0)))
+    df = df.withColumn("_block", F.when(run > 0, (run - 1) * step + F.size(F.filter(inner, lambda c: c <= F.col(order)))).otherwise(F.lit(0)))
+    return _cut_again(df, order, min(MOST_BLOCKS, -(-wanted // MOST_BLOCKS)))
+
+
+def _cut_again(df: DataFrame, order: str, parts: int) -> DataFrame:
+    """Cut each block into about equal parts, in order.  The marks, at most MOST_BLOCKS rows of as many numbers, are written, so that every reading of the rows sees the same ones."""
+    if parts == 1:
+        return df
+    asked = F.percentile_approx(order, [i / parts for i in range(1, parts)], 10 * parts)
+    marks = scratch.written(df.groupBy("_block").agg(F.array_sort(F.array_distinct(asked)).alias("_marks")), "marks")
+    part = F.coalesce(F.size(F.filter("_marks", lambda c: c <= F.col(order))), F.lit(0))
+    marked = df.join(F.broadcast(marks.withColumnRenamed("_block", "_of")), F.col("_block") == F.col("_of"))
+    # nulls, which order first, stay in the first part
+    return marked.withColumn("_block", F.col("_block") * parts + F.greatest(part, F.lit(0))).drop("_of", "_marks")
 
 
 def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows: int = BLOCK_ROWS, ties: list[str] | None = None, within: str | None = None) -> DataFrame:
@@ -36,7 +54,7 @@ def with_running(df: DataFrame, order: str, value: Column, name: str, block_rows
     group = F.col(within) if within else F.lit(0)
     df = df.withColumn("_group", group)
     totals = df.groupBy("_group", "_block").agg(F.sum("_value").alias("_total"))
-    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # over MOST_BLOCKS rows at most
+    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
     offsets = totals.select(F.col("_group").alias("_g"), F.col("_block").alias("_b"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_group", "_block").orderBy(order, *(ties or [])).rowsBetween(Window.unboundedPreceding, 0)
     offsets = offsets if within else F.broadcast(offsets)
@@ -49,7 +67,7 @@ def with_earlier(df: DataFrame, order: str, value: str, name: str, how: str = "l
     df = _blocked(df, order, block_rows).withColumn("_group", F.col(within) if within else F.lit(0))
     end = F.max(value) if how == "max" else F.max_by(value, order)
     ends = df.groupBy("_group", "_block").agg(end.alias("_end"))
-    blocks = Window.partitionBy("_group").orderBy("_block")  # over MOST_BLOCKS rows at most
+    blocks = Window.partitionBy("_group").orderBy("_block")  # a row a block
     came = F.max("_end").over(blocks.rowsBetween(Window.unboundedPreceding, -1)) if how == "max" else F.lag("_end").over(blocks)
     carried = ends.select(F.col("_group").alias("_g"), F.col("_block").alias("_b"), came.alias("_came"))
     inside = Window.partitionBy("_group", "_block").orderBy(order)

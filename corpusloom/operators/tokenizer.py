@@ -1,7 +1,7 @@
 """What a tokenizer does to a text before and after its merges: normalise, mark spaces, cut into pieces, fall back to bytes, decode.
 
-Cutting is regular expressions over columns, in the JVM; Unicode's NFC, and bytes
-put together, are Arrow functions.  Every step takes whole texts, null gives null, and an empty text
+Cutting is regular expressions over columns, in the JVM; Unicode's NFC, symbols,
+and bytes put together, are Arrow functions.  Every step takes whole texts, null gives null, and an empty text
 has no pieces.
 
 A space is shown as the mark U+2581, and a piece begins with at most one.  Runs
@@ -13,7 +13,7 @@ opening mark, as the space that encoding puts there.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions import udfs
+from corpusloom.functions import kernels, udfs
 
 SPACE = "▁"
 #: Characters after which a space is put before a word or a space.
@@ -79,14 +79,44 @@ def alphabet(counts: DataFrame, size: int) -> list[str]:
     return [r.c for r in best.collect()]
 
 
+def character_counts(df: DataFrame, text: str = "text", spaces: str = "prefix_all") -> DataFrame:
+    """(token, n) of the characters of all pieces, as ``alphabet`` takes them; pieces lose no character, so nothing is cut here.  Counted in batches before the shuffle."""
+    whole = normalised(F.col(text), spaces)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, off in kernels.pieces(*kernels.text_bytes(batch.column(0))):
+                found, n = np.unique(kernels.code_points(data, off)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(map(chr, found.tolist()), pa.string()), pa.array(n, pa.int64())], ["token", "n"])
+
+    parts = df.select((whole if spaces == "split" else marked(whole)).alias("whole")).mapInArrow(count, "token string, n long")
+    return parts.groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def symbols(found: Column, known: Sequence[str]) -> Column:
     """The symbols of pieces, in order, with which merging begins: characters of the alphabet, and the bytes of all others, as ``<0xC3>``."""
-    inside = "".join(f"\\x{{{ord(c):x}}}" for c in known)
-    runs_of = F.regexp_extract_all(F.array_join(found, ""), F.lit(f"[{inside}]+|[^{inside}]+" if known else "(?s).+"), F.lit(0))
-    in_bytes = lambda r: F.regexp_extract_all(F.regexp_replace(F.hex(F.encode(r, "utf-8")), "(..)", "<0x$1>"), F.lit(".{6}"), F.lit(0))
-    in_chars = lambda r: F.regexp_extract_all(r, F.lit("(?s)."), F.lit(0))
-    is_known = lambda r: r.rlike(f"^[{inside}]") if known else F.lit(False)
-    return F.flatten(F.transform(runs_of, lambda r: F.when(is_known(r), in_chars(r)).otherwise(in_bytes(r))))
+    chars = sorted(set(known))
+    points = np.array([ord(c) for c in chars], np.uint32)
+    names = pa.array([*BYTES.to_pylist(), *chars])
+
+    def numbers(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each symbol its place in ``names``, and for each row the number of symbols."""
+        head = (data & 0xC0) != 0x80
+        point = kernels.code_points(data, off)[0]
+        of = np.cumsum(head) - 1
+        inside = np.isin(point, points)[of]
+        at = np.flatnonzero(head | ~inside)
+        number = np.where(inside[at], 256 + np.searchsorted(points, point[of[at]]), data[at])
+        return number.astype(np.int32), np.diff(np.searchsorted(at, off))
+
+    @F.arrow_udf("array<string>")
+    def cut(a: pa.Array) -> pa.Array:
+        parts = [numbers(data, off) for _, _, data, off in kernels.pieces(*kernels.text_bytes(a))]
+        number, count = (np.concatenate(p) for p in zip(*parts, (np.zeros(0, np.int32), np.zeros(0, np.int64)), strict=True))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
+        return pc.if_else(a.is_valid(), lists, None)
+
+    return cut(F.array_join(found, ""))
 
 
 def joined(tokens: Column) -> Column:

@@ -75,9 +75,10 @@ s as (select doc_id, plain, i, case when known then [c] else list_transform(rege
 select doc_id, sum(len(t))::bigint as n_symbols, sum(len(list_filter(t, lambda x: strlen(x) = 6)))::bigint as n_bytes, md5(array_to_string(flatten(list(t order by i)), ' ')) as symbols, md5({_BACK}) as decoded from s group by doc_id, plain""")
 def tokenizer_symbols(spark, sf):
     """The symbols with which merging begins, in an alphabet of 40 characters learnt from the pieces, and bytes for all others; and the text decoded from them."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    known = Z.alphabet(K.pre_token_counts(docs, cut=Z.pieces), 40)
-    rows = docs.select("doc_id", Z.symbols(Z.pieces(F.col("text")), known).alias("t")).filter(F.size("t") > 0)
+    # what has a symbol is seen in the text; a filter on the symbols would compute them twice
+    docs = table(spark, sf, "documents").select("doc_id", "text").filter(F.col("text").rlike(r"[^\r\x00]"))
+    known = Z.alphabet(Z.character_counts(docs), 40)
+    rows = docs.select("doc_id", Z.symbols(Z.pieces(F.col("text")), known).alias("t"))
     return rows.select("doc_id", F.size("t").cast("long").alias("n_symbols"), F.size(F.filter("t", lambda x: F.length(x) == 6)).cast("long").alias("n_bytes"), F.md5(F.array_join("t", " ")).alias("symbols"), F.md5(Z.decoded(F.col("t"))).alias("decoded"))
 
 

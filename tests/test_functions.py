@@ -485,3 +485,26 @@ def test_row_numbers_within_groups(spark):
     for k, g in rows:
         want[k] = seen[g] = seen.get(g, -1) + 1
     assert got == want
+
+
+def test_blocks_are_cut_again_where_they_are_too_many(spark, monkeypatch):
+    from corpusloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "MOST_BLOCKS", 4)
+    rows = [(None if i % 100 == 7 else i * 7919 % 5000, i, i % 5, f"g{i % 3 // 2}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, i int, v int, g string").repartition(5)
+    cut = ordered._blocked(df, "k", 50).groupBy("_block").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n")).orderBy("_block").collect()
+    assert 14 <= len(cut) <= 16 and max(r.n for r in cut) < 300
+    assert all(a.hi is None or a.hi < b.lo for a, b in zip(cut, cut[1:], strict=False))
+    whole = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    total, want, seen, numbers = 0, {}, {}, {}
+    for _, i, v, g in whole:
+        total += v
+        want[i] = total
+        numbers[i] = seen[g] = seen.get(g, -1) + 1
+    assert {r.i: r.s for r in ordered.with_running(df, "k", F.col("v"), "s", 50, ["i"]).collect()} == want
+    assert ordered.numbered(df.limit(0), "k").collect() == []
+    distinct = df.filter("k is not null")
+    ends = {r.i: r.e for r in ordered.with_earlier(distinct, "k", "v", "e", block_rows=50).collect()}
+    known = [r for r in whole if r[0] is not None]
+    assert ends == {r[1]: (known[n - 1][2] if n else None) for n, r in enumerate(known)}

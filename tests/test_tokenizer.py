@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,21 @@ def test_a_tokenizer_learnt_and_used(spark):
     assert len(vocabulary) == len(set(vocabulary)) and vocabulary[:5] == ["<unk>", "<s>", "</s>", "<pad>", "<0x00>"]
     ranks = {p: [i] for i, p in enumerate(merges)}
     assert K.symbols_of("▁abc", ranks) == ["▁abc"] and "▁abc" in vocabulary
+
+
+def test_characters_are_counted_as_in_the_pieces(spark):
+    texts = samples()
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    for spaces in ("prefix_all", "split"):
+        want = Counter(c for t in texts if t for p in theirs(t, spaces) for c in p)
+        assert {r.token: r.n for r in Z.character_counts(df, spaces=spaces).collect()} == want
+    assert Z.character_counts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("known", [[], ["a"], list("▁ab中") + ["\U0001f600"]])
+def test_symbols_like_python(spark, known):
+    texts = samples()
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in df.select("i", Z.pieces(F.col("text")).alias("p"), Z.symbols(Z.pieces(F.col("text")), known).alias("s")).collect():
+        want = None if r.p is None else [s for c in "".join(r.p) for s in ([c] if c in known else [f"<0x{b:02X}>" for b in c.encode()])]
+        assert r.s == want, texts[r.i]
