@@ -36,8 +36,17 @@ def unescape_html(text: Column) -> Column:
 
 
 def normalise_unicode(text: Column) -> Column:
-    """NFC, without carriage returns and NULs."""
-    composed = _each(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t), "string", text)
+    """NFC, without carriage returns and NULs.
+
+    The function isn't called deterministic, so that Spark computes what is made
+    of its result once, however often that is used.
+    """
+
+    @F.arrow_udf("string")
+    def compose(a: pa.Array) -> pa.Array:
+        return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFC", t) for t in a.to_pylist()], pa.string())
+
+    composed = compose.asNondeterministic()(text)
     return F.replace(F.replace(composed, F.lit("\r"), F.lit("")), F.lit("\0"), F.lit(""))
 
 

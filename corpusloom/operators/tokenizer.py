@@ -54,8 +54,7 @@ def normalised(text: Column, spaces: str = "prefix_all") -> Column:
 
 def marked(text: Column) -> Column:
     """Spaces as marks, and one before the first character; none where one is there, or the text is empty."""
-    shown = F.replace(text, F.lit(" "), F.lit(SPACE))
-    return F.when((shown == "") | shown.startswith(SPACE), shown).otherwise(F.concat(F.lit(SPACE), shown))
+    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(SPACE)), f"^(?=[^{SPACE}])", SPACE)
 
 
 def pieces(text: Column, spaces: str = "prefix_all", single_digits: bool = True, own_marks: bool = True) -> Column:
@@ -116,7 +115,7 @@ def symbols(found: Column, known: Sequence[str]) -> Column:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
         return pc.if_else(a.is_valid(), lists, None)
 
-    return cut(F.array_join(found, ""))
+    return cut.asNondeterministic()(F.array_join(found, ""))  # so that it is computed once for all its uses
 
 
 def joined(tokens: Column) -> Column:
