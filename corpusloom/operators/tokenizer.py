@@ -34,7 +34,8 @@ SPECIAL = ["<unk>", "<s>", "</s>", "<pad>"]
 BYTES = pa.array([f"<0x{i:02X}>" for i in range(256)])
 ONE_BYTE = pa.array([bytes([i]) for i in range(256)], pa.binary())
 _AFTER = "[" + SPACE_AFTER.replace("[", r"\[") + "]"
-_LETTERS = r"\p{IsAlphabetic}\p{M}\p{Pc}"
+# plain letters stand first, since Java tests a class from the left
+_LETTERS = r"a-zA-Z\p{IsAlphabetic}\p{M}\p{Pc}"
 _BLANKS = r"\p{Z}\x09-\x0D\x{85}"
 _MARKS = rf"[^{_LETTERS}{_BLANKS}\p{{N}}{SPACE}]+"
 _REST = rf"[{_LETTERS}{_BLANKS}&&[^\p{{N}}\n\t]]+"
@@ -59,15 +60,16 @@ def marked(text: Column) -> Column:
 
 def pieces(text: Column, spaces: str = "prefix_all", single_digits: bool = True, own_marks: bool = True) -> Column:
     """The pieces of a text, in order, within which merges work; they join to the normalised text with its spaces marked."""
+    # no two ways begin with the same character after the mark, so the frequent ones stand first
     digits = r"\p{N}" if single_digits else r"[\p{Nd}\p{Nl}]+|\p{No}+"
     if spaces == "split":
         whole = normalised(text, spaces)
-        rest = [_MARKS, _REST] if own_marks else [rf"[^\n\t\p{{N}}{SPACE}]+"]
-        ways = [rf"[{SPACE}\n\t]", digits, *rest]
+        rest = [_REST, _MARKS] if own_marks else [rf"[^\n\t\p{{N}}{SPACE}]+"]
+        ways = [*rest, rf"[{SPACE}\n\t]", digits]
     else:
         whole = marked(normalised(text, spaces))
-        rest = [rf"{SPACE}?{_MARKS}", r"[\n\t]", rf"{SPACE}?{_REST}"] if own_marks else [rf"{SPACE}?[^\p{{N}}{SPACE}]+"]
-        ways = [digits, *rest, SPACE]
+        rest = [rf"{SPACE}?{_REST}", rf"{SPACE}?{_MARKS}", r"[\n\t]"] if own_marks else [rf"{SPACE}?[^\p{{N}}{SPACE}]+"]
+        ways = [*rest, digits, SPACE]
     return F.regexp_extract_all(whole, F.lit("|".join(ways)), F.lit(0))
 
 
