@@ -31,6 +31,7 @@ LONGEST_RUNS = {SPACE: 8, "\t": 4, "\n": 2}
 #: The tokens that come first in a vocabulary.
 SPECIAL = ["<unk>", "<s>", "</s>", "<pad>"]
 
+ROWS = 64  # texts whose tokens are put together at once, which bounds what the kernels hold
 BYTES = pa.array([f"<0x{i:02X}>" for i in range(256)])
 ONE_BYTE = pa.array([bytes([i]) for i in range(256)], pa.binary())
 _AFTER = "[" + SPACE_AFTER.replace("[", r"\[") + "]"
@@ -110,21 +111,23 @@ def symbols(found: Column, known: Sequence[str]) -> Column:
         number = np.where(inside[at], 256 + np.searchsorted(points, point[of[at]]), data[at])
         return number.astype(np.int32), np.diff(np.searchsorted(at, off))
 
+    def listed(data: np.ndarray, off: np.ndarray) -> pa.Array:
+        number, count = numbers(data, off)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
+
     @F.arrow_udf("array<string>")
     def cut(a: pa.Array) -> pa.Array:
-        parts = [numbers(data, off) for _, _, data, off in kernels.pieces(*kernels.text_bytes(a))]
-        number, count = (np.concatenate(p) for p in zip(*parts, (np.zeros(0, np.int32), np.zeros(0, np.int64)), strict=True))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
-        return pc.if_else(a.is_valid(), lists, None)
+        parts = [listed(data, off) for _, _, data, off in kernels.pieces(*kernels.text_bytes(a))]
+        lists = pa.concat_arrays([pa.array([], pa.list_(pa.string())), *parts])
+        return pc.if_else(a.is_valid(), lists, None) if a.null_count else lists
 
     return cut.asNondeterministic()(F.array_join(found, ""))  # so that it is computed once for all its uses
 
 
 def joined(tokens: Column) -> Column:
-    """The bytes of tokens put together, as text; U+FFFD stands where they are no UTF-8.  Kernels over all tokens of a batch."""
+    """The bytes of tokens put together, as text; U+FFFD stands where they are no UTF-8.  Kernels over the tokens of ROWS texts at once."""
 
-    @F.arrow_udf("string")
-    def put(a: pa.Array) -> pa.Array:
+    def some(a: pa.Array) -> pa.Array:
         at = pc.index_in(a.flatten(), BYTES)
         values = pc.if_else(pc.is_valid(at), ONE_BYTE.take(at), a.flatten().cast(pa.binary()))
         offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False))])
@@ -136,6 +139,10 @@ def joined(tokens: Column) -> Column:
             text = pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()])
         return pc.if_else(a.is_valid(), text, None)
 
+    @F.arrow_udf("string")
+    def put(a: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], pa.string()), *(some(a.slice(i, ROWS)) for i in range(0, len(a), ROWS))])
+
     return put(tokens)
 
 
