@@ -71,7 +71,8 @@ def benchmark_prompts(spark, sf):
     answer = F.when(F.col("item_id") % 3 != 0, F.lit("B")).otherwise(F.lit(""))
     item = C.benchmark_item(F.col("text"), F.array(F.lit("x"), F.lit("y")), F.array(F.lit("A"), F.lit("B")), answer, F.col("item_id"), show_choices=True)
     rows = C.labelled(table(spark, sf, "benchmark").select("item_id", item.alias("i")).select("item_id", "i.*"))
-    flat = F.regexp_replace("prompt", r"(choices:|x\.)[ \n]", "$1 ")
+    # only the separators of the list at the end; the item's own line breaks stay
+    flat = F.regexp_replace("prompt", r"(\. Here are the choices:)[ \n](A: x\.)[ \n](B: y\.)\z", "$1 $2 $3")
     return rows.select("item_id", F.md5(flat).alias("prompt"), F.element_at("positive", 1).alias("positive"))
 
 
