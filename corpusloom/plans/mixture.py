@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import word_count
 from corpusloom.operators.statistics import matched
 from corpusloom.plans.registry import query, table
-from corpusloom.sources import sinks
+from corpusloom.sources import scratch, sinks
 
 #: Epochs of each language--category, and multipliers of languages ("other" for the rest).
 EPOCHS = {"en--a": 1.0, "en--b": 2.0, "fr--a": 1.5, "fr--b": 3.0, "de--a": 1.0, "de--b": 2.5, "es--a": 0.5, "es--b": 1.0}
@@ -111,14 +111,24 @@ def activity_shares(spark, sf):
     return sums.withColumn("n", F.coalesce("n", F.min("n").over(whole))).select("name", F.round(F.col("n") / F.sum("n").over(whole), 6).alias("share"))
 
 
-def nearest_name(names: DataFrame, known: DataFrame, limit: int = 10_000) -> DataFrame:
-    """(name, match, distance): the known name of least edit distance, ties by name.  A report over dataset names; known ones beyond ``limit`` are an error, as this compares all."""
-    if known.limit(limit + 1).count() > limit:
-        raise ValueError(f"over {limit} known names")
-    best = known.agg(F.sort_array(F.collect_set("name")).alias("known"))
-    every = names.select("name").distinct().join(F.broadcast(best))  # one row
-    near = F.array_min(F.transform("known", lambda k: F.struct(F.levenshtein("name", k).alias("distance"), k.alias("match"))))
-    return every.select("name", near.alias("n")).select("name", "n.match", "n.distance")
+def nearest_name(names: DataFrame, known: DataFrame, block: int = 1000) -> DataFrame:
+    """(name, match, distance): the known name of least edit distance, ties by name; a null name has the first and no distance, null known names don't count, and without known names there are no rows.
+
+    All names are compared with all, in blocks of about ``block`` names on each
+    side: pairs of blocks are dealt to all tasks, each finds the nearest within
+    its pair, and the nearest of these is the result.  Work grows as names times
+    known names, what a task holds does not.
+    """
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ours, theirs = names.select("name").distinct(), known.select("name").filter("name is not null").distinct()
+    sizes = [scratch.written(d, "names") for d in (ours, theirs)]
+    blocks = [max(1, -(-d.count() // block)) for d in sizes]
+    in_blocks = lambda d, n: d.groupBy(F.pmod(F.xxhash64("name"), F.lit(n)).alias("b"))
+    left = in_blocks(sizes[0], blocks[0]).agg(F.array_agg(F.struct("name")).alias("ours"))  # in structs, since array_agg drops nulls
+    right = in_blocks(sizes[1], blocks[1]).agg(F.collect_list("name").alias("theirs")).withColumnRenamed("b", "c")
+    pairs = left.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(blocks[1] - 1)).cast("array<bigint>"))).join(right, "c").repartition(tasks, "b", "c")
+    each = pairs.select(F.explode("ours").alias("o"), "theirs").select("o.name", F.array_min(F.transform("theirs", lambda k: F.struct(F.levenshtein(F.col("o.name"), k).alias("distance"), k.alias("match")))).alias("n"))
+    return each.groupBy("name").agg(F.min("n").alias("n")).select("name", "n.match", "n.distance")
 
 
 @query("""select name, match, distance::int as distance from (select a.name, b.name as match, levenshtein(a.name, b.name) as distance, row_number() over (partition by a.name order by levenshtein(a.name, b.name), b.name) as r
