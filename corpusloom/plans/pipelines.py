@@ -10,6 +10,24 @@ from corpusloom.functions import urls
 from corpusloom.operators import dedup, filters, signals, uniform
 
 
+#: Domains up to which the list goes to every task; and parts into which a host's documents are dealt beyond that.
+MOST_AT_ONCE, PARTS = 500_000, 64
+
+
+def _with_listed(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Documents with what is listed for their host, if anything.
+
+    Texts stay where they are while the list is small.  A longer one is joined
+    by host and part, each host listed for every part, so that no task reads all
+    documents of a common host.
+    """
+    if listed.limit(MOST_AT_ONCE + 1).count() <= MOST_AT_ONCE:
+        return docs.join(F.broadcast(listed), "host", "left")
+    spread = listed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.pmod(F.xxhash64("meta", "raw_content"), F.lit(PARTS)).cast("int")
+    return docs.withColumn("_part", part).join(spread, ["host", "_part"], "left").drop("_part")
+
+
 def judge_web(docs: DataFrame, valid_domains: DataFrame | None = None, language: str = "language") -> DataFrame:
     """Add ``reason``: the first of URL overlap, robots, quality and duplicate rules that drops a document; null for kept ones.
 
@@ -17,8 +35,7 @@ def judge_web(docs: DataFrame, valid_domains: DataFrame | None = None, language:
     """
     docs = docs.withColumn("url", uniform.url_of(F.col("meta"))).withColumn("host", urls.host(F.col("url")))
     if valid_domains is not None:
-        listed = valid_domains.select(F.col("domain").alias("host")).distinct().withColumn("_ok", F.lit(True))
-        docs = docs.join(listed, "host", "left")
+        docs = _with_listed(docs, valid_domains.select(F.col("domain").alias("host")).distinct().withColumn("_ok", F.lit(True)))
         robots = F.when(F.col("_ok").isNull(), F.lit("cannot_fetch"))
     else:
         robots = F.lit(None).cast("string")
