@@ -23,6 +23,14 @@ def fold_of_id(value: int, folds: int) -> int:
     return zlib.crc32(str(value).encode()) % folds
 
 
+def labelled_ids(labels: DataFrame, label: str, allowed: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of every labelled id; rows with a null id or a label that is not 0 or 1 don't count, nor does an id with both labels."""
+    ids = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
+    if allowed is not None:
+        ids = ids.filter(allowed)
+    return ids.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, allowed: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Up to ``per_class`` labelled rows (doc_id, text, label) of each label.
 
@@ -31,10 +39,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, allow
     2 * per_class, so they may be broadcast; texts found for them are cut to as
     many rows again, in hash order, where ids repeat.
     """
-    ids = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
-    if allowed is not None:
-        ids = ids.filter(allowed)
-    ids = ids.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    ids = labelled_ids(labels, label, allowed, id_col)
     order = [F.xxhash64(F.lit(f"sample of {label}"), "doc_id"), F.col("doc_id")]
     chosen = [ids.filter(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     few = chosen[0].union(chosen[1])
