@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as T
 from corpusloom.functions import urls
 from corpusloom.operators import dedup, filters, signals, uniform
+from corpusloom.sources import scratch
 
 
 #: Domains up to which the list goes to every task; and parts into which a host's documents are dealt beyond that.
@@ -55,5 +56,5 @@ def filter_web(docs: DataFrame, valid_domains: DataFrame | None = None) -> tuple
 
 def deduplicate_web(kept: DataFrame, within: list[str], order: str = "doc_id") -> DataFrame:
     """MinHash deduplication inside each group (language and snapshot), then stand-ins for masked data."""
-    once = dedup.minhash(kept, order=order, within=within)
+    once = dedup.minhash(scratch.written(kept, "kept"), order=order, within=within)  # judged once, not for each use
     return once.withColumn("text", T.replace_pii_marks(F.col("text"), F.col(order)))
