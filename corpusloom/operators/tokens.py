@@ -2,9 +2,8 @@
 
 The trainer stands for the reference's own vocabulary training.  Every
 pre-token of the corpus counts.  Where the distinct ones are few, the driver
-learns the merges; beyond that Spark keeps their pairs' counts and an index from
-pairs to pre-tokens, and works on what a batch of merges changes.  Both ways
-give the same merges.
+learns the merges; beyond that Spark keeps their symbols in blocks, and sums up
+what a batch of guessed merges changes in them.  Both ways give the same merges.
 """
 
 from __future__ import annotations
@@ -13,12 +12,13 @@ import bisect
 import heapq
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import kernels
 from corpusloom.sources import scratch
 
 #: Letters, single digits, single line breaks and tabs, runs of marks; a space goes with the word after it.
@@ -26,7 +26,9 @@ PRE_TOKEN = r"(?U) ?\p{L}+| ?\p{N}|[\n\t]| ?[^\s\p{L}\p{N}]+| +"
 
 
 #: Of the trainer in Spark: tokens that guess the next merges, and pairs that may come to the driver in a round.
-SAMPLE, MOST_RIVALS = 100_000, 50_000
+SAMPLE, MOST_RIVALS = 100_000, 200_000
+#: Symbols of a block; the number of the first symbol that a merge makes, and the bits of such a number; a block's arrays as they are stored.
+BLOCK, MADE, BITS, KINDS = 1 << 18, 0x110000, 21, (np.int32, np.int32, np.int64)
 
 
 def pre_tokens(text: Column) -> Column:
@@ -126,145 +128,268 @@ def symbols_of(token: str, ranks: dict[tuple[str, str], list[int]]) -> list[str]
     return symbols
 
 
-def _changes(merges: list[tuple[str, str]], new: int):
-    """What each of the last ``new`` merges changes in the tokens of a batch: the sums of pairs' changes, and the tokens that a pair is new in."""
-    ranks: dict[tuple[str, str], list[int]] = defaultdict(list)
-    for i, p in enumerate(merges[: len(merges) - new]):
-        ranks[p].append(i)
-    latest = merges[len(merges) - new :]
+class Block:
+    """The symbols of many tokens as numbers in arrays; a merge is one look at all pairs, and work at the places where it is found.
 
+    Characters are their code points; what merges make is numbered from MADE on.
+    """
+
+    def __init__(self, symbols: np.ndarray, sizes: np.ndarray, n: np.ndarray):
+        end = len(symbols)
+        self.sizes, self.n, self.end = sizes.astype(np.int64), n.astype(np.int64), end
+        stop = np.cumsum(self.sizes)
+        self.symbols = np.append(symbols, -1).astype(np.int64)
+        self.weight = np.repeat(self.n, self.sizes)
+        self.after, self.before = np.arange(1, end + 2, dtype=np.int32), np.arange(-1, end, dtype=np.int32)
+        self.after[stop - 1] = self.before[stop - self.sizes] = self.after[end] = self.before[end] = end
+        self.pairs = self._pairs(np.arange(end))
+
+    def _pairs(self, at: np.ndarray) -> np.ndarray:
+        """The pairs that begin at these places as numbers, -1 at a token's end."""
+        after = self.after[at]
+        return np.where(after < self.end, self.symbols[at] << BITS | self.symbols[after], -1)
+
+    def copy(self) -> Block:
+        return Block(*self.rest())
+
+    def rest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols, sizes and counts of the tokens that still have a pair."""
+        alive = self.symbols[:-1] >= 0
+        sizes = np.diff(np.concatenate([[0], np.cumsum(alive)])[np.concatenate([[0], np.cumsum(self.sizes)])])
+        some = sizes > 1
+        return self.symbols[:-1][alive & np.repeat(some, self.sizes)], sizes[some], self.n[some]
+
+    def merge(self, left: int, right: int, made: int) -> tuple[np.ndarray, np.ndarray]:
+        """Make the pair one symbol, from the left; by how much that changes which pairs, in many parts."""
+        at = np.flatnonzero(self.pairs == (left << BITS | right))
+        if left == right and len(at):  # in a run of the symbol every second pair
+            k = np.arange(len(at))
+            run = np.maximum.accumulate(np.where(np.append(False, self.after[at[:-1]] == at[1:]), 0, k))
+            at = at[(k - run) % 2 == 0]
+        gone = self.after[at]
+        touched = np.unique(np.concatenate([self.before[at], at, gone]))
+        touched = touched[touched < self.end]
+        old = self.pairs[touched]
+        rest = self.after[gone]
+        self.symbols[at], self.symbols[gone], self.pairs[gone] = made, -1, -1
+        self.after[at], self.before[rest] = rest, at
+        self.before[self.end] = self.end
+        now = touched[self.symbols[touched] >= 0]
+        self.pairs[now] = new = self._pairs(now)
+        pairs, change = np.concatenate([old, new]), np.concatenate([-self.weight[touched], self.weight[now]])
+        return pairs[pairs >= 0], change[pairs >= 0]
+
+
+def _numbered(merges: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
+    """Merges between numbers of symbols, and what each makes; a symbol made in two ways has one number."""
+    number: dict[str, int] = {}
+    of = lambda x: ord(x) if len(x) == 1 else number[x]
+    return [(of(a), of(b), number.setdefault(a + b, MADE + i)) for i, (a, b) in enumerate(merges)]
+
+
+def _symbols(numbers: np.ndarray, merges: list[tuple[str, str]]) -> pa.Array:
+    found, at = np.unique(numbers, return_inverse=True)
+    return pa.array([chr(i) if i < MADE else "".join(merges[i - MADE]) for i in found.tolist()], pa.string()).take(pa.array(at))
+
+
+def _sums(columns: dict[str, np.ndarray]) -> pa.Table:
+    by = [k for k in columns if k != "n"]
+    return pa.table(columns).group_by(by, use_threads=False).aggregate([("n", "sum")]).rename_columns([*by, "n"])
+
+
+def _block(tokens: pa.Array, n: np.ndarray) -> Block:
+    points, off = kernels.code_points(*kernels.text_bytes(tokens))
+    return Block(points, np.diff(off), n)
+
+
+def _row(symbols: np.ndarray, sizes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.astype(k).tobytes()], pa.binary()) for x, k in zip((symbols, sizes, n), KINDS, strict=True)], ["symbols", "sizes", "n"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            yield Block(*(np.frombuffer(x.as_buffer(), k) for x, k in zip(row, KINDS, strict=True)))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, n) as rows of about BLOCK symbols."""
+    held: list[tuple] = []
+    for batch in batches:
+        held.append(_block(batch.column("token"), batch.column("n").to_numpy()).rest())
+        if sum(len(x[0]) for x in held) >= BLOCK:
+            yield _row(*map(np.concatenate, zip(*held, strict=True)))
+            held = []
+    if held:
+        yield _row(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def _merged(merges: list[tuple[int, int, int]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            for m in merges:
+                block.merge(*m)
+            yield _row(*block.rest())
+
+    return run
+
+
+def _changes(merges: list[tuple[int, int, int]]):
+    """How often each pair occurs, as step -1, and by how much each of the merges in turn changes that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            some = block.pairs >= 0
+            parts = [(block.pairs[some], block.weight[some]), *(block.merge(*m) for m in merges)]
+            step = np.repeat(np.arange(-1, len(merges), dtype=np.int32), [len(p) for p, _ in parts])
+            yield from _sums({"step": step, "pair": np.concatenate([p for p, _ in parts]), "n": np.concatenate([n for _, n in parts])}).to_batches()
+
+    return run
+
+
+def _named(merges: list[tuple[str, str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            change: Counter = Counter()
-            rows: list[tuple] = []
-            for token, n in zip(batch.column("token").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                now = symbols_of(token, ranks)
-                had = Counter(zip(now, now[1:]))
-                for step, pair in enumerate(latest):
-                    if pair not in had:
-                        continue
-                    now = _joined(now, {pair})
-                    has = Counter(zip(now, now[1:]))
-                    for p in had.keys() | has.keys():
-                        if had[p] != has[p]:
-                            change[step, *p] += n * (has[p] - had[p])
-                    rows += [(step, *p, token, n) for p in has.keys() - had.keys()]
-                    had = has
-            rows += [(*p, None, n) for p, n in change.items() if n]
-            if rows:
-                kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["step", "l", "r", "token", "n"])
+            pair = batch.column("pair").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("step"), _symbols(pair >> BITS, merges), _symbols(pair & ((1 << BITS) - 1), merges), batch.column("n")], ["step", "l", "r", "n"])
 
     return run
 
 
-def _all(tables: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)
+class Ranked:
+    """Pairs by falling count, ties by the pair."""
+
+    def __init__(self, n: dict[tuple[str, str], float]):
+        self.n = dict(n)
+        self.heap = [(-c, p) for p, c in self.n.items() if c > 0]
+        heapq.heapify(self.heap)
+
+    def add(self, change: dict[tuple[str, str], float], sign: int = 1) -> None:
+        for p, c in change.items():
+            self.n[p] = now = self.n.get(p, 0) + sign * c
+            if now > 0:
+                heapq.heappush(self.heap, (-now, p))
+
+    def best(self, least: float) -> tuple[str, str] | None:
+        while self.heap and self.n[self.heap[0][1]] != -self.heap[0][0]:
+            heapq.heappop(self.heap)
+        return self.heap[0][1] if self.heap and -self.heap[0][0] >= least else None
 
 
-def _postings(rows: DataFrame) -> DataFrame:
-    """(l, r, token, n) in ranges, so that a read of some pairs skips the files and row groups of the others by their statistics; a pair's tokens may fill many files."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return scratch.written(rows.repartitionByRange(parts, "l", "r", "token").sortWithinPartitions("l", "r"), "postings")
+def _guessed(sample: Block, counts: dict[tuple[str, str], float], out: list[tuple[str, str]], most: int, least: int) -> list[tuple[str, str]]:
+    """The next merges, by all tokens' counts and by what each merge changes in the sample, in proportion."""
+    ranked, block, guess = Ranked(counts), sample.copy(), []
+    while len(guess) < most and (p := ranked.best(least)):
+        guess.append(p)
+        merge = _numbered([*out, *guess])[-1]
+        pairs, n = block.merge(*merge)
+        seen = -n[pairs == (merge[0] << BITS | merge[1])].sum()
+        if seen > 0:
+            t = _sums({"pair": pairs, "n": n})
+            pair = t["pair"].to_numpy()
+            of = zip(_symbols(pair >> BITS, [*out, *guess]).to_pylist(), _symbols(pair & ((1 << BITS) - 1), [*out, *guess]).to_pylist(), strict=True)
+            ranked.add({k: c * ranked.n[p] / seen for k, c in zip(of, t["n"].to_pylist(), strict=True)})
+        ranked.n[p] = 0
+    return guess
+
+
+def _without(change: dict[tuple[str, str], int], skipped: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+    """A merge's change where these merges before it, which don't touch its symbols, were not made: what they join is still two symbols, of which the nearer one is its neighbour."""
+    out: Counter = Counter()
+    for (left, right), n in change.items():
+        for a, b in reversed(skipped):
+            left, right = b if left == a + b else left, a if right == a + b else right
+        out[left, right] += n
+    return out
 
 
-def _accepted(rows: list, guess: list[tuple[str, str]], least: int) -> tuple[int, tuple[str, str] | None]:
-    """How many of the guessed merges are those that counts over all tokens give, and the right one where the guess goes wrong.
+def _accepted(base: dict[tuple[str, str], int], last: tuple | None, changes: list[dict] | None, guess: list[tuple[str, str]], out: list[tuple[str, str]], least: int) -> tuple[list[tuple[str, str]], dict, bool]:
+    """The merges that counts over all tokens give, in their order, as far as those guessed tell; the counts after them; and whether none is left.
 
-    rows: (l, r, base, changes: (step, n)) of every pair that can reach a guessed merge's count.
+    base: pairs' counts, all up to ``last``, (-count, pair), or all there are if
+    that is None.  changes: what each guessed merge changes after those guessed
+    before it; None: unknown.  A guessed merge may come before others of the
+    guess if it shares no symbol with them: tokens become the same either way.
     """
-    counts = {}
-    for r in rows:
-        at = [r["base"]] * len(guess)
-        for step, n in sorted(r["changes"]):
-            for s in range(step + 1, len(guess)):
-                at[s] += n
-        counts[r["l"], r["r"]] = at
-    for s, pair in enumerate(guess):
-        best = min(((-at[s], p) for p, at in counts.items()), default=(0, pair))
-        if -best[0] < least:
-            return s, None
-        if best[1] != pair:
-            return s, best[1]
-    return len(guess), None
-
-
-def _learn_in_index(counts: DataFrame, merges: int, least: int = 2, ahead: int = 64, steps: int = 8) -> list[tuple[str, str]]:
-    """learn_merges over a table of any size, with what merges change only.
-
-    Two tables are kept: how often each pair occurs, and an inverted index from
-    pairs to the tokens they occur in.  In a round the driver guesses the next
-    ``ahead`` merges from the SAMPLE most frequent tokens.  The tokens that hold
-    any of these pairs are read from the index, and Spark sums up by how much
-    each guessed merge changes each pair.  All pairs that could then be as
-    frequent as a guessed one come to the driver, which accepts the guesses up
-    to the first that isn't the most frequent pair of all tokens, and begins the
-    next round with the pair that is.  If more than MOST_RIVALS pairs could,
-    only a pair known to be right is accepted.  So the merges are exact, and
-    many come from one round.  Changes are appended to both tables, and put
-    together after ``steps`` rounds; index entries of pairs that a token has
-    lost are passed over.
+    made = Counter(a + b for a, b in [*out, *guess])
+    new = {a + b for a, b in guess if made[a + b] == 1}
+    counts, beyond = dict(base), set()
+    if last:
+        for p in {p for c in changes or [] for p in c} - counts.keys():
+            if not new & {*p}:
+                beyond.add(p)
+                counts[p] = -last[0] - (p < last[1])  # at most
+    ranked, order, done = Ranked(counts), [], set()
+    left_out = lambda j: [t for t in range(j) if t not in done]
+    merges = lambda steps: [guess[t] for t in steps]
+    while True:
+        best = ranked.best(least)
+        if best is None:
+            return order, ranked.n, last is None or -last[0] < least
+        if best in beyond or last and (-ranked.n[best], best) > last:
+            break
+        j = next((j for j, p in enumerate(guess) if p == best and j not in done), None)
+        if j is None or changes is None and j:
+            break
+        own = {*best, best[0] + best[1]}
+        if any(guess[t][0] + guess[t][1] not in new or own & {*guess[t], guess[t][0] + guess[t][1]} for t in left_out(j)):
+            break
+        order.append(best)
+        if changes is None:
+            ranked.n[best] = 0
+            break
+        later = [u for u in done if u > j]
+        for u in later:
+            ranked.add(_without(changes[u], merges(left_out(u))), -1)
+        done.add(j)
+        for u in [j, *later]:
+            ranked.add(_without(changes[u], merges(left_out(u))))
+    return order, ranked.n, False
+
+
+def _learn_in_table(counts: DataFrame, merges: int, least: int = 2, ahead: int = 64) -> list[tuple[str, str]]:
+    """learn_merges over a table of any size, many merges in a round.
+
+    All tokens are kept as rows of BLOCK symbols, written anew with each round's
+    merges.  In a round the driver guesses the next ``ahead`` merges; Spark
+    counts all pairs and sums up by how much each guessed merge changes each.
+    From that the driver tells which of the guessed merges are right, and in
+    what order.  So the merges are exact, and a round with a wrong guess only
+    ends sooner.  The driver gets MOST_RIVALS pairs and as many changes at most:
+    pairs beyond count as unknown, and with more changes fewer merges are
+    guessed.
     """
-    pair = F.arrays_zip(F.expr("slice(symbols, 1, size(symbols) - 1)").alias("l"), F.expr("slice(symbols, 2, size(symbols) - 1)").alias("r"))
-    words = counts.filter(F.length("token") > 1).select("token", "n", F.split("token", "").alias("symbols")).select("token", "n", pair.alias("pairs"))
-    total = lambda d: d.groupBy("l", "r").agg(F.sum("n").alias("n")).filter("n > 0")
-    pairs = [scratch.written(total(words.select(F.explode("pairs").alias("p"), "n").select("p.l", "p.r", "n")), "pairs")]
-    index = [_postings(words.select(F.explode(F.array_distinct("pairs")).alias("p"), "token", "n").select("p.l", "p.r", "token", "n"))]
-    owned: list[DataFrame] = [*pairs, *index]
-    sample = Learner([(r.token, r.n) for r in counts.orderBy(F.desc("n"), "token").limit(SAMPLE).collect()])
+    state = scratch.written(counts.mapInArrow(_packed, "symbols binary, sizes binary, n binary"), "symbols")
+    top = counts.orderBy(F.desc("n"), "token").limit(SAMPLE).toArrow()
+    sample = _block(top["token"], top["n"].to_numpy())
     out: list[tuple[str, str]] = []
-    fresh: list[DataFrame] = []
-    first: tuple[str, str] | None = None
-    while len(out) < merges:
-        known = first is not None
-        if not known and sample.best(least) is None:  # the rest is beyond the sample
-            top = total(_all(pairs)).filter(F.col("n") >= least).orderBy(F.desc("n"), "l", "r").limit(1).collect()
-            if not top:
-                break
-            first, known = (top[0].l, top[0].r), True
-        guess, low = [], []
-        while len(guess) < min(ahead, merges - len(out)) and (p := first or sample.best(least)):
-            low.append(sample.pairs[p])
-            sample.merge(p)
-            guess.append(p)
-            first = None
-        wanted = counts.sparkSession.createDataFrame(sorted(set(guess)), "l string, r string")
-        listed = _all([*index, *fresh]).filter(F.col("l").isin([p[0] for p in guess]) & F.col("r").isin([p[1] for p in guess]))
-        touched = listed.join(F.broadcast(wanted), ["l", "r"], "left_semi").select("token", "n").distinct()
-        change = scratch.written(touched.mapInArrow(_changes([*out, *guess], len(guess)), "step int, l string, r string, token string, n long"), "changes")
-        owned.append(change)
-        by_step = change.filter("token is null").groupBy("l", "r", "step").agg(F.sum("n").alias("n"))
-        base = total(_all(pairs)).select("l", "r", F.lit(-1).alias("step"), "n")
-        state = base.unionByName(by_step).groupBy("l", "r").agg(F.sum(F.when(F.col("step") < 0, F.col("n")).otherwise(0)).alias("base"), F.sum(F.when((F.col("step") >= 0) & (F.col("n") > 0), F.col("n")).otherwise(0)).alias("more"), F.array_agg(F.when(F.col("step") >= 0, F.struct("step", "n"))).alias("changes"))
-        rivals = state.filter(F.col("base") + F.col("more") >= max(1, min(low))).select("l", "r", "base", "changes").limit(MOST_RIVALS + 1).collect()
-        if len(rivals) <= MOST_RIVALS:
-            right, first = _accepted(rivals, guess, least)
-            ended = right < len(guess) and first is None
-        else:
-            top = [] if known else total(_all(pairs)).orderBy(F.desc("n"), "l", "r").limit(1).collect()
-            right, ended = (1, False) if known or top and (top[0].l, top[0].r) == guess[0] else (0, False)
-            first = None if right or not top else (top[0].l, top[0].r)
-        sample.take_back(len(guess) - right)
-        sample.steps.clear()
-        out += guess[:right]
-        if ended:
-            break
-        kept = change.filter(F.col("step") < right)
-        pairs.append(kept.filter("token is null").select("l", "r", "n"))
-        fresh.append(kept.filter("token is not null").select("l", "r", "token", "n"))
-        if len(fresh) == steps:
-            new = [scratch.written(total(_all(pairs)), "pairs"), _postings(_all(fresh))]
-            if len(index) == steps:
-                new[1] = _postings(_all([*index, new[1]]))
-                index = []
-            pairs, index, fresh = new[:1], [*index, new[1]], []
-            alive = {id(d) for d in (*pairs, *index)}
-            for d in owned:
-                if id(d) not in alive:
-                    scratch.drop(d)
-            owned = [*pairs, *index]
-    for d in owned:
-        scratch.drop(d)
+    guess: list[tuple[str, str]] = []
+    reach, ended = ahead, False
+    while len(out) < merges and not ended:
+        steps = state.mapInArrow(_changes(_numbered([*out, *guess])[len(out) :]), "step int, pair long, n long").groupBy("step", "pair").agg(F.sum("n").alias("n")).filter("n <> 0")
+        sums = scratch.written(steps.mapInArrow(_named([*out, *guess]), "step int, l string, r string, n long"), "sums")
+        base = {(r["l"], r["r"]): r["n"] for r in sums.filter("step < 0").orderBy(F.desc("n"), "l", "r").limit(MOST_RIVALS).toArrow().to_pylist()}
+        last = max((-n, p) for p, n in base.items()) if len(base) == MOST_RIVALS else None
+        found = sums.filter("step >= 0").limit(MOST_RIVALS + 1).toArrow().to_pylist()
+        changes: list[dict] | None = [{} for _ in guess]
+        for r in found:
+            changes[r["step"]][r["l"], r["r"]] = r["n"]
+        if len(found) > MOST_RIVALS:
+            changes = None
+        scratch.drop(sums)
+        right, known, ended = _accepted(base, last, changes, guess, out, least)
+        reach = max(1, reach // 4) if changes is None else min(ahead, 2 * reach)
+        if right:
+            out += right
+            latest = _numbered(out)[-len(right) :]
+            for m in latest:
+                sample.merge(*m)
+            sample = sample.copy()
+            if len(out) < merges and not ended:
+                old, state = state, scratch.written(state.mapInArrow(_merged(latest), state.schema), "symbols")
+                scratch.drop(old)
+        guess = _guessed(sample, known, out, min(reach, merges - len(out)), least)
+    scratch.drop(state)
     return out
 
 
@@ -276,7 +401,7 @@ def within_alphabet(counts: DataFrame, size: int) -> DataFrame:
     return counts.select(text.alias("token"), "n").filter("token <> ''").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text: str = "text", alphabet: int | None = None, least: int = 2, cut: Callable[[Column], Column] = pre_tokens) -> list[tuple[str, str]]:
+def train(df: DataFrame, merges: int = 1000, at_driver: int = 200_000, text: str = "text", alphabet: int | None = None, least: int = 2, cut: Callable[[Column], Column] = pre_tokens) -> list[tuple[str, str]]:
     """Merges learnt from all pre-tokens of the corpus: on the driver while the distinct ones have up to ``at_driver`` characters, beyond that in Spark; the same either way.
 
     ``alphabet``: how many characters take part, the most frequent; ``least``: how often a pair must occur to be merged; ``cut``: what makes pre-tokens of a text.
@@ -284,7 +409,7 @@ def train(df: DataFrame, merges: int = 1000, at_driver: int = 20_000_000, text:
     counts = pre_token_counts(df, text, cut)
     counts = scratch.written((within_alphabet(scratch.written(counts, "pre-tokens"), alphabet) if alphabet else counts).filter(F.length("token") > 1), "pre-tokens")
     size = counts.agg(F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("chars")).first().chars
-    out = learn_merges([(r.token, r.n) for r in counts.collect()], merges, least) if size <= at_driver else _learn_in_index(counts, merges, least)
+    out = learn_merges([(r.token, r.n) for r in counts.collect()], merges, least) if size <= at_driver else _learn_in_table(counts, merges, least)
     scratch.drop(counts)
     return out
 
