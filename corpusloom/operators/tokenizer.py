@@ -13,7 +13,7 @@ opening mark, as the space that encoding puts there.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ LONGEST_RUNS = {SPACE: 8, "\t": 4, "\n": 2}
 #: The tokens that come first in a vocabulary.
 SPECIAL = ["<unk>", "<s>", "</s>", "<pad>"]
 
-ROWS = 64  # texts whose tokens are put together at once, which bounds what the kernels hold
+PIECE = 1 << 18  # bytes of text whose symbols are made, and tokens that are put together, at once, whatever the batch holds
 BYTES = pa.array([f"<0x{i:02X}>" for i in range(256)])
 ONE_BYTE = pa.array([bytes([i]) for i in range(256)], pa.binary())
 _AFTER = "[" + SPACE_AFTER.replace("[", r"\[") + "]"
@@ -95,8 +95,8 @@ def character_counts(df: DataFrame, text: str = "text", spaces: str = "prefix_al
     return parts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def symbols(found: Column, known: Sequence[str]) -> Column:
-    """The symbols of pieces, in order, with which merging begins: characters of the alphabet, and the bytes of all others, as ``<0xC3>``."""
+def symbol_lists(known: Sequence[str]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """``symbols`` of texts in Arrow batches; what comes out and is held at once are the symbols of a PIECE, or of one longer text."""
     chars = sorted(set(known))
     points = np.array([ord(c) for c in chars], np.uint32)
     names = pa.array([*BYTES.to_pylist(), *chars])
@@ -111,37 +111,55 @@ def symbols(found: Column, known: Sequence[str]) -> Column:
         number = np.where(inside[at], 256 + np.searchsorted(points, point[of[at]]), data[at])
         return number.astype(np.int32), np.diff(np.searchsorted(at, off))
 
-    def listed(data: np.ndarray, off: np.ndarray) -> pa.Array:
-        number, count = numbers(data, off)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for a in batches:
+            for lo, hi, data, off in kernels.pieces(*kernels.text_bytes(a), PIECE):
+                number, count = numbers(data, off)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), names.take(pa.array(number)))
+                valid = a.slice(lo, hi - lo).is_valid()
+                yield pc.if_else(valid, lists, None) if valid.false_count else lists
+
+    return run
+
+
+def symbols(found: Column, known: Sequence[str]) -> Column:
+    """The symbols of pieces, in order, with which merging begins: characters of the alphabet, and the bytes of all others, as ``<0xC3>``."""
+    run = symbol_lists(known)
 
     @F.arrow_udf("array<string>")
-    def cut(a: pa.Array) -> pa.Array:
-        parts = [listed(data, off) for _, _, data, off in kernels.pieces(*kernels.text_bytes(a))]
-        lists = pa.concat_arrays([pa.array([], pa.list_(pa.string())), *parts])
-        return pc.if_else(a.is_valid(), lists, None) if a.null_count else lists
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return run(batches)
 
     return cut.asNondeterministic()(F.array_join(found, ""))  # so that it is computed once for all its uses
 
 
+def _joined(a: pa.Array) -> pa.Array:
+    at = pc.index_in(a.flatten(), BYTES)
+    values = pc.if_else(pc.is_valid(at), ONE_BYTE.take(at), a.flatten().cast(pa.binary()))
+    offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False))])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+    whole = pc.binary_join(lists, b"")
+    try:
+        text = whole.cast(pa.string())
+    except pa.ArrowInvalid:
+        text = pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()])
+    return pc.if_else(a.is_valid(), text, None)
+
+
+def joined_lists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """``joined`` of lists in Arrow batches, with the texts of some PIECE tokens, or of one longer list, at once."""
+    for a in batches:
+        off = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False))])
+        for lo, hi, _, _ in kernels.pieces(np.zeros(0, np.uint8), off, PIECE):
+            yield _joined(a.slice(lo, hi - lo))
+
+
 def joined(tokens: Column) -> Column:
-    """The bytes of tokens put together, as text; U+FFFD stands where they are no UTF-8.  Kernels over the tokens of ROWS texts at once."""
-
-    def some(a: pa.Array) -> pa.Array:
-        at = pc.index_in(a.flatten(), BYTES)
-        values = pc.if_else(pc.is_valid(at), ONE_BYTE.take(at), a.flatten().cast(pa.binary()))
-        offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False))])
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-        whole = pc.binary_join(lists, b"")
-        try:
-            text = whole.cast(pa.string())
-        except pa.ArrowInvalid:
-            text = pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()])
-        return pc.if_else(a.is_valid(), text, None)
+    """The bytes of tokens put together, as text; U+FFFD stands where they are no UTF-8."""
 
     @F.arrow_udf("string")
-    def put(a: pa.Array) -> pa.Array:
-        return pa.concat_arrays([pa.array([], pa.string()), *(some(a.slice(i, ROWS)) for i in range(0, len(a), ROWS))])
+    def put(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return joined_lists(batches)
 
     return put(tokens)
 

@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,14 @@ def test_symbols_like_python(spark, known):
     for r in df.select("i", Z.pieces(F.col("text")).alias("p"), Z.symbols(Z.pieces(F.col("text")), known).alias("s")).collect():
         want = None if r.p is None else [s for c in "".join(r.p) for s in ([c] if c in known else [f"<0x{b:02X}>" for b in c.encode()])]
         assert r.s == want, texts[r.i]
+
+
+def test_batches_of_any_size_are_worked_on_in_pieces():
+    """What comes out at once is bounded, whether a batch has long texts or many; a text longer than the bound stays whole, and nulls and empty texts keep their places."""
+    texts = ["ab é" * 20_000, None, "", "x" * (Z.PIECE + 5), "", None, *["aé" * 500] * 2000, None, ""]
+    lists = list(Z.symbol_lists(["a", "b", "x", " "])(iter([pa.array(texts), pa.array([], pa.string()), pa.array([None], pa.string())])))
+    assert len(lists) > 12 and max(len(x.flatten()) for x in lists) <= Z.PIECE + 5
+    together = pa.chunked_array(lists)
+    assert together.null_count == 4 and together[0].as_py()[:5] == ["a", "b", " ", "<0xC3>", "<0xA9>"]
+    back = list(Z.joined_lists(iter([pa.concat_arrays(lists)])))
+    assert len(back) > 10 and [t for x in back for t in x.to_pylist()] == [*texts, None]
