@@ -1,7 +1,7 @@
 """What a tokenizer does to a text before and after its merges: normalise, mark spaces, cut into pieces, fall back to bytes, decode.
 
-Cutting is regular expressions over columns, in the JVM; Unicode's NFC, symbols,
-and bytes put together, are Arrow functions.  Every step takes whole texts, null gives null, and an empty text
+Unicode's NFC and cutting work on columns in the JVM; symbols, and bytes put
+together, are Arrow functions.  Every step takes whole texts, null gives null, and an empty text
 has no pieces.
 
 A space is shown as the mark U+2581, and a piece begins with at most one.  Runs
@@ -164,9 +164,9 @@ def joined(tokens: Column) -> Column:
     return put(tokens)
 
 
-def decoded(tokens: Column, spaces: str = "prefix_all") -> Column:
-    """The text of tokens: bytes put together, marks as spaces, without the one at the start and those after opening marks that encoding put there."""
-    text = F.replace(joined(tokens), F.lit(SPACE), F.lit(" "))
+def decoded(tokens: Column, spaces: str = "prefix_all", fallback: bool = True) -> Column:
+    """The text of tokens: bytes put together, marks as spaces, without the one at the start and those after opening marks that encoding put there.  Without ``fallback`` no token is a byte, as among pieces, which always cut its digit 0 off, and nothing leaves the JVM."""
+    text = F.replace(joined(tokens) if fallback else F.array_join(tokens, ""), F.lit(SPACE), F.lit(" "))
     if spaces == "split":
         return text
     text = F.regexp_replace(text, "^ ", "")

@@ -66,7 +66,7 @@ def tokenizer_pieces(spark, sf):
     """The pieces within which a tokenizer merges, with spaces put before words and with spaces of their own, and the text decoded from them."""
     rows = table(spark, sf, "documents").select("doc_id", Z.pieces(F.col("text")).alias("p"), Z.pieces(F.col("text"), "split").alias("s"))
     shown = [c for k, n in (("p", "pieces"), ("s", "split")) for c in (F.size(k).cast("long").alias(f"n_{n}"), F.md5(F.array_join(k, "\x1f")).alias(n))]
-    return rows.select("doc_id", *shown, F.md5(Z.decoded(F.col("p"))).alias("decoded"))
+    return rows.select("doc_id", *shown, F.md5(Z.decoded(F.col("p"), fallback=False)).alias("decoded"))
 
 
 @query(f"""with {_PIECES}, c as (select doc_id, plain, unnest(range(1, len(chars) + 1)) as i, unnest(chars) as c from (select doc_id, plain, regexp_extract_all(array_to_string(pieces, ''), '(?s).') as chars from p)),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import udfs
 from corpusloom.operators import tokenizer as Z
 from corpusloom.operators import tokens as K
+from corpusloom.plans.catalogue import QUERIES
 
 library = pytest.importorskip("tokenizers")
 ODD = [None, "", " ", "▁", "▁x", " lead", "tail ", "a  b (c)\n\n x12½², Ⅷ", "(²)▁²", "a b\x0bc", "é (é", "x\r\n\0y", "l'été (« ok ») 3,14", "<0x41>", "\U0001f600 \U0001f601a", "the end (", "\t\tx\n\n\n", "1 22 333", "a" * 50_000]
@@ -136,3 +137,30 @@ def test_batches_of_any_size_are_worked_on_in_pieces():
     assert together.null_count == 4 and together[0].as_py()[:5] == ["a", "b", " ", "<0xC3>", "<0xA9>"]
     back = list(Z.joined_lists(iter([pa.concat_arrays(lists)])))
     assert len(back) > 10 and [t for x in back for t in x.to_pylist()] == [*texts, None]
+
+
+def test_long_and_rare_sequences_are_composed_like_python(spark):
+    rng = random.Random(7)
+    marks = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c)) or unicodedata.decomposition(chr(c))]
+    jamo = [chr(c) for c in (0x1100, 0x1112, 0x1161, 0x1175, 0x11A7, 0x11A8, 0x11C2, 0xAC00, 0xAC01, 0xD7A3)]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 60))) for some in (marks, jamo, [*"ab\r\0", *marks[:200], *jamo]) for _ in range(2000)] + ["e" + "̣́" * 20_000, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", udfs.normalise_unicode(F.col("text")).alias("t")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.t == unicodedata.normalize("NFC", texts[r.i]).replace("\r", "").replace("\0", "")
+
+
+def test_pieces_and_what_is_decoded_from_them_need_no_python_worker(spark, tmp_path):
+    """So executors hold no Python memory, whatever the input's size."""
+    texts = samples()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("tokenizer_pieces", "whitespace_runs"):
+        plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "Python" not in plan and "Arrow" not in plan, plan
+    for spaces in ("prefix_all", "prefix_sos", "split"):
+        for own_marks in (True, False):
+            for single_digits in (True, False):
+                p = Z.pieces(F.col("text"), spaces, single_digits, own_marks)
+                rows = df.select("text", p.alias("p")).select("text", Z.decoded(F.col("p"), spaces).alias("a"), Z.decoded(F.col("p"), spaces, fallback=False).alias("b")).collect()
+                assert len(rows) == len(texts) and all(r.a == r.b for r in rows)
