@@ -155,8 +155,9 @@ def output_names(spark, sf):
 
 @query("""select language, kind, round((1 / pow(n, 2)) / sum(1 / pow(n, 2)) over (partition by language, kind), 9) as p, n from (select lang as language, source as kind, length(text) as n, doc_id from documents)""")
 def template_probabilities(spark, sf):
-    """Weights of templates, one over their length squared, in each language and kind."""
+    """Weights of templates, one over their length squared, in each language and kind; null ones are groups of their own.  An empty template weighs infinitely much: it has no number for a share, and the others of its group have 0."""
     rows = table(spark, sf, "documents").select(F.col("lang").alias("language"), F.col("source").alias("kind"), F.length("text").cast("long").alias("n"))
-    w = 1 / F.pow("n", F.lit(2.0))
-    total = rows.groupBy("language", "kind").agg(F.sum(w).alias("total"))  # summed before the shuffle; a row for each language and kind
-    return rows.withColumn("w", w).join(total, ["language", "kind"]).select("language", "kind", F.round(F.col("w") / F.col("total"), 9).alias("p"), "n")
+    w = F.when(F.col("n") == 0, F.lit(float("inf"))).otherwise(1 / F.pow("n", F.lit(2.0)))  # Spark's division by zero is an error
+    total = rows.groupBy(F.col("language").alias("_l"), F.col("kind").alias("_k")).agg(F.sum(w).alias("total"))  # summed before the shuffle; a row for each language and kind
+    same = F.col("language").eqNullSafe(F.col("_l")) & F.col("kind").eqNullSafe(F.col("_k"))
+    return rows.withColumn("w", w).join(total, same).select("language", "kind", F.round(F.col("w") / F.col("total"), 9).alias("p"), "n")
