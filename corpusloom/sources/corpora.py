@@ -36,8 +36,8 @@ class Recipe:
         return replace(self, **changes)
 
 
-def load(df: DataFrame, recipe: Recipe, *, rate: float = 1.0, invert: bool = False, order: str | None = None, max_docs: int | None = None, max_chars: int | None = None, max_words: int | None = None, metadata: bool = False) -> DataFrame:
-    """Clean texts of a dataset.  Budgets need an ``order`` column, and keep the row that crosses them; with metadata the other columns come in the published schema."""
+def load(df: DataFrame, recipe: Recipe, *, rate: float = 1.0, invert: bool = False, order: str | None = None, max_docs: int | None = None, max_chars: int | None = None, max_words: int | None = None, metadata: bool = False, keep_empty: bool = False) -> DataFrame:
+    """Clean texts of a dataset.  Budgets need an ``order`` column, and keep the row that crosses them; with metadata the other columns come in the published schema; with keep_empty empty and null texts stay."""
     if recipe.prepare:
         df = recipe.prepare(df)
     if recipe.keep:
@@ -48,11 +48,12 @@ def load(df: DataFrame, recipe: Recipe, *, rate: float = 1.0, invert: bool = Fal
         df = df.filter(r > rate if invert else r <= rate)
     text = recipe.clean(F.col(key)) if recipe.clean else F.col(key)
     df = df.withColumn("text", text) if key == "text" else df.withColumn("text", text).drop(key)
-    df = df.filter(F.length("text") > 0)
+    if not keep_empty:
+        df = df.filter(F.length("text") > 0)
     if max_chars is not None:
-        df = ordered.budget(df, order, F.length("text"), max_chars)
+        df = ordered.budget(df, order, F.coalesce(F.length("text"), F.lit(0)), max_chars)
     if max_words is not None:
-        df = ordered.budget(df, order, T.word_count(F.col("text")), max_words)
+        df = ordered.budget(df, order, F.coalesce(T.word_count(F.col("text")), F.lit(0)), max_words)
     if max_docs is not None:
         if not order:
             raise ValueError("max_docs needs an order, or else each run has other rows")
